@@ -56,11 +56,15 @@ def on_bits(bits: Column | str) -> Column:
 
 def to_dense(positions: Column | str, n_bits: int) -> Column:
     """0/1 vector of ``n_bits`` elements with ones at ``positions``."""
-    positions = as_column(positions)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(n_bits - 1)),
-        lambda i: F.array_contains(positions, i).cast("tinyint"),
+    every = F.sequence(F.lit(0), F.lit(n_bits - 1))
+    # Binding the positions as a lambda argument keeps them from being computed once per bit.
+    dense = F.transform(
+        F.array(as_column(positions)),
+        lambda found: F.transform(
+            every, lambda i: F.array_contains(found, i).cast("tinyint")
+        ),
     )
+    return F.get(dense, 0)
 
 
 def cast_vector(vec: Column | str, dtype: str) -> Column:
