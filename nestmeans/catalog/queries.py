@@ -16,7 +16,7 @@ from nestmeans.operators import profile as profiles
 from nestmeans.options import FingerprintOptions, HierarchyOptions, KMeansOptions
 from nestmeans.plans import hierarchy
 from nestmeans.schemas import vector_contract
-from nestmeans.scratch import scratch_path
+from nestmeans.scratch import materialize, scratch_path
 from nestmeans.sources import files, sinks
 
 # Settings shared with the oracles.
@@ -432,8 +432,9 @@ def document_bits(spark, folder) -> DataFrame:
 
 def document_representatives(spark, folder):
     """From raw documents to representatives: all steps in a row."""
+    bits = materialize(document_bits(spark, folder), "fingerprints")
     result = hierarchy.hierarchical_cluster(
-        document_bits(spark, folder), HierarchyOptions(K1, "ratio", RATIO, BASE_K, STAGE, STAGE)
+        bits, HierarchyOptions(K1, "ratio", RATIO, BASE_K, STAGE, STAGE)
     )
     return result.centers.select(
         "row_id",

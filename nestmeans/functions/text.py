@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip() removes, as a regular-expression class.
+# The characters Python's str.strip() removes.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+# The same as a regular-expression class. Blanks below U+0100 come first, one by one, and the
+# others behind a range test: Java then decides on ordinary letters with two lookups.
+_WIDE = "".join(c for c in BLANKS if c > "\xff")
 WHITESPACE = (
-    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    "[" + "".join(c for c in BLANKS if c <= "\xff") + f"[{_WIDE[0]}-{_WIDE[-1]}&&[{_WIDE}]]]"
 )
+# Runs that are not already a single space.
+_UNEVEN = f"{WHITESPACE}(?:(?<! )|(?={WHITESPACE})){WHITESPACE}*"
+_NOT_BLANK = f"(?s)(?!{WHITESPACE})."
 
 # Tokens of the public OpenSMILES grammar (bracket atoms, organic subset, bonds,
 # ring closures, branches).
@@ -24,7 +34,7 @@ def as_column(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing whitespace, Unicode spaces included."""
-    return F.regexp_replace(as_column(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(as_column(c), F.lit(BLANKS))
 
 
 def split_literal(c: Column | str, delimiter: str) -> Column:
@@ -45,17 +55,20 @@ def identity(c: Column | str) -> Column:
 
 def fold(c: Column | str) -> Column:
     """Strip, collapse whitespace runs to one blank, lower-case; NULL when nothing is left."""
-    return non_empty(F.lower(F.regexp_replace(strip(c), f"{WHITESPACE}+", " ")))
+    c = as_column(c)
+    even = F.lower(F.regexp_replace(strip(c), _UNEVEN, " "))
+    return F.when(c.rlike(_NOT_BLANK), even)
 
 
 def largest_fragment(c: Column | str) -> Column:
     """Longest part of a dotted string, the first one on ties; NULL when all parts are empty."""
+    stripped = strip(c)
     longest = F.reduce(
-        split_literal(strip(c), "."),
+        split_literal(stripped, "."),
         F.lit(""),
         lambda best, part: F.when(F.length(part) > F.length(best), part).otherwise(best),
     )
-    return non_empty(longest)
+    return F.when(stripped.rlike("[^.]"), longest)
 
 
 def smiles_like(c: Column | str) -> Column:

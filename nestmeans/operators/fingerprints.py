@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestmeans.functions.fingerprint import hashed_fingerprint
-from nestmeans.functions.text import non_empty, split_literal, strip
+from nestmeans.functions.fingerprint import TOTAL_KINDS, hashed_fingerprint
+from nestmeans.functions.text import split_literal, strip
 from nestmeans.functions.vectors import cast_vector
 from nestmeans.options import FingerprintOptions
 from nestmeans.schemas import require_columns
@@ -20,16 +20,25 @@ def parse_lines(df: DataFrame, options: FingerprintOptions = FingerprintOptions(
     The stripped line is split on the literal delimiter. Both fields must exist and not be
     empty; more fields are ignored, and a doubled delimiter makes an empty field.
     """
+    return df.withColumn("_pair", _pair(df, options)).select(
+        *df.columns, F.col("_pair.smiles").alias("smiles"), F.col("_pair.name").alias("name")
+    )
+
+
+def _pair(df: DataFrame, options: FingerprintOptions) -> Column:
+    """(smiles, name) of a line, NULL when it is rejected; splits the line once."""
     require_columns(df, "value")
-    parts = split_literal(strip("value"), options.delimiter)
-    pair = df.withColumn("_parts", parts).withColumns({
-        "smiles": non_empty(F.get("_parts", options.smiles_index)),
-        "name": non_empty(F.get("_parts", options.name_index)),
-    })
-    ok = F.col("smiles").isNotNull() & F.col("name").isNotNull()
-    return pair.withColumns({
-        "smiles": F.when(ok, F.col("smiles")), "name": F.when(ok, F.col("name"))
-    }).drop("_parts")
+    accepted = F.filter(
+        F.transform(
+            F.array(split_literal(strip("value"), options.delimiter)),
+            lambda parts: F.struct(
+                F.get(parts, options.smiles_index).alias("smiles"),
+                F.get(parts, options.name_index).alias("name"),
+            ),
+        ),
+        lambda pair: (F.length(pair["smiles"]) > 0) & (F.length(pair["name"]) > 0),
+    )
+    return F.get(accepted, 0)
 
 
 def add_fingerprint(
@@ -55,14 +64,15 @@ def fingerprint_lines(
 
     Short and empty lines are dropped before the fingerprint is computed.
     """
-    parsed = parse_lines(df, options).filter(F.col("smiles").isNotNull())
+    pair = F.filter(F.array(_pair(df, options)), lambda p: p.isNotNull())
+    # A generator drops the rejected lines; a filter on the parsed fields would parse them twice.
+    parsed = df.select("row_id", F.inline(pair))
     if valid is not None:
         parsed = parsed.filter(valid(F.col("smiles")))
-    return (
-        add_fingerprint(parsed, "smiles", options)
-        .filter(F.col("fp").isNotNull())
-        .select("row_id", "smiles", "name", "fp")
-    )
+    bits = add_fingerprint(parsed, "smiles", options)
+    if options.fp_type.lower() not in TOTAL_KINDS:
+        bits = bits.filter(F.col("fp").isNotNull())
+    return bits.select("row_id", "smiles", "name", "fp")
 
 
 def fingerprint_report(
