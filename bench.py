@@ -1,0 +1,57 @@
+"""Times the headline queries and prints one JSON line."""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+import tempfile
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+from nestmeans.catalog.queries import QUERIES  # noqa: E402
+
+HEADLINE = [
+    "lines_parse", "lines_parse_report", "dedup_per_source", "dedup_global", "dedup_report",
+    "fingerprint_qgram", "fingerprint_documents", "fingerprint_lines", "fingerprint_union",
+    "assign", "representatives", "kmeans_fit", "kmeans_objective",
+    "stage1", "stage2_details", "stage2_centers", "document_representatives",
+    "export_csv", "write_preprocessed", "split_parts", "profile",
+]
+
+
+def main() -> None:
+    folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("bench")
+        .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.driver.memory", "12g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    names = sys.argv[1:] or HEADLINE
+    seconds = {}
+    for name in names:
+        start = time.perf_counter()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        seconds[name] = round(time.perf_counter() - start, 3)
+        print(f"{name}: {seconds[name]}", file=sys.stderr)
+    spark.stop()
+    sf = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    print(json.dumps({
+        "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
+        "queries": seconds, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+    }))
+
+
+if __name__ == "__main__":
+    main()

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +66,8 @@ def kmeans_fit(
     if dim is None:
         return spark.createDataFrame([], CENTROIDS)
     rows = training_rows(df, vec, row_id, F.lit(0), options)
-    plan = single_plan(spark, df.count(), k, dim, options)
-    return public_model(fit_groups(rows, plan, dim, options), options).drop(G)
+    plans = make_plans(single_sizes(spark, df.count(), k), dim, options, whole=False)
+    return public_model(fit_groups(rows, plans, dim, options), options).drop(G)
 
 
 def kmeans_assign(
@@ -145,9 +146,49 @@ def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool)
     )
 
 
-def single_plan(spark: SparkSession, n: int, k: int, dim: int, options) -> DataFrame:
-    sizes = spark.createDataFrame([(0, n, min(k, n))], "_g bigint, n bigint, k bigint")
-    return settle(group_plan(sizes, dim, options, whole=False), _LOCAL_PLAN_ROWS)
+@dataclass(frozen=True)
+class Plan:
+    """The groups that go one way, and the sums that size the job."""
+
+    frame: DataFrame
+    groups: int
+    rows: float
+    centers: int
+    flops: float
+    max_k: int
+    null_groups: int
+
+
+def make_plans(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool):
+    """(local plan, large plan) of the groups in ``sizes``; computes the group sizes now."""
+    plan = group_plan(sizes, dim, options, whole)
+    head = plan.limit(_LOCAL_PLAN_ROWS + 1).toArrow()
+    if head.num_rows > _LOCAL_PLAN_ROWS:
+        plan = checkpoint(plan)
+        return tuple(_stored_plan(plan.filter(F.col("local") == way)) for way in (True, False))
+    spark = sizes.sparkSession
+    parts = (head.filter(pc.equal(head["local"], way)) for way in (True, False))
+    return tuple(_local_plan(spark, part, plan.schema) for part in parts)
+
+
+def _local_plan(spark: SparkSession, part: pa.Table, schema: T.StructType) -> Plan:
+    m, k = part["m"].to_numpy(), part["k"].to_numpy()
+    return Plan(
+        spark.createDataFrame(part, schema=schema), len(m), float(m.sum()), int(k.sum()),
+        float((m * k).sum()), int(k.max(initial=0)), part[G].null_count,
+    )
+
+
+def _stored_plan(part: DataFrame) -> Plan:
+    facts = part.agg(
+        F.count(F.lit(1)), F.sum("m"), F.sum("k"), F.sum(F.col("m") * F.col("k")), F.max("k"),
+        F.count_if(F.col(G).isNull()),
+    ).first()
+    return Plan(part, *(fact or 0 for fact in facts))
+
+
+def single_sizes(spark: SparkSession, n: int, k: int) -> DataFrame:
+    return spark.createDataFrame(pa.table({G: [0], "n": [n], "k": [min(k, n)]}))
 
 
 def attach(rows: DataFrame, facts: DataFrame, *columns: str) -> DataFrame:
@@ -188,21 +229,6 @@ def public_model(model: DataFrame, options: KMeansOptions) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class _Size:
-    groups: int
-    rows: float
-    centers: int
-    flops: float
-    max_k: int
-
-    @classmethod
-    def of(cls, plan: DataFrame) -> _Size:
-        m, k = F.col("m"), F.col("k")
-        r = plan.agg(F.count("k"), F.sum("m"), F.sum("k"), F.sum(m * k), F.max("k")).first()
-        return cls(*(v or 0 for v in r))
-
-
 def parallelism(spark: SparkSession) -> int:
     return max(
         spark.sparkContext.defaultParallelism,
@@ -218,27 +244,30 @@ def _tasks(spark: SparkSession, wanted: float) -> int:
 # --- training ---------------------------------------------------------------------------------
 
 
-def fit_groups(rows: DataFrame, plan: DataFrame, dim: int, options: KMeansOptions) -> DataFrame:
-    """One model per group of ``plan``: (_g, cluster, grid, n, objective), computed."""
-    local, large = plan.filter("local"), plan.filter("not local")
+def fit_groups(
+    rows: DataFrame, plans: tuple[Plan, Plan], dim: int, options: KMeansOptions
+) -> DataFrame:
+    """One model per planned group: (_g, cluster, grid, n, objective), computed."""
+    local, large = plans
     models = []
-    size = _Size.of(local)
-    if size.groups:
-        models.append(_settle_model(_fit_local(rows, local, size, dim, options), dim))
-    size = _Size.of(large)
-    if size.groups:
-        fits = size.centers * dim * 8 <= options.broadcast_bytes
-        fit = _fit_broadcast if fits else _fit_streamed
-        models.append(fit(rows, large, size, dim, options))
+    if local.groups:
+        models.append(_settle_model(_fit_local(rows, local, dim, options), dim))
+    if large.groups:
+        models.append(fit_large(rows, large, dim, options))
     if not models:
         return rows.sparkSession.createDataFrame([], _MODEL)
     return models[0] if len(models) == 1 else models[0].unionByName(models[1])
 
 
-def _fit_local(rows, plan, size: _Size, dim, options) -> DataFrame:
-    sample = attach(rows, plan, "k", "cut", "sample_cut")
+def fit_large(rows: DataFrame, plan: Plan, dim: int, options: KMeansOptions) -> DataFrame:
+    fits = plan.centers * dim * 8 <= options.broadcast_bytes
+    return (_fit_broadcast if fits else _fit_streamed)(rows, plan, dim, options)
+
+
+def _fit_local(rows, plan: Plan, dim, options) -> DataFrame:
+    sample = attach(rows, plan.frame, "k", "cut", "sample_cut")
     sample = sample.filter(F.exists(H, lambda h: h < F.col("sample_cut"))).drop("sample_cut")
-    tasks = _tasks(rows.sparkSession, size.groups)
+    tasks = _tasks(rows.sparkSession, plan.groups)
     return (
         sample.repartition(tasks, G)
         .groupBy(G)
@@ -277,7 +306,7 @@ def local_trainer(dim: int, scale: int, max_iter: int) -> Callable[[pa.Table], p
     return run
 
 
-def _start_rows(rows, plan, size: _Size, restart: int, scale: int) -> DataFrame:
+def _start_rows(rows, plan: Plan, restart: int, scale: int) -> DataFrame:
     """(_g, cluster, grid, h): the k rows of lowest hash of every group, ids in hash order.
 
     Only rows below a generous cut are ranked. When k is large the ranking is cut into hash
@@ -287,7 +316,7 @@ def _start_rows(rows, plan, size: _Size, restart: int, scale: int) -> DataFrame:
     columns = [G, h.alias("h"), ID, "vec", "k", "start_cut"]
 
     def ranked(candidates):
-        if size.max_k <= _RANK_ROWS:
+        if plan.max_k <= _RANK_ROWS:
             order = Window.partitionBy(G).orderBy("h", ID)
             return candidates.withColumn("rank", F.row_number().over(order))
         width = F.greatest(F.col("start_cut") / F.ceil(F.col("k") / F.lit(_RANK_ROWS)), F.lit(1))
@@ -302,7 +331,7 @@ def _start_rows(rows, plan, size: _Size, restart: int, scale: int) -> DataFrame:
             "rank", F.row_number().over(order) + F.col("skip")
         )
 
-    candidates = attach(rows, plan, "k", "start_cut").select(*columns)
+    candidates = attach(rows, plan.frame, "k", "start_cut").select(*columns)
     return ranked(candidates.filter("h < start_cut")).filter("rank <= k").select(
         G,
         (F.col("rank") - 1).cast("int").alias("cluster"),
@@ -311,15 +340,15 @@ def _start_rows(rows, plan, size: _Size, restart: int, scale: int) -> DataFrame:
     )
 
 
-def _check_starts(found: int, size: _Size) -> None:
-    if found != size.centers:
-        raise ValueError(f"found {found} starting rows, expected {size.centers}")
+def _check_starts(found: int, plan: Plan) -> None:
+    if found != plan.centers:
+        raise ValueError(f"found {found} starting rows, expected {plan.centers}")
 
 
-def _sample(rows, plan, starts: DataFrame, restart: int) -> DataFrame:
+def _sample(rows, plan: Plan, starts: DataFrame, restart: int) -> DataFrame:
     """Training rows of one restart: hash below the cut, the starting rows in any case."""
     last = starts.groupBy(G).agg(F.max("h").alias("last"))
-    cuts = plan.select(G, "cut").join(last, G).select(
+    cuts = plan.frame.select(G, "cut").join(last, G).select(
         G, F.greatest("cut", F.col("last") + 1).alias("cut")
     )
     cuts = settle(cuts, _LOCAL_PLAN_ROWS)
@@ -339,8 +368,7 @@ class Model:
         }
 
     @classmethod
-    def collect(cls, df: DataFrame, dim: int) -> Model:
-        t = df.select(G, "cluster", "grid").toArrow()
+    def of(cls, t: pa.Table, dim: int) -> Model:
         centers = kernels.matrix(t["grid"], dim).astype(np.int64)
         return cls(t[G].to_numpy(), t["cluster"].to_numpy(), centers)
 
@@ -359,16 +387,16 @@ class Model:
         return at, dist
 
 
-def _fit_broadcast(rows, plan, size: _Size, dim, options) -> DataFrame:
+def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
     spark = rows.sparkSession
-    tasks = _tasks(spark, max(size.flops * 2 * dim / _TASK_FLOPS,
-                              size.rows * dim * 8 / options.slice_bytes))
+    tasks = _tasks(spark, max(plan.flops * 2 * dim / _TASK_FLOPS,
+                              plan.rows * dim * 8 / options.slice_bytes))
     best: dict[int, tuple] = {}
     for restart in range(options.n_init):
-        starts = _start_rows(rows, plan, size, restart, options.scale)
+        starts = _start_rows(rows, plan, restart, options.scale)
         starts = settle(starts, options.broadcast_bytes // (8 * dim))
-        model = Model.collect(starts, dim)
-        _check_starts(len(model.centers), size)
+        model = Model.of(starts.toArrow(), dim)
+        _check_starts(len(model.centers), plan)
         sample = _sample(rows, plan, starts, restart).select(
             G, to_grid("vec", options.scale).alias("grid"), ID
         )
@@ -567,20 +595,20 @@ def _complete(group: int, cell: _Cell) -> _Cell:
     return cell
 
 
-def _fit_streamed(rows, plan, size: _Size, dim, options) -> DataFrame:
-    slices = plan.select(G, _slices(F.col("m"), dim, options).alias("slices"))
-    cells = size.groups + size.rows * dim * 8 / options.slice_bytes
+def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
+    slices = plan.frame.select(G, _slices(F.col("m"), dim, options).alias("slices"))
+    cells = plan.groups + plan.rows * dim * 8 / options.slice_bytes
     runs = []
     for restart in range(options.n_init):
-        starts = checkpoint(_start_rows(rows, plan, size, restart, options.scale))
-        _check_starts(starts.count(), size)
+        starts = checkpoint(_start_rows(rows, plan, restart, options.scale))
+        _check_starts(starts.count(), plan)
         sample = _sample(rows, plan, starts, restart).select(
             G, ID, to_grid("vec", options.scale).alias("grid"), F.lit(None).cast("int").alias("payload")
         )
         sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
         model = starts.select(G, "cluster", "grid")
         for _ in range(options.max_iter):
-            state, moved = _streamed_pass(sample, model, slices, cells, size.centers, dim)
+            state, moved = _streamed_pass(sample, model, slices, cells, plan.centers, dim)
             model = state.select(G, "cluster", "grid")
             if not moved:
                 break
@@ -665,9 +693,9 @@ def assign_groups(df, model, vec, group, row_id, dim, options, out: T.StructType
     """Columns of ``df`` plus nearest centroid of the row's group and squared distance."""
     spark = df.sparkSession
     budget = options.broadcast_bytes // (8 * dim)
-    small = model.limit(budget + 1).count() <= budget
-    if small:
-        return _assign_broadcast(df, Model.collect(model, dim), vec, group, dim, options, out)
+    head = model.select(G, "cluster", "grid").limit(budget + 1).toArrow()
+    if head.num_rows <= budget:
+        return _assign_broadcast(df, Model.of(head, dim), vec, group, dim, options, out)
     if df.isStreaming:
         raise ValueError("the centroids exceed the broadcast budget of a streaming assignment")
     require_columns(df, row_id)
@@ -720,7 +748,7 @@ def _assign_broadcast(df, model: Model, vec, group, dim, options, out) -> DataFr
 
 
 def cluster_local_groups(
-    rows: DataFrame, vec: str, dim: int, options: KMeansOptions, tasks: int, names: list[str],
+    rows: DataFrame, vec: str, dim: int, options: KMeansOptions, groups: int, names: list[str],
     out: T.StructType,
 ) -> DataFrame:
     """Train and assign inside one task per group.
@@ -740,4 +768,5 @@ def cluster_local_groups(
         columns.append(pa.chunked_array([pa.array(kernels.first_rows(index, dist, ids))]))
         return pa.Table.from_arrays(columns, names=out.names)
 
+    tasks = _tasks(rows.sparkSession, groups)
     return rows.repartition(tasks, G).groupBy(G).applyInArrow(run, out)
