@@ -42,10 +42,8 @@ def conservation(rows_in: DataFrame, assigned: DataFrame, cluster: str, k: int)
         .alias("rows_invalid"),
         F.count_if(valid).alias("k_non_empty"),
     )
-    total = rows_in.agg(F.count(F.lit(1)).alias("rows_in"))
-    one = F.lit(1).alias("one")
-    report = total.select("*", one).join(saved.select("*", one), "one").drop("one")
-    return report.select(
+    total = rows_in.agg(F.count(F.lit(1)))
+    return saved.withColumn("rows_in", total.scalar()).select(
         "rows_in",
         "rows_saved",
         "rows_invalid",

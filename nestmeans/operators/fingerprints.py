@@ -88,11 +88,17 @@ def fingerprint_report(
     per_source = parse_lines(df, options).groupBy(source).agg(
         F.count(F.lit(1)).alias("lines_read"), F.count_if(good).alias("succeeded")
     )
-    total = per_source.agg(
-        F.lit("*").alias(source),
-        F.coalesce(F.sum("lines_read"), F.lit(0)).alias("lines_read"),
-        F.coalesce(F.sum("succeeded"), F.lit(0)).alias("succeeded"),
-    )
-    return per_source.unionByName(total).withColumn(
-        "failed", F.col("lines_read") - F.col("succeeded")
+    return (
+        per_source.rollup(source)
+        .agg(
+            F.sum("lines_read").alias("lines_read"),
+            F.sum("succeeded").alias("succeeded"),
+            F.grouping(source).alias("_all"),
+        )
+        .select(
+            F.when(F.col("_all") == 1, "*").otherwise(F.col(source)).alias(source),
+            "lines_read",
+            "succeeded",
+            (F.col("lines_read") - F.col("succeeded")).alias("failed"),
+        )
     )

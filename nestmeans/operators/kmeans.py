@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,9 @@ _SPAN = 1 << HASH_BITS
 _LOCAL_PLAN_ROWS = 100_000
 _LOCAL_MODEL_BYTES = 16 << 20
 _RANK_ROWS = 100_000
+_OUT_ROWS = 10_000
 _TASK_FLOPS = 4e9
+_MERGE_BYTES = 32 << 20
 
 _MODEL = "_g bigint, cluster int, grid array<int>, n bigint, objective double"
 _PARTIAL = "_g bigint, cluster int, n bigint, cost double, total array<bigint>"
@@ -236,9 +239,10 @@ def parallelism(spark: SparkSession) -> int:
     )
 
 
-def _tasks(spark: SparkSession, wanted: float) -> int:
-    """Enough tasks for the work, no more than a few waves of the cluster."""
-    return int(min(max(1, np.ceil(wanted)), 4 * parallelism(spark)))
+def _tasks(spark: SparkSession, work: float = 0, memory: float = 0) -> int:
+    """Tasks for ``work``, at most a few waves of the cluster, and as many as ``memory`` needs."""
+    waves = min(np.ceil(work), 4 * parallelism(spark))
+    return int(max(1, waves, np.ceil(memory)))
 
 
 # --- training ---------------------------------------------------------------------------------
@@ -306,33 +310,38 @@ def local_trainer(dim: int, scale: int, max_iter: int) -> Callable[[pa.Table], p
     return run
 
 
+def _ranked(df: DataFrame, within: list, bucket: list[str] | None = None, before=None) -> DataFrame:
+    """Add ``rank`` 1.. by ``within`` inside every group.
+
+    With ``bucket`` columns a task sorts one bucket only. Buckets follow each other by ``before``,
+    and the counts of the earlier ones give each bucket its first rank.
+    """
+    if not bucket:
+        return df.withColumn("rank", F.row_number().over(Window.partitionBy(G).orderBy(*within)))
+    earlier = Window.partitionBy(G).orderBy(*before).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = df.groupBy(G, *bucket).count().select(
+        G, *bucket, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("skip")
+    )
+    place = F.row_number().over(Window.partitionBy(G, *bucket).orderBy(*within))
+    ranked = df.join(offsets, [G, *bucket]).withColumn("rank", place + F.col("skip"))
+    return ranked.drop("skip", *bucket)
+
+
 def _start_rows(rows, plan: Plan, restart: int, scale: int) -> DataFrame:
     """(_g, cluster, grid, h): the k rows of lowest hash of every group, ids in hash order.
 
-    Only rows below a generous cut are ranked. When k is large the ranking is cut into hash
-    ranges whose counts give each range its first id, so no task sorts a whole group.
+    Only rows below a generous cut are ranked; with a large k, in hash ranges.
     """
-    h = F.col(H)[restart]
-    columns = [G, h.alias("h"), ID, "vec", "k", "start_cut"]
-
-    def ranked(candidates):
-        if plan.max_k <= _RANK_ROWS:
-            order = Window.partitionBy(G).orderBy("h", ID)
-            return candidates.withColumn("rank", F.row_number().over(order))
+    candidates = attach(rows, plan.frame, "k", "start_cut").select(
+        G, F.col(H)[restart].alias("h"), ID, "vec", "k", "start_cut"
+    ).filter("h < start_cut")
+    if plan.max_k <= _RANK_ROWS:
+        ranked = _ranked(candidates, ["h", ID])
+    else:
         width = F.greatest(F.col("start_cut") / F.ceil(F.col("k") / F.lit(_RANK_ROWS)), F.lit(1))
-        candidates = candidates.withColumn("range", F.floor(F.col("h") / width))
-        before = Window.partitionBy(G).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (
-            candidates.groupBy(G, "range").count()
-            .select(G, "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("skip"))
-        )
-        order = Window.partitionBy(G, "range").orderBy("h", ID)
-        return candidates.join(offsets, [G, "range"]).withColumn(
-            "rank", F.row_number().over(order) + F.col("skip")
-        )
-
-    candidates = attach(rows, plan.frame, "k", "start_cut").select(*columns)
-    return ranked(candidates.filter("h < start_cut")).filter("rank <= k").select(
+        ranges = candidates.withColumn("range", F.floor(F.col("h") / width))
+        ranked = _ranked(ranges, ["h", ID], ["range"], ["range"])
+    return ranked.filter("rank <= k").select(
         G,
         (F.col("rank") - 1).cast("int").alias("cluster"),
         to_grid("vec", scale).alias("grid"),
@@ -389,8 +398,9 @@ class Model:
 
 def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
     spark = rows.sparkSession
-    tasks = _tasks(spark, max(plan.flops * 2 * dim / _TASK_FLOPS,
-                              plan.rows * dim * 8 / options.slice_bytes))
+    tasks = _tasks(
+        spark, plan.flops * 2 * dim / _TASK_FLOPS, plan.rows * dim * 8 / options.slice_bytes
+    )
     best: dict[int, tuple] = {}
     for restart in range(options.n_init):
         starts = _start_rows(rows, plan, restart, options.scale)
@@ -489,7 +499,7 @@ def _merge(partials: DataFrame, centers: int, dim: int) -> DataFrame:
                 "mean": _int_lists(means, pa.int32()),
             })
 
-    tasks = _tasks(partials.sparkSession, centers * dim * 8 / (32 << 20))
+    tasks = _tasks(partials.sparkSession, memory=centers * dim * 8 / _MERGE_BYTES)
     return partials.repartition(tasks, G, "cluster").mapInArrow(add, _MEAN)
 
 
@@ -515,36 +525,45 @@ def _slices(rows_in_group, dim: int, options: KMeansOptions):
     return F.ceil(rows_in_group / F.lit(float(per_slice))).cast("int")
 
 
-def _meet(rows: DataFrame, centers: DataFrame, slices: DataFrame, cells: float) -> DataFrame:
-    """Rows (kind 0) and then the centroids of their group (kind 1), slice by slice.
+def _sliced(rows: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
+    """Rows (_g, _id, grid, payload) hash-partitioned by group and slice.
 
-    ``rows`` has (_g, _id, grid, payload), ``slices`` has (_g, slices). A slice is a fixed hash
-    of the row id, so a group of any size is spread over many tasks.
+    A slice is a fixed hash of the row id, so a group of any size is spread over many tasks.
     """
-    left = attach(rows, slices, "slices").select(
-        G,
-        F.pmod(F.xxhash64(ID), F.col("slices")).cast("int").alias("slice"),
-        F.lit(0).alias("kind"),
-        F.col(ID).alias("at"),
-        "grid",
-        "payload",
+    slice_ = F.pmod(F.xxhash64(ID), F.col("slices")).cast("int").alias("slice")
+    cut = attach(rows, slices, "slices").select(
+        G, slice_, F.lit(0).alias("kind"), F.col(ID).alias("at"), "grid", "payload"
     )
-    right = attach(centers, slices, "slices").select(
+    return cut.repartition(tasks, G, "slice")
+
+
+def _meet(sliced: DataFrame, centers: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
+    """Rows of a slice (kind 0) and then the centroids of their group (kind 1).
+
+    Both sides have one partitioning, which the union keeps: rows cached in it stay where they
+    are and only centroids move. The last repartition is dropped from the plan then.
+    """
+    payload = sliced.schema["payload"].dataType
+    copies = attach(centers, slices, "slices").select(
         G,
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
         F.lit(1).alias("kind"),
         F.col("cluster").cast("bigint").alias("at"),
         "grid",
-        F.lit(None).cast(rows.schema["payload"].dataType).alias("payload"),
+        F.lit(None).cast(payload).alias("payload"),
     )
-    tasks = int(max(parallelism(rows.sparkSession), min(np.ceil(cells), 200_000)))
     return (
-        left.unionByName(right)
+        sliced.unionByName(copies.repartition(tasks, G, "slice"))
         .repartition(tasks, G, "slice")
         .sortWithinPartitions(G, "slice", "kind", "at")
     )
 
 
+def _cell_tasks(spark: SparkSession, cells: float) -> int:
+    """About one slice per task, so that hot groups use the whole cluster."""
+    return int(max(parallelism(spark), min(np.ceil(cells), 200_000)))
+
+
 class _Cell:
     """Rows of one slice and their nearest centroid among those seen so far."""
 
@@ -598,17 +617,20 @@ def _complete(group: int, cell: _Cell) -> _Cell:
 def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
     slices = plan.frame.select(G, _slices(F.col("m"), dim, options).alias("slices"))
     cells = plan.groups + plan.rows * dim * 8 / options.slice_bytes
+    tasks = _cell_tasks(rows.sparkSession, cells)
     runs = []
     for restart in range(options.n_init):
         starts = checkpoint(_start_rows(rows, plan, restart, options.scale))
         _check_starts(starts.count(), plan)
         sample = _sample(rows, plan, starts, restart).select(
-            G, ID, to_grid("vec", options.scale).alias("grid"), F.lit(None).cast("int").alias("payload")
+            G, ID, to_grid("vec", options.scale).alias("grid"),
+            F.lit(None).cast("int").alias("payload"),
         )
-        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
+        sample = _sliced(sample, slices, tasks).persist(StorageLevel.MEMORY_AND_DISK)
         model = starts.select(G, "cluster", "grid")
         for _ in range(options.max_iter):
-            state, moved = _streamed_pass(sample, model, slices, cells, plan.centers, dim)
+            met = _meet(sample, model, slices, tasks)
+            state, moved = _streamed_pass(met, model, plan, dim)
             model = state.select(G, "cluster", "grid")
             if not moved:
                 break
@@ -621,24 +643,21 @@ def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
         )
     if len(runs) == 1:
         return runs[0].drop("restart")
-    every = runs[0]
-    for run in runs[1:]:
-        every = every.unionByName(run)
+    every = reduce(DataFrame.unionByName, runs)
     chosen = every.groupBy(G).agg(
         F.min(F.struct("objective", "restart")).getField("restart").alias("restart")
     )
     return every.join(chosen, [G, "restart"]).drop("restart")
 
 
-def _streamed_pass(sample, model, slices, cells, centers: int, dim):
+def _streamed_pass(met: DataFrame, model: DataFrame, plan: Plan, dim: int):
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, cell in _cells(batches, dim):
             cell = _complete(group, cell)
             ids, n, total, cost = kernels.cluster_sums(cell.x, cell.cluster, cell.dist)
             yield _partial_batch(np.full(len(ids), group), ids, n, cost, total)
 
-    met = _meet(sample, model, slices, cells)
-    merged = _merge(met.mapInArrow(partial, _PARTIAL), centers, dim)
+    merged = _merge(met.mapInArrow(partial, _PARTIAL), plan.centers, dim)
     state = model.join(merged, [G, "cluster"], "left").select(
         G,
         "cluster",
@@ -648,40 +667,45 @@ def _streamed_pass(sample, model, slices, cells, centers: int, dim):
         F.coalesce("cost", F.lit(0.0)).alias("cost"),
     )
     state = checkpoint(state)
-    facts = state.agg(F.count_if(F.col("n") == 0), F.count_if(F.col("grid") != F.col("old"))).first()
-    if facts[0]:
-        state = checkpoint(_refilled(state))
-        return state.drop("old"), bool(state.filter("grid != old").take(1))
-    return state.drop("old"), bool(facts[1])
-
-
-def _refilled(state: DataFrame) -> DataFrame:
-    """The relational form of ``kernels.refill``."""
-    rank = F.row_number()
-    empty = state.filter("n = 0").select(
-        G, "cluster", rank.over(Window.partitionBy(G).orderBy("cluster")).alias("turn")
-    )
-    donors = state.filter("n >= 2").select(
-        G,
-        F.col("cluster").alias("donor"),
-        F.col("grid").alias("donated"),
-        rank.over(Window.partitionBy(G).orderBy(F.desc("n"), "cluster")).alias("turn"),
+    changed = F.col("grid") != F.col("old")
+    empty, moved = state.agg(F.count_if(F.col("n") == 0), F.count_if(changed)).first()
+    if empty:
+        state = checkpoint(_refilled(state, plan))
+        moved = state.filter(changed).count()
+    return state.drop("old"), moved > 0
+
+
+def _refilled(state: DataFrame, plan: Plan) -> DataFrame:
+    """The relational form of ``kernels.refill``: ids and counts are ranked, then vectors joined."""
+    span = F.floor(F.col("cluster") / F.lit(_RANK_ROWS))
+    slim = state.select(G, "cluster", "n", span.alias("span"))
+    empty, donors = slim.filter("n = 0"), slim.filter("n >= 2")
+    if plan.max_k <= _RANK_ROWS:
+        empty = _ranked(empty, ["cluster"])
+        donors = _ranked(donors, [F.desc("n"), "cluster"])
+    else:
+        empty = _ranked(empty, ["cluster"], ["span"], ["span"])
+        donors = donors.withColumn("size", F.col("n"))
+        donors = _ranked(donors, ["cluster"], ["size", "span"], [F.desc("size"), "span"])
+    pairs = empty.select(G, "rank", F.col("cluster").alias("taker")).join(
+        donors.select(G, "rank", "cluster"), [G, "rank"]
     )
     step = F.transform(
-        "donated",
+        "grid",
         lambda x, i: F.greatest(F.lit(1), F.floor(F.abs(x) / F.lit(1024)).cast("int"))
         * F.when(i % 2 == 0, F.lit(1)).otherwise(F.lit(-1)),
     )
-    pairs = empty.join(donors, [G, "turn"]).withColumn("step", step)
-    taken = pairs.select(
-        G, "cluster", F.zip_with("donated", "step", lambda c, s: c + s).alias("moved")
-    )
-    given = pairs.select(
+    halves = state.select(G, "cluster", "grid").join(pairs, [G, "cluster"]).withColumn("step", step)
+    moved = halves.select(
         G,
-        F.col("donor").alias("cluster"),
-        F.zip_with("donated", "step", lambda c, s: c - s).alias("moved"),
+        F.inline(F.array(
+            F.struct(F.col("taker").alias("cluster"),
+                     F.zip_with("grid", "step", lambda c, s: c + s).alias("moved")),
+            F.struct(F.col("cluster"),
+                     F.zip_with("grid", "step", lambda c, s: c - s).alias("moved")),
+        )),
     )
-    return state.join(taken.unionByName(given), [G, "cluster"], "left").select(
+    return state.join(moved, [G, "cluster"], "left").select(
         G, "cluster", "old", F.coalesce("moved", "grid").alias("grid"), "n", "cost"
     )
 
@@ -689,13 +713,40 @@ def _refilled(state: DataFrame) -> DataFrame:
 # --- assignment -------------------------------------------------------------------------------
 
 
-def assign_groups(df, model, vec, group, row_id, dim, options, out: T.StructType) -> DataFrame:
-    """Columns of ``df`` plus nearest centroid of the row's group and squared distance."""
-    spark = df.sparkSession
+def assign_groups(
+    df, model, vec, group, row_id, dim, options, out: T.StructType, mark: str | None = None
+) -> DataFrame:
+    """Columns of ``df`` plus nearest centroid of the row's group and squared distance.
+
+    ``mark`` names a flag that is true for the rows nearest to their centroid within the batch or
+    slice at hand: the only ones that can be nearest in the whole table.
+    """
     budget = options.broadcast_bytes // (8 * dim)
     head = model.select(G, "cluster", "grid").limit(budget + 1).toArrow()
+    names, unit = df.columns, float(options.scale) ** 2
+    if mark:
+        require_columns(df, row_id)
+        out = T.StructType([*out.fields, T.StructField(mark, T.BooleanType())])
+
+    def results(clusters, place, dist, ids) -> list[pa.Array]:
+        columns = [pa.array(clusters.astype(np.int32)), pa.array(dist / unit)]
+        if mark:
+            columns.append(pa.array(kernels.first_rows(place, dist, ids.to_numpy())))
+        return columns
+
     if head.num_rows <= budget:
-        return _assign_broadcast(df, Model.of(head, dim), vec, group, dim, options, out)
+        sent = df.sparkSession.sparkContext.broadcast(Model.of(head, dim))
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = sent.value
+            for batch in batches:
+                x = kernels.on_grid(kernels.matrix(batch[vec], dim), options.scale)
+                at, dist = m.nearest(batch[G].to_numpy(), x)
+                found = results(m.clusters[at], at, dist, batch[row_id] if mark else None)
+                yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), *found], out.names)
+
+        return df.withColumn(G, group.cast("bigint")).mapInArrow(near, out)
+
     if df.isStreaming:
         raise ValueError("the centroids exceed the broadcast budget of a streaming assignment")
     require_columns(df, row_id)
@@ -703,48 +754,25 @@ def assign_groups(df, model, vec, group, row_id, dim, options, out: T.StructType
         group.cast("bigint").alias(G),
         F.col(row_id).cast("bigint").alias(ID),
         to_grid(vec, options.scale).alias("grid"),
-        F.struct(*df.columns).alias("payload"),
+        F.struct(*names).alias("payload"),
     )
-    sizes = rows.groupBy(G).count()
-    sizes = settle(sizes, _LOCAL_PLAN_ROWS)
+    sizes = settle(rows.groupBy(G).count(), _LOCAL_PLAN_ROWS)
     slices = sizes.select(G, _slices(F.col("count"), dim, options).alias("slices"))
-    cells = slices.agg(F.sum("slices")).first()[0] or 0
-    cluster_col, dist_col = out.names[-2:]
-    unit = float(options.scale) ** 2
+    tasks = _cell_tasks(df.sparkSession, slices.agg(F.sum("slices")).first()[0] or 0)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, cell in _cells(batches, dim):
             cell = _complete(g, cell)
-            table = pa.table({
-                "payload": cell.rows["payload"],
-                cluster_col: pa.array(cell.cluster.astype(np.int32)),
-                dist_col: pa.array(cell.dist / unit),
-            })
-            yield from table.to_batches()
+            found = results(cell.cluster, cell.cluster, cell.dist, cell.rows["at"])
+            yield from pa.Table.from_arrays(
+                [cell.rows["payload"], *found], ["payload", *out.names[len(names):]]
+            ).to_batches(_OUT_ROWS)
 
     schema = T.StructType(
-        [T.StructField("payload", rows.schema["payload"].dataType)] + out.fields[-2:]
+        [T.StructField("payload", rows.schema["payload"].dataType), *out.fields[len(names):]]
     )
-    met = _meet(rows, model, slices, cells)
-    return met.mapInArrow(emit, schema).select("payload.*", cluster_col, dist_col)
-
-
-def _assign_broadcast(df, model: Model, vec, group, dim, options, out) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    scale, unit = options.scale, float(options.scale) ** 2
-    names = df.columns
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for batch in batches:
-            x = kernels.on_grid(kernels.matrix(batch[vec], dim), scale)
-            at, dist = m.nearest(batch[G].to_numpy(), x)
-            columns = [batch[name] for name in names]
-            columns.append(pa.array(m.clusters[at].astype(np.int32)))
-            columns.append(pa.array(dist / unit))
-            yield pa.RecordBatch.from_arrays(columns, out.names)
-
-    return df.withColumn(G, group.cast("bigint")).mapInArrow(emit, out)
+    met = _meet(_sliced(rows, slices, tasks), model, slices, tasks)
+    return met.mapInArrow(meet, schema).select("payload.*", *out.names[len(names):])
 
 
 def cluster_local_groups(

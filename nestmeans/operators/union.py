@@ -44,14 +44,9 @@ def vector_widths(df: DataFrame, source: str, vec: str = "fp") -> DataFrame:
         F.min(width).cast("bigint").alias("min_width"),
         F.max(width).cast("bigint").alias("max_width"),
     )
-    wanted = per_source.agg(F.min_by("min_width", source).alias("wanted"))
-    even = (F.col("min_width") == F.col("wanted")) & (F.col("max_width") == F.col("wanted"))
-    one = F.lit(1).alias("one")
-    return (
-        per_source.select("*", one)
-        .join(wanted.select("*", one), "one")
-        .select(source, "rows", "min_width", "max_width", even.alias("accepted"))
-    )
+    wanted = per_source.agg(F.min_by("min_width", source)).scalar()
+    even = (F.col("min_width") == wanted) & (F.col("max_width") == wanted)
+    return per_source.withColumn("accepted", even)
 
 
 def compatible_rows(df: DataFrame, source: str, vec: str = "fp") -> DataFrame:
