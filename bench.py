@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from nestmeans.catalog.queries import QUERIES  # noqa: E402
+from nestmeans.shipping import ship  # noqa: E402
 
 HEADLINE = [
     "lines_parse", "lines_parse_report", "dedup_per_source", "dedup_global", "dedup_report",
@@ -38,6 +39,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     names = sys.argv[1:] or HEADLINE
     seconds = {}
     for name in names:

@@ -46,6 +46,7 @@ _TASK_FLOPS = 4e9
 _MERGE_BYTES = 32 << 20
 
 _MODEL = "_g bigint, cluster int, grid array<int>, n bigint, objective double"
+_PACKED = "_g bigint, grid binary"
 _PARTIAL = "_g bigint, cluster int, n bigint, cost double, total array<bigint>"
 _MEAN = "_g bigint, cluster int, n bigint, cost double, mean array<int>"
 
@@ -407,10 +408,9 @@ def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
         starts = settle(starts, options.broadcast_bytes // (8 * dim))
         model = Model.of(starts.toArrow(), dim)
         _check_starts(len(model.centers), plan)
-        sample = _sample(rows, plan, starts, restart).select(
-            G, to_grid("vec", options.scale).alias("grid"), ID
-        )
-        sample = sample.repartition(tasks, ID).drop(ID).persist(StorageLevel.MEMORY_AND_DISK)
+        sample = _sample(rows, plan, starts, restart).select(G, ID, "vec")
+        sample = sample.repartition(tasks, ID).mapInArrow(_packer(dim, options.scale), _PACKED)
+        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
         for _ in range(options.max_iter):
             model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim)
             if not moved:
@@ -422,6 +422,27 @@ def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
     return _settle_model(_model_frame(spark, best, dim), dim)
 
 
+def _packer(dim: int, scale: int):
+    """Vectors to grid integers in one binary value, which Spark passes on without a look inside:
+    the passes over the cached rows then need no conversion of array elements."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = kernels.on_grid(kernels.matrix(batch["vec"], dim), scale).astype("<i4")
+            ends = pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * (4 * dim))
+            packed = pa.Array.from_buffers(
+                pa.binary(), len(x), [None, ends, pa.py_buffer(x.tobytes())]
+            )
+            yield pa.record_batch({G: batch[G], "grid": packed})
+
+    return pack
+
+
+def _unpacked(column: pa.Array, dim: int) -> np.ndarray:
+    first = column.offset * 4 * dim
+    x = np.frombuffer(column.buffers()[2], dtype="<i4", count=len(column) * dim, offset=first)
+    return x.reshape(len(column), dim).astype(np.float64)
+
+
 def _broadcast_pass(spark, sample, model: Model, dim):
     sent = spark.sparkContext.broadcast(model)
 
@@ -430,7 +451,7 @@ def _broadcast_pass(spark, sample, model: Model, dim):
         counts = np.zeros(len(m.centers), dtype=np.int64)
         costs, sums = np.zeros(len(m.centers)), np.zeros(m.centers.shape)
         for batch in batches:
-            x = kernels.matrix(batch["grid"], dim).astype(np.float64)
+            x = _unpacked(batch["grid"], dim)
             at, dist = m.nearest(batch[G].to_numpy(), x)
             ids, n, total, cost = kernels.cluster_sums(x, at, dist)
             counts[ids] += n
