@@ -12,6 +12,7 @@ import pyarrow as pa
 _EXACT = float(1 << 53)
 _BLOCK_CELLS = 1 << 19
 _BLOCK_CENTERS = 2048
+_SUM_ROWS = 1 << 14
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -41,18 +42,19 @@ def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """
     n, dim = x.shape
     index, best = np.zeros(n, dtype=np.int64), np.full(n, np.inf)
-    padded = np.ones((n, dim + 1))
-    padded[:, :dim] = x
     width = min(_BLOCK_CENTERS, max(1, len(centers)))
     height = max(1, _BLOCK_CELLS // width)
     cells, every = np.empty((height, width)), np.arange(height)
+    padded = np.ones((height, dim + 1))
     for c0 in range(0, len(centers), width):
         block = centers[c0 : c0 + width]
         right = np.empty((dim + 1, len(block)))
         np.multiply(block.T, -2.0, out=right[:dim])
         right[dim] = np.einsum("ij,ij->i", block, block)
         for r0 in range(0, n, height):
-            left = padded[r0 : r0 + height]
+            rows = x[r0 : r0 + height]
+            left = padded[: len(rows)]
+            left[:, :dim] = rows
             d = np.matmul(left, right, out=cells[: len(left), : len(block)])
             at = d.argmin(axis=1)
             found = d[every[: len(left)], at]
@@ -73,17 +75,16 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
 
 def cluster_sums(x, index, dist):
     """(ids, row counts, vector sums, distance sums) of the clusters that occur."""
-    order = np.argsort(index, kind="stable")
-    starts = run_starts(index[order])
-    first = starts[:-1]
-    if not len(first):
-        return index[:0], index[:0], x[:0], dist[:0]
-    return (
-        index[order][first],
-        np.diff(starts),
-        np.add.reduceat(x[order], first, axis=0),
-        np.add.reduceat(dist[order], first),
-    )
+    ids = np.unique(index)
+    slot = np.searchsorted(ids, index)
+    sums = np.zeros((len(ids), x.shape[1]))
+    for r0 in range(0, len(x), _SUM_ROWS):
+        part = slot[r0 : r0 + _SUM_ROWS]
+        order = np.argsort(part, kind="stable")
+        first = run_starts(part[order])[:-1]
+        sums[part[order][first]] += np.add.reduceat(x[r0 : r0 + _SUM_ROWS][order], first, axis=0)
+    counts = np.bincount(slot, minlength=len(ids))
+    return ids, counts, sums, np.bincount(slot, weights=dist, minlength=len(ids))
 
 
 def divide(sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -145,9 +146,10 @@ def train(x, k, hashes, row_ids, cut, max_iter):
     best = None
     for r in range(hashes.shape[1]):
         h = hashes[:, r]
-        order = np.lexsort((row_ids, h))
-        order = order[: max(int(np.count_nonzero(h < cut)), k)]
-        result = lloyd(x[order], x[order[:k]], max_iter)
+        start = np.lexsort((row_ids, h))[:k]
+        chosen = h < cut
+        chosen[start] = True
+        result = lloyd(x if chosen.all() else x[chosen], x[start], max_iter)
         if best is None or result[2] < best[2]:
             best = result
     return best

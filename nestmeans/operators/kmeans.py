@@ -23,7 +23,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,7 +120,7 @@ def training_rows(df, vec, row_id, group, options) -> DataFrame:
 
 
 def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool) -> DataFrame:
-    """Complete (group, n, k) with the sample cut and the way to go.
+    """Complete (group, n, k) with the sample cuts, and what a local task would hold and do.
 
     A group of n rows trains on the rows with a hash below the cut, about
     ``max_points_per_centroid * k`` of them, or on all rows when n is smaller. ``whole`` says
@@ -146,7 +145,8 @@ def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool)
         share(ample(m)).alias("sample_cut"),
         share(ample(k)).alias("start_cut"),
         m.cast("double").alias("m"),
-        ((held <= options.local_bytes) & (flops <= options.local_flops)).alias("local"),
+        held.alias("held"),
+        flops.alias("flops"),
     )
 
 
@@ -165,14 +165,18 @@ class Plan:
 
 def make_plans(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool):
     """(local plan, large plan) of the groups in ``sizes``; computes the group sizes now."""
+    spark = sizes.sparkSession
     plan = group_plan(sizes, dim, options, whole)
     head = plan.limit(_LOCAL_PLAN_ROWS + 1).toArrow()
+    # A lone group should use the cluster; with a group for every core, one task each does.
+    share = min(1.0, max(0.05, head.num_rows / parallelism(spark)))
+    flops = options.local_flops * share
     if head.num_rows > _LOCAL_PLAN_ROWS:
+        fits = (F.col("held") <= options.local_bytes) & (F.col("flops") <= flops)
         plan = checkpoint(plan)
-        return tuple(_stored_plan(plan.filter(F.col("local") == way)) for way in (True, False))
-    spark = sizes.sparkSession
-    parts = (head.filter(pc.equal(head["local"], way)) for way in (True, False))
-    return tuple(_local_plan(spark, part, plan.schema) for part in parts)
+        return _stored_plan(plan.filter(fits)), _stored_plan(plan.filter(~fits))
+    fits = (head["held"].to_numpy() <= options.local_bytes) & (head["flops"].to_numpy() <= flops)
+    return tuple(_local_plan(spark, head.filter(pa.array(w)), plan.schema) for w in (fits, ~fits))
 
 
 def _local_plan(spark: SparkSession, part: pa.Table, schema: T.StructType) -> Plan:

@@ -41,7 +41,8 @@ class KMeansOptions:
     sums and distances are exact and do not depend on partitioning or on re-run tasks.
 
     The budgets choose between equal ways of doing the work, never the result:
-    ``local_bytes`` / ``local_flops`` bound a group handled inside one task,
+    ``local_bytes`` / ``local_flops`` bound a group handled inside one task (fewer operations when
+    there are fewer groups than cores, down to a twentieth),
     ``broadcast_bytes`` bounds a model sent to every executor, and ``slice_bytes`` bounds the
     rows one task holds once the model is too large for that.
     """
@@ -51,8 +52,8 @@ class KMeansOptions:
     seed: int = 42
     max_points_per_centroid: int = 256
     scale: int = 10_000
-    local_bytes: int = 256 << 20
-    local_flops: float = 2e11
+    local_bytes: int = 512 << 20
+    local_flops: float = 4e12
     broadcast_bytes: int = 128 << 20
     slice_bytes: int = 64 << 20
 

@@ -43,3 +43,14 @@ def difference(spark_result, duck_result) -> str | None:
         if got != want:
             return f"{got!r:.600} is not {want!r:.600}"
     return None
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+          "boolean": "BOOLEAN"}
+
+
+def type_difference(df, con, sql) -> str | None:
+    found = con.execute(f"DESCRIBE {sql}").fetchall()
+    want = {name: kind for name, kind, *_ in found}
+    got = {name: _TYPES[kind] for name, kind in df.dtypes}
+    return None if got == want else f"{got} is not {want}"

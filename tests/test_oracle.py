@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from compare import DATA, difference, duck, duck_rows, spark_rows
+from compare import DATA, difference, duck, duck_rows, spark_rows, type_difference
 
 FOLDER = f"{DATA}/sf0.001"
 
@@ -19,9 +19,9 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry_point.queries()))
 def test_query(spark, con, name):
-    got = spark_rows(entry_point.queries()[name](spark, FOLDER))
-    want = duck_rows(con, entry_point.oracle_sql()[name])
-    assert difference(got, want) is None
+    df, sql = entry_point.queries()[name](spark, FOLDER), entry_point.oracle_sql()[name]
+    assert type_difference(df, con, sql) is None
+    assert difference(spark_rows(df), duck_rows(con, sql)) is None
 
 
 def test_entry(spark):
