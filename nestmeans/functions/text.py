@@ -37,10 +37,15 @@ def strip(c: Column | str) -> Column:
     return F.btrim(as_column(c), F.lit(BLANKS))
 
 
-def split_literal(c: Column | str, delimiter: str) -> Column:
-    """Split on the literal delimiter; empty fields are kept."""
-    quoted = "\\Q" + delimiter.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    return F.split(as_column(c), quoted, -1)
+def split_literal(c: Column | str, delimiter: str, limit: int = -1) -> Column:
+    """Split on the literal delimiter; empty fields are kept. With a limit the last field holds
+    the rest."""
+    if len(delimiter) == 1:
+        # Spelled so that no regular expression has to be compiled for every row.
+        quoted = delimiter if delimiter.isalnum() or delimiter.isspace() else "\\" + delimiter
+    else:
+        quoted = "\\Q" + delimiter.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    return F.split(as_column(c), quoted, limit)
 
 
 def non_empty(c: Column | str) -> Column:

@@ -28,9 +28,10 @@ def parse_lines(df: DataFrame, options: FingerprintOptions = FingerprintOptions(
 def _pair(df: DataFrame, options: FingerprintOptions) -> Column:
     """(smiles, name) of a line, NULL when it is rejected; splits the line once."""
     require_columns(df, "value")
+    needed = max(options.smiles_index, options.name_index) + 2
     accepted = F.filter(
         F.transform(
-            F.array(split_literal(strip("value"), options.delimiter)),
+            F.array(split_literal(strip("value"), options.delimiter, needed)),
             lambda parts: F.struct(
                 F.get(parts, options.smiles_index).alias("smiles"),
                 F.get(parts, options.name_index).alias("name"),

@@ -469,16 +469,17 @@ def _broadcast_pass(spark, sample, model: Model, dim):
 
     merged = _merge(sample.mapInArrow(partial, _PARTIAL), len(model.centers), dim).toArrow()
     sent.destroy()
-    groups, clusters = merged[G].to_numpy(), merged["cluster"].to_numpy()
-    counts, costs = merged["n"].to_numpy(), merged["cost"].to_numpy()
-    means = kernels.matrix(merged["mean"], dim).astype(np.int64)
-    centers, sizes, cost = model.centers.copy(), np.zeros(len(model.centers), np.int64), {}
-    for g, span in model.spans.items():
-        mine = groups == g if len(model.spans) > 1 else slice(None)
-        at = clusters[mine] + span.start
-        centers[at], sizes[at] = means[mine], counts[mine]
-        cost[g] = float(costs[mine].sum())
+    names = np.array(list(model.spans), dtype=np.int64)
+    firsts = np.array([span.start for span in model.spans.values()])
+    at = firsts[np.searchsorted(names, merged[G].to_numpy())] + merged["cluster"].to_numpy()
+    centers, sizes = model.centers.copy(), np.zeros(len(model.centers), dtype=np.int64)
+    costs = np.zeros(len(model.centers))
+    centers[at] = kernels.matrix(merged["mean"], dim)
+    sizes[at], costs[at] = merged["n"].to_numpy(), merged["cost"].to_numpy()
+    for g in np.unique(model.groups[sizes == 0]):
+        span = model.spans[int(g)]
         centers[span] = kernels.refill(centers[span], sizes[span])
+    cost = dict(zip(model.spans, np.add.reduceat(costs, firsts).tolist()))
     moved = not np.array_equal(centers, model.centers)
     return Model(model.groups, model.clusters, centers), moved, sizes, cost
 

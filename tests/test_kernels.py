@@ -103,3 +103,27 @@ def test_qgram_over_windows(monkeypatch):
     texts = ["hello wörld", "", "x", "ab" * 9, "日本語テキスト"]
     got = fpm.qgram_matrix(pa.array(texts), 64, 3)
     assert got.tolist() == [brute_bits(t, 64, 3) for t in texts]
+
+
+def brute_words(text, n_bits):
+    bits = set()
+    for word in text.split():
+        h = 0
+        for ch in word:
+            h = (h * fpm.BASE + ord(ch)) % fpm.MODULUS
+        bits.add((h * fpm.MULTIPLIER) % 2**32 * n_bits // 2**32)
+    return [int(i in bits) for i in range(n_bits)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab é日\u3000\t😀", max_size=30), min_size=1, max_size=6))
+def test_token_is_brute_force(texts):
+    got = fpm.token_matrix(pa.array(texts, pa.string()), 64)
+    assert got.tolist() == [brute_words(t, 64) for t in texts]
+
+
+def test_token_over_windows(monkeypatch):
+    monkeypatch.setattr(fpm, "_WINDOW", 4)
+    texts = ["hello wörld a b", "", " x ", "ab" * 50, "   ", "a\nb c"]
+    got = fpm.token_matrix(pa.array(texts), 64)
+    assert got.tolist() == [brute_words(t, 64) for t in texts]
