@@ -56,8 +56,8 @@ def document_lines(spark, folder) -> DataFrame:
 
 
 def lines_parse(spark, folder):
-    parsed = fingerprints.parse_lines(document_lines(spark, folder))
-    return parsed.filter("smiles is not null").select("row_id", "smiles", "name")
+    lines = fingerprints.accepted_lines(document_lines(spark, folder))
+    return lines.select("row_id", "smiles", "name")
 
 
 def lines_parse_report(spark, folder):
@@ -83,8 +83,7 @@ def _segment(path) -> F.Column:
 
 def scan_lines(spark, folder):
     lines = files.scan_lines(spark, _customer_files(spark, folder), True, "*.csv")
-    parsed = fingerprints.parse_lines(lines)
-    return parsed.select(_segment("source_file"), "smiles", "name")
+    return fingerprints.accepted_lines(lines).select(_segment("source_file"), "smiles", "name")
 
 
 def scan_delimited(spark, folder):

@@ -42,6 +42,16 @@ def _pair(df: DataFrame, options: FingerprintOptions) -> Column:
     return F.get(accepted, 0)
 
 
+def accepted_lines(df: DataFrame, options: FingerprintOptions = FingerprintOptions()) -> DataFrame:
+    """The lines that parse, with their ``smiles`` and ``name`` instead of ``value``.
+
+    A generator drops the rejected lines: a filter on the parsed fields would be pushed below the
+    projection and parse every line twice.
+    """
+    pair = F.filter(F.array(_pair(df, options)), lambda p: p.isNotNull())
+    return df.select(*[c for c in df.columns if c != "value"], F.inline(pair))
+
+
 def add_fingerprint(
     df: DataFrame,
     col: str,
@@ -65,9 +75,7 @@ def fingerprint_lines(
 
     Short and empty lines are dropped before the fingerprint is computed.
     """
-    pair = F.filter(F.array(_pair(df, options)), lambda p: p.isNotNull())
-    # A generator drops the rejected lines; a filter on the parsed fields would parse them twice.
-    parsed = df.select("row_id", F.inline(pair))
+    parsed = accepted_lines(df, options)
     if valid is not None:
         parsed = parsed.filter(valid(F.col("smiles")))
     bits = add_fingerprint(parsed, "smiles", options)

@@ -33,7 +33,7 @@ from nestmeans.functions.vectors import HASH_BITS, hash_order, to_grid
 from nestmeans.operators import kernels
 from nestmeans.options import KMeansOptions
 from nestmeans.schemas import CENTROIDS, require_columns, vector_width
-from nestmeans.scratch import checkpoint
+from nestmeans.scratch import checkpoint, settle
 
 G, ID, H = "_g", "_id", "_h"
 _SPAN = 1 << HASH_BITS
@@ -213,14 +213,6 @@ def attach(rows: DataFrame, facts: DataFrame, *columns: str) -> DataFrame:
     return rows.filter(F.col(G) == head[0][G]).withColumns(literals)
 
 
-def settle(df: DataFrame, max_rows: int) -> DataFrame:
-    """Compute ``df`` now: as local data when it has at most ``max_rows``, else checkpointed."""
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return checkpoint(df)
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
-
-
 def _settle_model(df: DataFrame, dim: int) -> DataFrame:
     return settle(df, _LOCAL_MODEL_BYTES // (8 * dim))
 

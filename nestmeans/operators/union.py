@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestmeans.schemas import require_columns
+from nestmeans.scratch import settle
+
+_LOCAL_ROWS = 100_000
 
 
 def pick_columns(df: DataFrame, columns: list[str] | None) -> DataFrame:
@@ -37,13 +40,14 @@ def union_tables(
 
 def vector_widths(df: DataFrame, source: str, vec: str = "fp") -> DataFrame:
     """Rows and vector widths of every source; ``accepted`` when all its vectors are as wide as
-    those of the first source by name."""
+    those of the first source by name. One pass over the table, run now."""
     width = F.size(vec)
     per_source = df.groupBy(source).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(width).cast("bigint").alias("min_width"),
         F.max(width).cast("bigint").alias("max_width"),
     )
+    per_source = settle(per_source, _LOCAL_ROWS)
     wanted = per_source.agg(F.min_by("min_width", source)).scalar()
     even = (F.col("min_width") == wanted) & (F.col("max_width") == wanted)
     return per_source.withColumn("accepted", even)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from nestmeans.functions.fingerprint import hashed_fingerprint
-from nestmeans.operators.fingerprints import parse_lines
+from nestmeans.operators.fingerprints import accepted_lines
 from nestmeans.options import FingerprintOptions
 
 
@@ -25,11 +25,12 @@ def stream_fingerprints(
     lines: DataFrame, options: FingerprintOptions = FingerprintOptions()
 ) -> DataFrame:
     """(source_file, smiles, name, fp) of the lines that parse."""
-    parsed = parse_lines(lines, options).filter(F.col("smiles").isNotNull())
     fp = hashed_fingerprint(
         "smiles", options.fp_type, options.n_bits, options.radius, options.use_features
     )
-    return parsed.select("source_file", "smiles", "name", fp.alias("fp"))
+    return accepted_lines(lines, options).select(
+        "source_file", "smiles", "name", fp.alias("fp")
+    )
 
 
 def write_new(df: DataFrame, path: str, progress: str) -> StreamingQuery:
