@@ -32,7 +32,7 @@ from pyspark.sql import Window
 from nestmeans.functions.vectors import HASH_BITS, hash_order, to_grid
 from nestmeans.operators import kernels
 from nestmeans.options import KMeansOptions
-from nestmeans.schemas import CENTROIDS, require_columns, vector_width
+from nestmeans.schemas import CENTROIDS, payload_bytes, require_columns, vector_width
 from nestmeans.scratch import checkpoint, settle
 
 G, ID, H = "_g", "_id", "_h"
@@ -120,7 +120,9 @@ def training_rows(df, vec, row_id, group, options) -> DataFrame:
 
 
 def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool) -> DataFrame:
-    """Complete (group, n, k) with the sample cuts, and what a local task would hold and do.
+    """Complete (group, n, k, bytes) with the sample cuts, and what a local task would hold and do.
+
+    ``bytes`` is what the rows of the group carry besides their vectors.
 
     A group of n rows trains on the rows with a hash below the cut, about
     ``max_points_per_centroid * k`` of them, or on all rows when n is smaller. ``whole`` says
@@ -137,7 +139,7 @@ def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool)
     def ample(wanted):
         return wanted + F.sqrt(wanted.cast("double")) * 40 + 1000
 
-    held = (n if whole else F.least(n, ample(m))) * F.lit(float(dim * 8))
+    held = (n if whole else F.least(n, ample(m))) * F.lit(float(dim * 8)) + F.col("bytes")
     flops = m * k * F.lit(2.0 * dim * options.max_iter * options.n_init)
     return sizes.select(
         G, n, k,
@@ -196,7 +198,7 @@ def _stored_plan(part: DataFrame) -> Plan:
 
 
 def single_sizes(spark: SparkSession, n: int, k: int) -> DataFrame:
-    return spark.createDataFrame(pa.table({G: [0], "n": [n], "k": [min(k, n)]}))
+    return spark.createDataFrame(pa.table({G: [0], "n": [n], "k": [min(k, n)], "bytes": [0]}))
 
 
 def attach(rows: DataFrame, facts: DataFrame, *columns: str) -> DataFrame:
@@ -538,9 +540,10 @@ def _model_frame(spark: SparkSession, best: dict[int, tuple], dim: int) -> DataF
 # --- the streamed way -------------------------------------------------------------------------
 
 
-def _slices(rows_in_group, dim: int, options: KMeansOptions):
-    per_slice = max(1, options.slice_bytes // (8 * dim))
-    return F.ceil(rows_in_group / F.lit(float(per_slice))).cast("int")
+def _slices(rows_in_group, dim: int, options: KMeansOptions, payload=None):
+    held = rows_in_group * F.lit(float(8 * dim))
+    held = held if payload is None else held + payload
+    return F.greatest(F.ceil(held / F.lit(float(options.slice_bytes))), F.lit(1)).cast("int")
 
 
 def _sliced(rows: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
@@ -774,8 +777,11 @@ def assign_groups(
         to_grid(vec, options.scale).alias("grid"),
         F.struct(*names).alias("payload"),
     )
-    sizes = settle(rows.groupBy(G).count(), _LOCAL_PLAN_ROWS)
-    slices = sizes.select(G, _slices(F.col("count"), dim, options).alias("slices"))
+    sizes = df.groupBy(group.cast("bigint").alias(G)).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(df, set())).alias("bytes")
+    )
+    slices = _slices(F.col("n"), dim, options, F.col("bytes"))
+    slices = settle(sizes.select(G, slices.alias("slices")), _LOCAL_PLAN_ROWS)
     tasks = _cell_tasks(df.sparkSession, slices.agg(F.sum("slices")).first()[0] or 0)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,25 @@ def vector_width(df: DataFrame, vec: str) -> int | None:
     return None if row is None else row.d
 
 
+def payload_bytes(df: DataFrame, skip: set[str]) -> Column:
+    """Bytes of a row's values of variable length, apart from the columns in ``skip``."""
+    total = F.lit(0).cast("bigint")
+    for field in df.schema:
+        if field.name in skip:
+            continue
+        c, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+            size = F.size(c) * 8
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(F.struct(c)))
+        else:
+            continue
+        total = total + F.coalesce(size, F.lit(0))
+    return total
+
+
 def vector_contract(df: DataFrame, vec: str) -> DataFrame:
     """One-row report: rows, narrowest and widest vector, rows that break the contract."""
     size = F.size(vec)

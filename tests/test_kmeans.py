@@ -149,6 +149,17 @@ def test_stage2_ways_agree_and_mix(vectors):
     assert run(local_bytes=60 * 12 * 8) == want
 
 
+def test_heavy_payload_leaves_the_local_way(spark, vectors):
+    """Long texts beside the vectors count as memory of a group, and come through unchanged."""
+    rows = vectors.withColumn("cluster_k1", (F.col("row_id") % 3).cast("int"))
+    rows = rows.withColumn("text", F.repeat(F.col("row_id").cast("string"), 3000))
+    want = stage2(rows, value=5.0, options=KMeansOptions(max_iter=2))
+    small = {"local_bytes": 200_000, "slice_bytes": 100_000, "broadcast_bytes": 0}
+    got = stage2(rows, value=5.0, options=KMeansOptions(max_iter=2, **small))
+    for a, b in zip(want, got):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def test_stage2_rejects_null_groups(vectors):
     with pytest.raises(ValueError, match="NULL"):
         stage2(vectors.withColumn("cluster_k1", F.lit(None).cast("int")))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nestmeans.operators.fingerprints import add_fingerprint
+from nestmeans.operators.kmeans import kmeans_assign
 from nestmeans.operators.normalize import canonical_dedup
 from nestmeans.operators.ordinals import split_parts, with_ordinal
 from nestmeans.operators.profile import missing_parts, preview, profile
@@ -214,3 +215,17 @@ def test_stream_reads_new_files_only(spark, tmp_path):
     put(tmp_path / "in" / "2.smi", "CCC b\n")
     assert run() == {"a", "b"}
     assert spark.read.parquet(out).count() == 2
+
+
+def test_assign_on_a_stream(spark, tmp_path):
+    """Assignment against stored centroids needs no state, so it runs on a stream as it is."""
+    path = str(tmp_path / "rows")
+    rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [9.0, 9.0])], "row_id bigint, fp array<double>")
+    rows.write.parquet(path)
+    model = spark.createDataFrame([(0, [8.0, 8.0]), (1, [1.0, 0.0])], "cluster int, centroid array<double>")
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    out = str(tmp_path / "out")
+    query = write_new(kmeans_assign(stream, model), out, str(tmp_path / "progress"))
+    query.awaitTermination(120)
+    got = {r.row_id: (r.cluster, r.dist) for r in spark.read.parquet(out).collect()}
+    assert got == {1: (1, 1.0), 2: (0, 2.0)}
