@@ -188,6 +188,15 @@ def fingerprint_lines(spark, folder):
     return rows.select("row_id", "smiles", "name", joined(on_bits("fp")).alias("on_bits"))
 
 
+def fingerprint_files(spark, folder):
+    """Lines to a fingerprint table with one folder per source, read back as one table."""
+    path = scratch_path(spark, "bits")
+    rows = fingerprints.fingerprint_lines(document_lines(spark, folder), source="source_file")
+    sinks.write_fingerprints(rows, path, source="source_file")
+    back = spark.read.parquet(path)
+    return back.select("source_file", "row_id", "name", popcount("fp").cast("bigint").alias("ones"))
+
+
 def _named_bits(df, name, n_bits) -> DataFrame:
     bits = fingerprints.add_fingerprint(df, name, FingerprintOptions(n_bits=n_bits))
     return bits.select(F.col(name).alias("smiles"), F.col(df.columns[0]).alias("key"), "fp")
@@ -584,7 +593,7 @@ QUERIES = {
         normalize_fold, normalize_fragment, normalize_smiles_tokens,
         dedup_per_source, dedup_global, dedup_report,
         fingerprint_qgram, fingerprint_features, fingerprint_token, fingerprint_documents,
-        fingerprint_lines, fingerprint_union, union_widths, union_compatible, union_tables,
+        fingerprint_lines, fingerprint_files, fingerprint_union, union_widths, union_compatible, union_tables,
         vector_check, vector_cast, vector_distance,
         kmeans_fit, kmeans_fit_broadcast, kmeans_fit_streamed, kmeans_fit_sampled,
         kmeans_restarts, kmeans_objective,

@@ -70,9 +70,12 @@ def fingerprint_lines(
     df: DataFrame,
     options: FingerprintOptions = FingerprintOptions(),
     valid: Callable[[Column], Column] | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """(row_id, smiles, name, fp) of the lines that parse and have a fingerprint.
 
+    ``source`` names a column to keep beside them, such as the file a line comes from.
+
     Short and empty lines are dropped before the fingerprint is computed.
     """
     parsed = accepted_lines(df, options)
@@ -81,7 +84,7 @@ def fingerprint_lines(
     bits = add_fingerprint(parsed, "smiles", options)
     if options.fp_type.lower() not in TOTAL_KINDS:
         bits = bits.filter(F.col("fp").isNotNull())
-    return bits.select("row_id", "smiles", "name", "fp")
+    return bits.select("row_id", "smiles", "name", "fp", *([source] if source else []))
 
 
 def fingerprint_report(

@@ -140,7 +140,7 @@ def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool)
         return wanted + F.sqrt(wanted.cast("double")) * 40 + 1000
 
     held = (n if whole else F.least(n, ample(m))) * F.lit(float(dim * 8)) + F.col("bytes")
-    flops = m * k * F.lit(2.0 * dim * options.max_iter * options.n_init)
+    flops = m.cast("double") * k * F.lit(2.0 * dim * options.max_iter * options.n_init)
     return sizes.select(
         G, n, k,
         F.when(n > cap, share(cap)).otherwise(F.lit(_SPAN)).alias("cut"),
@@ -417,7 +417,8 @@ def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
         for g, span in model.spans.items():
             if g not in best or cost[g] < best[g][2]:
                 best[g] = (model.centers[span], sizes[span], cost[g])
-    return _settle_model(_model_frame(spark, best, dim), dim)
+    frame = _model_frame(spark, best, dim)
+    return frame if plan.centers * dim * 8 <= _LOCAL_MODEL_BYTES else checkpoint(frame)
 
 
 def _packer(dim: int, scale: int):

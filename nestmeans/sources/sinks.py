@@ -70,10 +70,15 @@ def partitioned(df: DataFrame, *keys: str) -> DataFrame:
 
 def write_fingerprints(
     df: DataFrame, path: str, fp_dtype: str = "int8", compression: str | None = "gzip",
-    level: int | None = 4,
+    level: int | None = 4, source: str | None = None,
 ) -> None:
-    require_columns(df, "fp")
-    _parquet(df.withColumn("fp", cast_vector("fp", fp_dtype)), compression, level).parquet(path)
+    """Fingerprint table; one folder per source when ``source`` is given."""
+    require_columns(df, "fp", *([source] if source else []))
+    out = df.withColumn("fp", cast_vector("fp", fp_dtype))
+    if source:
+        _parquet(partitioned(out, source), compression, level).partitionBy(source).parquet(path)
+    else:
+        _parquet(out, compression, level).parquet(path)
 
 
 def write_clusters(
