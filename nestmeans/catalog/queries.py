@@ -213,7 +213,7 @@ def fingerprint_union(spark, folder):
 
 
 def _mixed_widths(spark, folder) -> DataFrame:
-    return union.union_tables(
+    rows = union.union_tables(
         {
             "part": _named_bits(table(spark, folder, "part"), "p_name", 256),
             "supplier": _named_bits(table(spark, folder, "supplier"), "s_name", 128),
@@ -221,6 +221,7 @@ def _mixed_widths(spark, folder) -> DataFrame:
         },
         source="source",
     )
+    return materialize(rows, "mixed")
 
 
 def union_widths(spark, folder):

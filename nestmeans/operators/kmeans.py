@@ -41,7 +41,7 @@ _LOCAL_PLAN_ROWS = 100_000
 _LOCAL_MODEL_BYTES = 16 << 20
 _RANK_ROWS = 100_000
 _OUT_ROWS = 10_000
-_TASK_FLOPS = 4e9
+_TASK_FLOPS = 1e9
 _MERGE_BYTES = 32 << 20
 
 _MODEL = "_g bigint, cluster int, grid array<int>, n bigint, objective double"
@@ -397,9 +397,14 @@ class Model:
 
 def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
     spark = rows.sparkSession
-    tasks = _tasks(
-        spark, plan.flops * 2 * dim / _TASK_FLOPS, plan.rows * dim * 8 / options.slice_bytes
-    )
+    work, memory = 2 * dim / _TASK_FLOPS, dim * 8 / options.slice_bytes
+    tasks = _tasks(spark, plan.flops * work, plan.rows * memory)
+    # Rows of a group stay together as far as the work allows, so that a task sends partial sums
+    # of a few groups only. Four slices per task even out what hashing puts together.
+    work *= 4 * min(1.0, tasks / max(plan.flops * work, 1.0))
+    m, k = F.col("m"), F.col("k")
+    slices = F.greatest(F.ceil(m * k * F.lit(work)), F.ceil(m * F.lit(4 * memory)), F.lit(1))
+    slices = plan.frame.select(G, slices.cast("int").alias("slices"))
     best: dict[int, tuple] = {}
     for restart in range(options.n_init):
         starts = _start_rows(rows, plan, restart, options.scale)
@@ -407,7 +412,10 @@ def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
         model = Model.of(starts.toArrow(), dim)
         _check_starts(len(model.centers), plan)
         sample = _sample(rows, plan, starts, restart).select(G, ID, "vec")
-        sample = sample.repartition(tasks, ID).mapInArrow(_packer(dim, options.scale), _PACKED)
+        sample = attach(sample, slices, "slices").repartition(
+            tasks, G, F.pmod(F.xxhash64(ID), F.col("slices"))
+        )
+        sample = sample.select(G, "vec").mapInArrow(_packer(dim, options.scale), _PACKED)
         sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
         for _ in range(options.max_iter):
             model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim)

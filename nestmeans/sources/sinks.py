@@ -9,6 +9,7 @@ from nestmeans.functions.vectors import cast_vector
 from nestmeans.operators.ordinals import split_parts
 from nestmeans.schemas import require_columns
 
+# lzf stands for a fast codec, which is snappy in Parquet.
 CODECS = {"gzip": "gzip", "lzf": "snappy", "zstd": "zstd", "snappy": "snappy",
           "none": "uncompressed", None: "uncompressed"}
 DETAIL_COLUMNS = ["SMILES", "NAME", "CLUSTER_k2", "DISTANCE_k2"]
