@@ -42,6 +42,8 @@ _LOCAL_MODEL_BYTES = 16 << 20
 _RANK_ROWS = 100_000
 _OUT_ROWS = 10_000
 _TASK_FLOPS = 1e9
+_CELL_FLOPS = 1e10
+_CELL_TASKS = 200_000
 _MERGE_BYTES = 32 << 20
 
 _MODEL = "_g bigint, cluster int, grid array<int>, n bigint, objective double"
@@ -549,10 +551,14 @@ def _model_frame(spark: SparkSession, best: dict[int, tuple], dim: int) -> DataF
 # --- the streamed way -------------------------------------------------------------------------
 
 
-def _slices(rows_in_group, dim: int, options: KMeansOptions, payload=None):
-    held = rows_in_group * F.lit(float(8 * dim))
+def _slices(n, k, dim: int, options: KMeansOptions, most: int, payload=None):
+    """Slices of a group of n rows that meets k centroids: as many as memory needs, and up to
+    ``most`` of them to share the work."""
+    held = n * F.lit(float(8 * dim))
     held = held if payload is None else held + payload
-    return F.greatest(F.ceil(held / F.lit(float(options.slice_bytes))), F.lit(1)).cast("int")
+    memory = F.ceil(held / F.lit(float(options.slice_bytes)))
+    work = F.least(F.ceil(n.cast("double") * k * F.lit(2 * dim / _CELL_FLOPS)), F.lit(most))
+    return F.greatest(memory, work, F.lit(1)).cast("int").alias("slices")
 
 
 def _sliced(rows: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
@@ -589,9 +595,10 @@ def _meet(sliced: DataFrame, centers: DataFrame, slices: DataFrame, tasks: int)
     )
 
 
-def _cell_tasks(spark: SparkSession, cells: float) -> int:
-    """About one slice per task, so that hot groups use the whole cluster."""
-    return int(max(parallelism(spark), min(np.ceil(cells), 200_000)))
+def _cell_tasks(slices: DataFrame) -> int:
+    """Two tasks per slice, which evens out what hashing puts together."""
+    cells = slices.agg(F.sum("slices")).first()[0] or 0
+    return int(min(max(1, 2 * cells), _CELL_TASKS))
 
 
 class _Cell:
@@ -645,9 +652,9 @@ def _complete(group: int, cell: _Cell) -> _Cell:
 
 
 def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
-    slices = plan.frame.select(G, _slices(F.col("m"), dim, options).alias("slices"))
-    cells = plan.groups + plan.rows * dim * 8 / options.slice_bytes
-    tasks = _cell_tasks(rows.sparkSession, cells)
+    most = 4 * parallelism(rows.sparkSession)
+    slices = plan.frame.select(G, _slices(F.col("m"), F.col("k"), dim, options, most))
+    tasks = _cell_tasks(slices)
     runs = []
     for restart in range(options.n_init):
         starts = checkpoint(_start_rows(rows, plan, restart, options.scale))
@@ -789,9 +796,16 @@ def assign_groups(
     sizes = df.groupBy(group.cast("bigint").alias(G)).agg(
         F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(df, set())).alias("bytes")
     )
-    slices = _slices(F.col("n"), dim, options, F.col("bytes"))
-    slices = settle(sizes.select(G, slices.alias("slices")), _LOCAL_PLAN_ROWS)
-    tasks = _cell_tasks(df.sparkSession, slices.agg(F.sum("slices")).first()[0] or 0)
+    sizes = settle(sizes, _LOCAL_PLAN_ROWS)
+    centers = settle(model.groupBy(G).agg(F.count(F.lit(1)).alias("k")), _LOCAL_PLAN_ROWS)
+    most = 4 * parallelism(df.sparkSession)
+    slices = _slices(F.col("n"), F.col("k"), dim, options, most, F.col("bytes"))
+    # A left join: rows of a group without centroids must fail later, not vanish.
+    slices = sizes.join(centers, G, "left").select(
+        G, F.coalesce(slices, F.lit(1)).alias("slices")
+    )
+    slices = settle(slices, _LOCAL_PLAN_ROWS)
+    tasks = _cell_tasks(slices)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, cell in _cells(batches, dim):
