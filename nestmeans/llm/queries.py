@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import url_filter
+from nestmeans.llm import pii, url_filter
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -58,3 +58,19 @@ FROM ruled
 
 QUERIES = {"op1_url_filter": op1_url_filter}
 ORACLES = {"op1_url_filter": _OP1}
+
+
+def op8_pii(spark, folder):
+    """Personal data of every document."""
+    spans = pii.scan(table(spark, folder, "documents"))
+    base, every = F.col("base"), F.concat("base", "added")
+    return spans.select(
+        "doc_id",
+        *[pii.count_of(base, k.name).alias(f"n_{k.name}") for k in pii.BASE],
+        F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(every).alias("spans"),
+        F.array_join(F.transform(every, lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"),
+    )
+
+
+QUERIES["op8_pii"] = op8_pii
