@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import pii, url_filter
+from nestmeans.llm import html_text, pii, url_filter
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -74,3 +74,11 @@ def op8_pii(spark, folder):
 
 
 QUERIES["op8_pii"] = op8_pii
+
+
+def op2_html_text(spark, folder):
+    """Main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+QUERIES["op2_html_text"] = op2_html_text
