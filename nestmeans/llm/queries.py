@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import html_text, pii, url_filter
+from nestmeans.llm import html_text, pii, url_filter, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -82,3 +82,15 @@ def op2_html_text(spark, folder):
 
 
 QUERIES["op2_html_text"] = op2_html_text
+
+
+def op6_warc(spark, folder):
+    """Every page through WARC archives and back."""
+    found = warc.round_trip(spark, table(spark, folder, "pages"))
+    return found.where("kind = 'record'").select(
+        warc.page_id_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_id_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+QUERIES["op6_warc"] = op6_warc
