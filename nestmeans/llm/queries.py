@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import html_text, pii, url_filter, warc
+from nestmeans.llm import html_text, jaccard, pii, url_filter, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -94,3 +94,11 @@ def op6_warc(spark, folder):
 
 
 QUERIES["op6_warc"] = op6_warc
+
+
+def op9_jaccard(spark, folder):
+    """Classes of documents linked by the similarity of their word shingles."""
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
+QUERIES["op9_jaccard"] = op9_jaccard
