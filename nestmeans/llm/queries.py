@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import html_text, jaccard, pii, url_filter, warc
+from nestmeans.llm import decontaminate, html_text, jaccard, pii, url_filter, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -102,3 +102,11 @@ def op9_jaccard(spark, folder):
 
 
 QUERIES["op9_jaccard"] = op9_jaccard
+
+
+def op3_decontaminate(spark, folder):
+    """Benchmark items found in documents."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES["op3_decontaminate"] = op3_decontaminate
