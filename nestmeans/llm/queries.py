@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import decontaminate, html_text, jaccard, pii, url_filter, warc
+from nestmeans.llm import decontaminate, html_text, jaccard, packing, pii, url_filter, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -110,3 +110,11 @@ def op3_decontaminate(spark, folder):
 
 
 QUERIES["op3_decontaminate"] = op3_decontaminate
+
+
+def op5_pack(spark, folder):
+    """All documents packed into windows."""
+    return packing.pack(table(spark, folder, "documents"))
+
+
+QUERIES["op5_pack"] = op5_pack
