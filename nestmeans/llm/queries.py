@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import decontaminate, html_text, jaccard, packing, pii, url_filter, warc
+from nestmeans.llm import decontaminate, html_text, jaccard, language, packing, pii, url_filter, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -118,3 +118,11 @@ def op5_pack(spark, folder):
 
 
 QUERIES["op5_pack"] = op5_pack
+
+
+def op7_language(spark, folder):
+    """Language of every document."""
+    return language.identify(table(spark, folder, "documents"))
+
+
+QUERIES["op7_language"] = op7_language
