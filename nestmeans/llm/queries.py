@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import decontaminate, html_text, jaccard, language, packing, pii, url_filter, warc
+from nestmeans.llm import decontaminate, html_text, jaccard, language, packing, pii, quality, url_filter, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -126,3 +126,11 @@ def op7_language(spark, folder):
 
 
 QUERIES["op7_language"] = op7_language
+
+
+def op10_quality(spark, folder):
+    """Quality of every document."""
+    return quality.grade(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES["op10_quality"] = op10_quality
