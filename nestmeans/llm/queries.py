@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import decontaminate, html_text, jaccard, language, packing, pii, quality, url_filter, warc
+from nestmeans.llm import decontaminate, html_text, jaccard, language, packing, pii, quality, url_filter, vector_graph, warc
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -134,3 +134,11 @@ def op10_quality(spark, folder):
 
 
 QUERIES["op10_quality"] = op10_quality
+
+
+def op4_vector_graph(spark, folder):
+    """Links and classes of near-duplicate vectors within a label."""
+    return vector_graph.near_duplicates(table(spark, folder, "embeddings"))
+
+
+QUERIES["op4_vector_graph"] = op4_vector_graph
