@@ -100,7 +100,7 @@ def test_graph_reaches_all_in_range():
 def test_robust_prune():
     x = G.unit(np.array([[1, 0], [1, 0.1], [1, 0.11], [0, 1], [1, -0.5]])).astype(np.float32)
     kept = G.robust_prune(x, np.array([0]), np.array([[1, 2, 3, 4, 0, 1, -1]]), 4)
-    assert kept[0].tolist() == [1, 4, -1, -1]
+    assert kept[0].tolist() == [1, 4, 3, -1]
 
 
 def test_audit(spark):
