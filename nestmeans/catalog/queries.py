@@ -24,10 +24,11 @@ FIT_K, FIT_ITER = 8, 3
 K1, STAGE_ITER, RATIO, BASE_K = 4, 2, 8.0, 2
 DOC_BITS = 512
 SAMPLED = 10
+SCALE = 10_000  # one grid for both engines
 
-FIT = KMeansOptions(max_iter=FIT_ITER)
-ONE = KMeansOptions(max_iter=1)
-STAGE = KMeansOptions(max_iter=STAGE_ITER)
+FIT = KMeansOptions(max_iter=FIT_ITER, scale=SCALE)
+ONE = KMeansOptions(max_iter=1, scale=SCALE)
+STAGE = KMeansOptions(max_iter=STAGE_ITER, scale=SCALE)
 BROADCAST = {"local_bytes": 0}
 STREAMED = {"local_bytes": 0, "broadcast_bytes": 0, "slice_bytes": 8 * 64 * 200}
 
@@ -229,7 +230,7 @@ def union_widths(spark, folder):
 
 
 def union_compatible(spark, folder):
-    rows = union.compatible_rows(_mixed_widths(spark, folder), "source")
+    rows = union.compatible_rows(_mixed_widths(spark, folder), "source", on_mismatch="drop")
     return rows.select("source", "key")
 
 
@@ -263,7 +264,7 @@ def vector_distance(spark, folder):
 
 
 def _fit(spark, folder, **changes) -> DataFrame:
-    options = KMeansOptions(**{"max_iter": FIT_ITER, **changes})
+    options = KMeansOptions(**{"max_iter": FIT_ITER, "scale": SCALE, **changes})
     rows = table(spark, folder, "embeddings")
     return kmeans.kmeans_fit(rows, FIT_K, "embedding", "vec_id", options)
 
@@ -311,7 +312,7 @@ def assign(spark, folder):
 
 
 def assign_streamed(spark, folder):
-    rows = _assigned(spark, folder, KMeansOptions(max_iter=1, **STREAMED))
+    rows = _assigned(spark, folder, KMeansOptions(max_iter=1, scale=SCALE, **STREAMED))
     return rows.select("vec_id", F.col("cluster").cast("bigint").alias("cluster"), "dist")
 
 
@@ -331,8 +332,9 @@ def valid_clusters(spark, folder):
 
 
 def conservation(spark, folder):
-    rows = table(spark, folder, "customer")
-    return clusters.conservation(rows, rows, "c_nationkey", 20)
+    """Rows before and after an assignment."""
+    rows = table(spark, folder, "embeddings")
+    return clusters.conservation(rows, _assigned(spark, folder), "cluster", FIT_K)
 
 
 def representatives(spark, folder):
@@ -406,12 +408,12 @@ def stage2_centers(spark, folder):
 
 
 def stage2_centers_broadcast(spark, folder):
-    options = KMeansOptions(max_iter=STAGE_ITER, **BROADCAST)
+    options = KMeansOptions(max_iter=STAGE_ITER, scale=SCALE, **BROADCAST)
     return _detail(_stages(spark, folder, options).centers)
 
 
 def stage2_details_streamed(spark, folder):
-    options = KMeansOptions(max_iter=STAGE_ITER, **STREAMED)
+    options = KMeansOptions(max_iter=STAGE_ITER, scale=SCALE, **STREAMED)
     return _detail(_stages(spark, folder, options).details)
 
 

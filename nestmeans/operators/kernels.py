@@ -13,6 +13,7 @@ _EXACT = float(1 << 53)
 _BLOCK_CELLS = 1 << 19
 _BLOCK_CENTERS = 2048
 _SUM_ROWS = 1 << 14
+HALF_BITS = 26
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -26,7 +27,17 @@ def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
-def on_grid(x: np.ndarray, scale: int) -> np.ndarray:
+def finest_scale(top: float, dim: int) -> float:
+    """The largest power of two by which coordinates up to ``top`` still give exact sums."""
+    if not 0 < top < np.inf:
+        if top == 0:
+            return 1.0
+        raise ValueError("vectors hold NaN or infinite coordinates")
+    room = 0.99 * np.sqrt(_EXACT / (4.0 * dim)) / top
+    return float(2.0 ** min(np.floor(np.log2(room)), 1000))
+
+
+def on_grid(x: np.ndarray, scale: float) -> np.ndarray:
     x = np.floor(x.astype(np.float64) * float(scale) + 0.5)
     if x.size:
         top = np.abs(x).max()
@@ -35,27 +46,39 @@ def on_grid(x: np.ndarray, scale: int) -> np.ndarray:
     return x
 
 
+def prepared(centers: np.ndarray) -> np.ndarray:
+    """Centres as :func:`nearest_prepared` wants them: -2c by column, and |c|^2 below."""
+    right = np.empty((centers.shape[1] + 1, len(centers)))
+    np.multiply(centers.T, -2.0, out=right[:-1])
+    np.einsum("ij,ij->j", right[:-1], right[:-1], out=right[-1])
+    right[-1] /= 4.0
+    return right
+
+
 def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of and squared distance to the nearest centre; the lowest index wins ties.
+    """Index of and squared distance to the nearest centre; the lowest index wins ties."""
+    return nearest_prepared(x, prepared(centers))
+
 
-    |c|^2 - 2xc comes from one matrix product with a column of ones, in blocks that stay in cache.
+def nearest_prepared(x: np.ndarray, ready: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """|c|^2 - 2xc comes from one matrix product with a column of ones, in blocks that stay in cache.
+
+    The work space is bounded by the rows at hand and by a block, whatever the number of centres.
     """
     n, dim = x.shape
+    centers = ready.shape[1]
     index, best = np.zeros(n, dtype=np.int64), np.full(n, np.inf)
-    width = min(_BLOCK_CENTERS, max(1, len(centers)))
-    height = max(1, _BLOCK_CELLS // width)
+    width = min(_BLOCK_CENTERS, max(1, centers))
+    height = max(1, min(n, _BLOCK_CELLS // max(width, dim + 1)))
     cells, every = np.empty((height, width)), np.arange(height)
     padded = np.ones((height, dim + 1))
-    for c0 in range(0, len(centers), width):
-        block = centers[c0 : c0 + width]
-        right = np.empty((dim + 1, len(block)))
-        np.multiply(block.T, -2.0, out=right[:dim])
-        right[dim] = np.einsum("ij,ij->i", block, block)
+    for c0 in range(0, centers, width):
+        right = ready[:, c0 : c0 + width]
         for r0 in range(0, n, height):
             rows = x[r0 : r0 + height]
             left = padded[: len(rows)]
             left[:, :dim] = rows
-            d = np.matmul(left, right, out=cells[: len(left), : len(block)])
+            d = np.matmul(left, right, out=cells[: len(left), : right.shape[1]])
             at = d.argmin(axis=1)
             found = d[every[: len(left)], at]
             better = found < best[r0 : r0 + height]
@@ -73,8 +96,19 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(change) + 1, [n])) if n else np.array([0])
 
 
+def halves(dist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Integer distances as high and low parts, whose sums stay exact over any number of rows."""
+    whole = dist.astype(np.int64)
+    return whole >> HALF_BITS, whole & ((1 << HALF_BITS) - 1)
+
+
+def whole(high, low) -> float:
+    """The exact sum that two summed parts stand for, rounded once."""
+    return float((int(high) << HALF_BITS) + int(low))
+
+
 def cluster_sums(x, index, dist):
-    """(ids, row counts, vector sums, distance sums) of the clusters that occur."""
+    """(ids, row counts, vector sums, high and low sums of distances) of the clusters that occur."""
     ids = np.unique(index)
     slot = np.searchsorted(ids, index)
     sums = np.zeros((len(ids), x.shape[1]))
@@ -84,7 +118,10 @@ def cluster_sums(x, index, dist):
         first = run_starts(part[order])[:-1]
         sums[part[order][first]] += np.add.reduceat(x[r0 : r0 + _SUM_ROWS][order], first, axis=0)
     counts = np.bincount(slot, minlength=len(ids))
-    return ids, counts, sums, np.bincount(slot, weights=dist, minlength=len(ids))
+    costs = np.zeros((2, len(ids)), dtype=np.int64)
+    for part, cost in zip(halves(dist), costs):
+        np.add.at(cost, slot, part)
+    return ids, counts, sums, costs
 
 
 def divide(sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -131,7 +168,7 @@ def lloyd(x: np.ndarray, start: np.ndarray, max_iter: int):
         index, dist = nearest(x, centers.astype(np.float64))
         ids, counts, sums, cost = cluster_sums(x, index, dist)
         moved, sizes = next_centers(centers, ids, counts, sums)
-        objective = float(cost.sum())
+        objective = whole(*cost.sum(axis=1))
         if np.array_equal(moved, centers):
             break
         centers = moved

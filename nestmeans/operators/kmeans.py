@@ -18,7 +18,7 @@ Assignment of all rows to a trained model has the last two ways.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import Window
 from nestmeans.functions.vectors import HASH_BITS, hash_order, to_grid
 from nestmeans.operators import kernels
 from nestmeans.options import KMeansOptions
-from nestmeans.schemas import CENTROIDS, payload_bytes, require_columns, vector_width
+from nestmeans.schemas import CENTROIDS, payload_bytes, require_columns
 from nestmeans.scratch import checkpoint, settle
 
 G, ID, H = "_g", "_id", "_h"
@@ -48,8 +48,8 @@ _MERGE_BYTES = 32 << 20
 
 _MODEL = "_g bigint, cluster int, grid array<int>, n bigint, objective double"
 _PACKED = "_g bigint, grid binary"
-_PARTIAL = "_g bigint, cluster int, n bigint, cost double, total array<bigint>"
-_MEAN = "_g bigint, cluster int, n bigint, cost double, mean array<int>"
+_PARTIAL = "_g bigint, cluster int, n bigint, high bigint, low bigint, total array<bigint>"
+_MEAN = "_g bigint, cluster int, n bigint, high bigint, low bigint, mean array<int>"
 
 
 # --- public operators -----------------------------------------------------------------------
@@ -67,11 +67,12 @@ def kmeans_fit(
         raise ValueError("k must be >= 1")
     require_columns(df, vec, row_id)
     spark = df.sparkSession
-    dim = vector_width(df, vec)
-    if dim is None:
+    n, dim, top = vector_facts(df, vec)
+    if not n:
         return spark.createDataFrame([], CENTROIDS)
+    options = with_scale(options, top, dim)
     rows = training_rows(df, vec, row_id, F.lit(0), options)
-    plans = make_plans(single_sizes(spark, df.count(), k), dim, options, whole=False)
+    plans = make_plans(single_sizes(spark, n, k), dim, options, whole=False)
     return public_model(fit_groups(rows, plans, dim, options), options).drop(G)
 
 
@@ -87,10 +88,12 @@ def kmeans_assign(
     """Nearest centroid of every row and the squared distance to it.
 
     ``centroids`` needs ``cluster`` and ``centroid``. Rows do not move while the centroids fit
-    the broadcast budget; on a streaming ``df`` they have to.
+    the broadcast budget; on a streaming ``df`` they have to. Without a ``scale`` the table is read
+    once more for its largest coordinate; a streaming one is taken to stay within eight times
+    that of the centroids, and a row beyond it is an error.
     """
     require_columns(df, vec)
-    dim = vector_width(centroids, "centroid")
+    _, dim, top = vector_facts(centroids, "centroid")
     out = T.StructType(
         df.schema.fields
         + [T.StructField(cluster_col, T.IntegerType()), T.StructField(dist_col, T.DoubleType())]
@@ -99,6 +102,9 @@ def kmeans_assign(
         if df.isStreaming or not df.isEmpty():
             raise ValueError("no centroids to assign to")
         return df.sparkSession.createDataFrame([], out)
+    if options.scale is None:
+        top = 8 * top if df.isStreaming else max(top, vector_facts(df, vec)[2])
+        options = with_scale(options, top, dim)
     model = centroids.select(
         F.lit(0).cast("bigint").alias(G),
         F.col("cluster").cast("int"),
@@ -110,6 +116,26 @@ def kmeans_assign(
 # --- plans: how many centroids, how many training rows, which way -----------------------------
 
 
+def vector_facts(df: DataFrame, vec: str) -> tuple[int, int | None, float]:
+    """(rows, width of the vectors or None, largest coordinate), in one pass."""
+    size = F.size(vec)
+    largest = F.array_max(F.transform(vec, lambda x: F.abs(x.cast("double"))))
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.min(size).alias("least"), F.max(size).alias("most"),
+        F.max(largest).alias("top"),
+    ).first()
+    if row.n and (row.least is None or row.least < 1 or row.least != row.most):
+        raise ValueError(f"every vector needs the same number of elements: {vec} holds a NULL, an empty one or several widths")
+    return row.n, row.most if row.n else None, row.top or 0.0
+
+
+def with_scale(options: KMeansOptions, top: float, dim: int) -> KMeansOptions:
+    """The options with the scale that fits coordinates up to ``top``, if none is set."""
+    if options.scale is not None:
+        return options
+    return replace(options, scale=kernels.finest_scale(top, dim))
+
+
 def training_rows(df, vec, row_id, group, options) -> DataFrame:
     """(group, row id, one order hash per restart, vector): all that training reads."""
     hashes = [hash_order(row_id, options.seed + r) for r in range(options.n_init)]
@@ -126,12 +152,13 @@ def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool)
 
     ``bytes`` is what the rows of the group carry besides their vectors.
 
-    A group of n rows trains on the rows with a hash below the cut, about
-    ``max_points_per_centroid * k`` of them, or on all rows when n is smaller. ``whole`` says
+    A group of n rows trains on all of them, or with ``max_points_per_centroid`` on the rows with
+    a hash below the cut, about that many for each centroid. ``whole`` says
     that a local task gets all rows of the group and not only the sample.
     """
     n, k = F.col("n"), F.col("k")
-    cap = k * F.lit(options.max_points_per_centroid)
+    limit = options.max_points_per_centroid
+    cap = n if limit is None else k.cast("bigint") * F.lit(limit)
     m = F.least(n, cap)
 
     def share(wanted):
@@ -141,7 +168,8 @@ def group_plan(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool)
     def ample(wanted):
         return wanted + F.sqrt(wanted.cast("double")) * 40 + 1000
 
-    held = (n if whole else F.least(n, ample(m))) * F.lit(float(dim * 8)) + F.col("bytes")
+    # the Arrow column, the grid copy, the chosen rows and the work space of a task
+    held = (n if whole else F.least(n, ample(m))) * F.lit(float(dim * 8 * 4)) + F.col("bytes")
     flops = m.cast("double") * k * F.lit(2.0 * dim * options.max_iter * options.n_init)
     return sizes.select(
         G, n, k,
@@ -376,6 +404,10 @@ class Model:
         self.spans = {
             int(self.groups[a]): slice(int(a), int(b)) for a, b in zip(starts, starts[1:])
         }
+        self.ready: dict[int, np.ndarray] = {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "ready": {}}
 
     @classmethod
     def of(cls, t: pa.Table, dim: int) -> Model:
@@ -392,7 +424,10 @@ class Model:
             span = self.spans.get(int(groups[rows[0]]))
             if span is None:
                 raise ValueError(f"group {groups[rows[0]]} has no centroids")
-            index, found = kernels.nearest(x[rows], self.centers[span].astype(np.float64))
+            ready = self.ready.get(span.start)
+            if ready is None:  # once in a worker, not once for every batch
+                ready = self.ready[span.start] = kernels.prepared(self.centers[span])
+            index, found = kernels.nearest_prepared(x[rows], ready)
             at[rows], dist[rows] = index + span.start, found
         return at, dist
 
@@ -420,7 +455,7 @@ def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
         sample = sample.select(G, "vec").mapInArrow(_packer(dim, options.scale), _PACKED)
         sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
         for _ in range(options.max_iter):
-            model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim)
+            model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim, tasks)
             if not moved:
                 break
         sample.unpersist()
@@ -452,39 +487,42 @@ def _unpacked(column: pa.Array, dim: int) -> np.ndarray:
     return x.reshape(len(column), dim).astype(np.float64)
 
 
-def _broadcast_pass(spark, sample, model: Model, dim):
+def _broadcast_pass(spark, sample, model: Model, dim, tasks: int):
     sent = spark.sparkContext.broadcast(model)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         counts = np.zeros(len(m.centers), dtype=np.int64)
-        costs, sums = np.zeros(len(m.centers)), np.zeros(m.centers.shape)
+        costs, sums = np.zeros((2, len(m.centers)), dtype=np.int64), np.zeros(m.centers.shape)
         for batch in batches:
             x = _unpacked(batch["grid"], dim)
             at, dist = m.nearest(batch[G].to_numpy(), x)
             ids, n, total, cost = kernels.cluster_sums(x, at, dist)
             counts[ids] += n
-            costs[ids] += cost
+            costs[:, ids] += cost
             sums[ids] += total
         used = np.flatnonzero(counts)
         if len(used):
             yield _partial_batch(
-                m.groups[used], m.clusters[used], counts[used], costs[used], sums[used]
+                m.groups[used], m.clusters[used], counts[used], costs[:, used], sums[used]
             )
 
-    merged = _merge(sample.mapInArrow(partial, _PARTIAL), len(model.centers), dim).toArrow()
+    partials = sample.mapInArrow(partial, _PARTIAL)
+    merged = _merge(partials, len(model.centers), dim, tasks).toArrow()
     sent.destroy()
     names = np.array(list(model.spans), dtype=np.int64)
     firsts = np.array([span.start for span in model.spans.values()])
     at = firsts[np.searchsorted(names, merged[G].to_numpy())] + merged["cluster"].to_numpy()
     centers, sizes = model.centers.copy(), np.zeros(len(model.centers), dtype=np.int64)
-    costs = np.zeros(len(model.centers))
+    costs = np.zeros((2, len(model.centers)), dtype=np.int64)
     centers[at] = kernels.matrix(merged["mean"], dim)
-    sizes[at], costs[at] = merged["n"].to_numpy(), merged["cost"].to_numpy()
+    sizes[at] = merged["n"].to_numpy()
+    costs[:, at] = merged["high"].to_numpy(), merged["low"].to_numpy()
     for g in np.unique(model.groups[sizes == 0]):
         span = model.spans[int(g)]
         centers[span] = kernels.refill(centers[span], sizes[span])
-    cost = dict(zip(model.spans, np.add.reduceat(costs, firsts).tolist()))
+    parts = np.add.reduceat(costs, firsts, axis=1)
+    cost = {g: kernels.whole(*parts[:, i]) for i, g in enumerate(model.spans)}
     moved = not np.array_equal(centers, model.centers)
     return Model(model.groups, model.clusters, centers), moved, sizes, cost
 
@@ -494,44 +532,82 @@ def _partial_batch(groups, clusters, counts, costs, sums) -> pa.RecordBatch:
         G: pa.array(groups.astype(np.int64)),
         "cluster": pa.array(clusters.astype(np.int32)),
         "n": pa.array(counts.astype(np.int64)),
-        "cost": pa.array(costs),
+        "high": pa.array(costs[0]),
+        "low": pa.array(costs[1]),
         "total": _int_lists(sums.astype(np.int64), pa.int64()),
     })
 
 
-def _merge(partials: DataFrame, centers: int, dim: int) -> DataFrame:
+def merge_tasks(centers: int, dim: int, maps: int, most: int) -> tuple[int, int]:
+    """(tasks of the first level, salts): by the partial vectors that ``maps`` tasks may send.
+
+    Few centroids from many tasks are added in two levels, so that no task reads all of them.
+    """
+    incoming = float(maps) * centers * dim * 8
+    salts = int(max(1, min(np.ceil(incoming / _MERGE_BYTES / max(1, centers)), np.ceil(np.sqrt(maps)))))
+    wanted = max(np.ceil(incoming / _MERGE_BYTES), np.ceil(centers * dim * 8 / _MERGE_BYTES))
+    waves = max(most, np.ceil(centers * dim * 8 / _MERGE_BYTES))
+    return int(max(1, min(wanted, centers * salts, waves))), salts
+
+
+def _added(batches: Iterator[pa.RecordBatch], dim: int):
+    """Partial sums of equal (group, cluster), added by sorting; None without rows."""
+    held, rows = [], 0
+
+    def add(parts):
+        g, c, n, high, low, total = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((c, g))
+        starts = kernels.run_starts(g[order], c[order])[:-1]
+        sums = (np.add.reduceat(x[order], starts, axis=0) for x in (n, high, low, total))
+        return [(g[order][starts], c[order][starts], *sums)]
+
+    limit = max(1, _MERGE_BYTES // (8 * dim))
+    for batch in batches:
+        held.append((
+            *(batch[name].to_numpy() for name in (G, "cluster", "n", "high", "low")),
+            kernels.matrix(batch["total"], dim),
+        ))
+        rows += batch.num_rows
+        if rows > limit:
+            held = add(held)
+            rows = len(held[0][0])
+            limit = max(limit, 2 * rows)
+    held = [x for x in held if len(x[0])]
+    return add(held)[0] if held else None
+
+
+def _merge(partials: DataFrame, centers: int, dim: int, maps: int) -> DataFrame:
     """Add the partial sums of every cluster and take the integer mean.
 
-    Hash partitioning brings all partial sums of a cluster to one task, which adds them as the
-    batches stream by and so holds one vector per cluster of its partition.
+    Hash partitioning brings all partial sums of a cluster to one task, or with many of them to
+    one task for each salt first. A task holds about one vector per cluster of its partition.
     """
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot: dict[tuple[int, int], int] = {}
-        counts, costs = np.zeros(64, dtype=np.int64), np.zeros(64)
-        sums = np.zeros((64, dim), dtype=np.int64)
-        for batch in batches:
-            keys = zip(batch[G].to_pylist(), batch["cluster"].to_pylist())
-            at = np.array([slot.setdefault(key, len(slot)) for key in keys], dtype=np.int64)
-            while len(slot) > len(counts):
-                counts, costs, sums = (np.concatenate((a, np.zeros_like(a)))
-                                       for a in (counts, costs, sums))
-            np.add.at(counts, at, batch["n"].to_numpy())
-            np.add.at(costs, at, batch["cost"].to_numpy())
-            np.add.at(sums, at, kernels.matrix(batch["total"], dim))
-        used = len(slot)
-        if used:
-            keys = np.array(list(slot), dtype=np.int64)
-            means = kernels.divide(sums[:used], counts[:used])
+    tasks, salts = merge_tasks(centers, dim, maps, 4 * parallelism(partials.sparkSession))
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _added(batches, dim)
+        if found is not None:
+            g, c, n, high, low, total = found
+            yield _partial_batch(g, c, n, (high, low), total)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _added(batches, dim)
+        if found is not None:
+            g, c, n, high, low, total = found
             yield pa.record_batch({
-                G: pa.array(keys[:, 0]),
-                "cluster": pa.array(keys[:, 1].astype(np.int32)),
-                "n": pa.array(counts[:used]),
-                "cost": pa.array(costs[:used]),
-                "mean": _int_lists(means, pa.int32()),
+                G: pa.array(g),
+                "cluster": pa.array(c.astype(np.int32)),
+                "n": pa.array(n),
+                "high": pa.array(high),
+                "low": pa.array(low),
+                "mean": _int_lists(kernels.divide(total, n), pa.int32()),
             })
 
-    tasks = _tasks(partials.sparkSession, memory=centers * dim * 8 / _MERGE_BYTES)
-    return partials.repartition(tasks, G, "cluster").mapInArrow(add, _MEAN)
+    if salts > 1:
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+        salted = partials.withColumn("salt", salt).repartition(tasks, G, "cluster", "salt")
+        partials = salted.drop("salt").mapInArrow(combine, _PARTIAL)
+    return partials.repartition(tasks, G, "cluster").mapInArrow(finish, _MEAN)
 
 
 def _model_frame(spark: SparkSession, best: dict[int, tuple], dim: int) -> DataFrame:
@@ -667,12 +743,14 @@ def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
         model = starts.select(G, "cluster", "grid")
         for _ in range(options.max_iter):
             met = _meet(sample, model, slices, tasks)
-            state, moved = _streamed_pass(met, model, plan, dim)
+            state, moved = _streamed_pass(met, model, plan, dim, tasks)
             model = state.select(G, "cluster", "grid")
             if not moved:
                 break
         sample.unpersist()
-        cost = state.groupBy(G).agg(F.sum("cost").alias("objective"))
+        unit = F.lit(1 << kernels.HALF_BITS)
+        total = F.sum(F.col("high").cast("decimal(38,0)")) * unit + F.sum(F.col("low").cast("decimal(38,0)"))
+        cost = state.groupBy(G).agg(total.cast("double").alias("objective"))
         runs.append(
             state.join(cost, G).select(
                 G, "cluster", "grid", "n", "objective", F.lit(restart).alias("restart")
@@ -687,21 +765,22 @@ def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
     return every.join(chosen, [G, "restart"]).drop("restart")
 
 
-def _streamed_pass(met: DataFrame, model: DataFrame, plan: Plan, dim: int):
+def _streamed_pass(met: DataFrame, model: DataFrame, plan: Plan, dim: int, tasks: int):
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, cell in _cells(batches, dim):
             cell = _complete(group, cell)
             ids, n, total, cost = kernels.cluster_sums(cell.x, cell.cluster, cell.dist)
             yield _partial_batch(np.full(len(ids), group), ids, n, cost, total)
 
-    merged = _merge(met.mapInArrow(partial, _PARTIAL), plan.centers, dim)
+    merged = _merge(met.mapInArrow(partial, _PARTIAL), plan.centers, dim, tasks)
     state = model.join(merged, [G, "cluster"], "left").select(
         G,
         "cluster",
         F.col("grid").alias("old"),
         F.coalesce("mean", "grid").alias("grid"),
         F.coalesce("n", F.lit(0)).alias("n"),
-        F.coalesce("cost", F.lit(0.0)).alias("cost"),
+        F.coalesce("high", F.lit(0)).alias("high"),
+        F.coalesce("low", F.lit(0)).alias("low"),
     )
     state = checkpoint(state)
     changed = F.col("grid") != F.col("old")
@@ -743,7 +822,7 @@ def _refilled(state: DataFrame, plan: Plan) -> DataFrame:
         )),
     )
     return state.join(moved, [G, "cluster"], "left").select(
-        G, "cluster", "old", F.coalesce("moved", "grid").alias("grid"), "n", "cost"
+        G, "cluster", "old", F.coalesce("moved", "grid").alias("grid"), "n", "high", "low"
     )
 
 

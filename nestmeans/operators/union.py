@@ -38,9 +38,11 @@ def union_tables(
     return reduce(DataFrame.unionByName, parts)
 
 
-def vector_widths(df: DataFrame, source: str, vec: str = "fp") -> DataFrame:
-    """Rows and vector widths of every source; ``accepted`` when all its vectors are as wide as
-    those of the first source by name. One pass over the table, run now."""
+def vector_widths(
+    df: DataFrame, source: str, vec: str = "fp", wanted: int | None = None
+) -> DataFrame:
+    """Rows and vector widths of every source; ``accepted`` when all its vectors have the width
+    ``wanted``, by default that of the sources with most rows. One pass over the table, run now."""
     width = F.size(vec)
     per_source = df.groupBy(source).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -48,12 +50,28 @@ def vector_widths(df: DataFrame, source: str, vec: str = "fp") -> DataFrame:
         F.max(width).cast("bigint").alias("max_width"),
     )
     per_source = settle(per_source, _LOCAL_ROWS)
-    wanted = per_source.agg(F.min_by("min_width", source)).scalar()
-    even = (F.col("min_width") == wanted) & (F.col("max_width") == wanted)
-    return per_source.withColumn("accepted", even)
+    if wanted is None:
+        even = per_source.filter("min_width = max_width AND min_width > 0").groupBy("min_width")
+        votes = even.agg(F.sum("rows").alias("rows"))
+        width = votes.agg(F.max_by("min_width", F.struct("rows", -F.col("min_width")))).scalar()
+    else:
+        width = F.lit(wanted)
+    fits = (F.col("min_width") == width) & (F.col("max_width") == width)
+    return per_source.withColumn("accepted", F.coalesce(fits, F.lit(False)))
 
 
-def compatible_rows(df: DataFrame, source: str, vec: str = "fp") -> DataFrame:
-    """Rows of the accepted sources; a source with a different width is left out as a whole."""
-    accepted = vector_widths(df, source, vec).filter("accepted").select(source)
-    return df.join(accepted, source, "left_semi")
+def compatible_rows(
+    df: DataFrame, source: str, vec: str = "fp", wanted: int | None = None,
+    on_mismatch: str = "raise",
+) -> DataFrame:
+    """Rows of the accepted sources. A source with vectors of another width is an error that names
+    it, or is left out as a whole with ``on_mismatch="drop"``."""
+    if on_mismatch not in ("raise", "drop"):
+        raise ValueError("on_mismatch must be 'raise' or 'drop'")
+    widths = vector_widths(df, source, vec, wanted)
+    if on_mismatch == "raise":
+        bad = [r[0] for r in widths.filter("NOT accepted").select(source).limit(5).collect()]
+        if bad:
+            raise ValueError(f"vectors of another width in {bad}")
+        return df
+    return df.join(widths.filter("accepted").select(source), source, "left_semi")

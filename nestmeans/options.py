@@ -37,8 +37,12 @@ class FingerprintOptions:
 class KMeansOptions:
     """Settings of one k-means run.
 
+    Training reads all rows; ``max_points_per_centroid`` limits it to about so many rows for each
+    centroid, by a hash of the row id, where a sample is enough.
+
     ``scale`` puts coordinates and centroids on an integer grid of width ``1/scale``, so that
-    sums and distances are exact and do not depend on partitioning or on re-run tasks.
+    sums and distances are exact and do not depend on partitioning or on re-run tasks. None takes
+    the finest grid (a power of two) on which the largest coordinate of the data keeps them exact.
 
     The budgets choose between equal ways of doing the work, never the result:
     ``local_bytes`` / ``local_flops`` bound a group handled inside one task (fewer operations when
@@ -50,17 +54,19 @@ class KMeansOptions:
     n_init: int = 1
     max_iter: int = 25
     seed: int = 42
-    max_points_per_centroid: int = 256
-    scale: int = 10_000
+    max_points_per_centroid: int | None = None
+    scale: float | None = None
     local_bytes: int = 512 << 20
     local_flops: float = 4e12
     broadcast_bytes: int = 128 << 20
     slice_bytes: int = 64 << 20
 
     def __post_init__(self):
-        for name in ("n_init", "max_iter", "max_points_per_centroid", "scale", "slice_bytes"):
-            if getattr(self, name) < 1:
+        for name in ("n_init", "max_iter", "max_points_per_centroid", "slice_bytes"):
+            if getattr(self, name) is not None and getattr(self, name) < 1:
                 raise ValueError(f"{name} must be >= 1")
+        if self.scale is not None and not self.scale > 0:
+            raise ValueError("scale must be positive")
 
 
 @dataclass(frozen=True)

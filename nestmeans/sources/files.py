@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestmeans.operators.union import pick_columns
+from nestmeans.operators.union import pick_columns, vector_widths
 from nestmeans.schemas import FINGERPRINTS, assert_schema, require_columns
+from nestmeans.scratch import settle
 
 _FILES = T.StructType([
     T.StructField("path", T.StringType()),
@@ -54,12 +64,21 @@ def find_files(
 
 def _placed(df: DataFrame, *columns: Column | str) -> DataFrame:
     """Add where a row stands: file, start of its block, increasing number inside the block."""
-    return df.select(
-        *columns,
+    return df.select(*columns, *_place_columns())
+
+
+def _place_columns() -> list[Column]:
+    return [
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
-    )
+    ]
+
+
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """(source_file, header): the first line of every file of a text read."""
+    placed = _placed(lines, "value").filter("block_start = 0")
+    return placed.groupBy("source_file").agg(F.min_by("value", "row_id").alias("header"))
 
 
 def scan_delimited(
@@ -70,19 +89,56 @@ def scan_delimited(
     delimiter: str = " ",
     pattern: str = "*.smi",
     exclude: str | None = "_taut",
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Text tables with a header, columns found by name and read as strings.
 
-    All columns are kept, then source_file, block_start and row_id. Rows of one file are in
-    order by (block_start, row_id). A file whose header differs from the others fails the read.
+    Every file is read by its own header; the columns of all files are kept (NULL where a file
+    lacks one), then source_file, block_start and row_id. Rows of one file are in order by
+    (block_start, row_id). A file without ``smiles_col`` or ``id_col`` is an error, or is left
+    out with ``on_bad="skip"``. Excluded files are not looked at.
     """
-    reader = _options(spark.read, pattern).options(
-        sep=delimiter, header=True, enforceSchema=False, escape='"'
-    )
-    df = reader.csv(folder)
-    require_columns(df, smiles_col, id_col)
-    df = df.filter(_kept(exclude))
-    return _placed(df, *df.columns)
+    _check_mode(on_bad)
+    lines = _options(spark.read, pattern).text(folder).filter(_kept(exclude))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    bad = []
+    for row in _first_lines(lines).orderBy("source_file").collect():  # one row per file
+        names = tuple(next(csv.reader([row.header or ""], delimiter=delimiter), ()))
+        if {smiles_col, id_col} <= set(names) and len(set(names)) == len(names):
+            groups.setdefault(names, []).append(_local_name(row.source_file))
+        else:
+            bad.append(f"{row.source_file}: {list(names)}")
+    if bad and on_bad == "raise":
+        raise ValueError(f"missing columns {smiles_col} or {id_col}: {bad[:5]}")
+    parts = []
+    for names, paths in groups.items():
+        fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = spark.read.schema(fields).options(sep=delimiter, header=True, escape='"')
+        part = reader.csv([_no_glob(path) for path in paths])
+        parts.append(part.select("*", *_place_columns()))
+    if not parts:
+        fields = [T.StructField(n, T.StringType()) for n in (smiles_col, id_col)]
+        none = spark.createDataFrame([], T.StructType(fields))
+        return none.select("*", F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("block_start"),
+                           F.lit(0).cast("bigint").alias("row_id"))
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    names = [c for c in rows.columns if c not in _PLACE]
+    return rows.select(*(F.col(f"`{c}`") for c in names), "source_file", "block_start",
+                       F.monotonically_increasing_id().alias("row_id"))
+
+
+def _check_mode(on_bad: str) -> None:
+    if on_bad not in ("raise", "skip"):
+        raise ValueError("on_bad must be 'raise' or 'skip'")
+
+
+def _local_name(uri: str) -> str:
+    """The path that a file URI of ``_metadata`` stands for."""
+    return unquote(uri)
+
+
+def _no_glob(path: str) -> str:
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def scan_lines(
@@ -94,19 +150,26 @@ def scan_lines(
 ) -> DataFrame:
     """Text lines as (value, source_file, block_start, row_id).
 
-    ``skip_header`` drops the first line of every file, whatever it holds, and then also blank
-    lines; without it blank lines stay and can be counted as failures.
+    ``skip_header`` drops the first line of every file, whatever it holds. Blank lines stay and
+    can be counted as failures.
     """
-    if skip_header:
-        # A separator that text does not hold and no quoting: every line is one field.
-        reader = _options(spark.read.schema("value string"), pattern).options(
-            sep="\u0001", header=True, quote="", enforceSchema=True,
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        )
-        df = reader.csv(folder)
-    else:
-        df = _options(spark.read, pattern).text(folder)
-    return _placed(df.filter(_kept(exclude)), "value")
+    rows = _placed(_options(spark.read, pattern).text(folder).filter(_kept(exclude)), "value")
+    return rows.mapInArrow(_without_first, rows.schema) if skip_header else rows
+
+
+def _without_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop the row that begins the first block of a file; blocks follow each other whole."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names, starts = batch["source_file"], batch["block_start"].to_numpy()
+        fresh = np.ones(batch.num_rows, dtype=bool)
+        same = pc.equal(names.slice(1), names.slice(0, batch.num_rows - 1))
+        fresh[1:] = ~same.to_numpy(zero_copy_only=False) | (starts[1:] != starts[:-1])
+        fresh[0] = last != (names[0].as_py(), starts[0])
+        last = names[batch.num_rows - 1].as_py(), starts[-1]
+        yield batch.filter(pa.array(~(fresh & (starts == 0))))
 
 
 def read_fingerprints(
@@ -122,13 +185,38 @@ def read_tables(
     pattern: str = "*.parquet",
     recursive: bool = True,
     columns: list[str] | None = None,
+    vec: str | None = "fp",
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Union of all matching Parquet files below a folder, plus source_file.
 
-    No matching file is an error. Unknown names in ``columns`` are skipped.
+    No matching file is an error. Unknown names in ``columns`` are skipped. A file that lacks a
+    column another one has, or whose vectors ``vec`` differ in width from those of most rows, is
+    an error, or is left out as a whole with ``on_bad="skip"``.
     """
-    df = pick_columns(_options(spark.read, pattern, recursive).parquet(folder), columns)
-    return df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    _check_mode(on_bad)
+    merged = _options(spark.read, pattern, recursive).option("mergeSchema", True).parquet(folder)
+    df = pick_columns(merged, columns).select("*", F.col("_metadata.file_path").alias("source_file"))
+    names = [c for c in df.columns if c != "source_file"]
+    # A column that a file lacks is NULL in all its rows.
+    filled = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)]
+    checks = df.groupBy("source_file").agg(*filled)
+    some = checks.agg(*[F.max(f"n{i}").alias(f"m{i}") for i in range(len(names))]).first()
+    lacking = reduce(
+        lambda x, y: x | y,
+        [(F.col(f"n{i}") == 0) & F.lit(bool(some[i])) for i in range(len(names))],
+    )
+    bad = checks.filter(lacking).select("source_file")
+    if vec and vec in names:
+        widths = vector_widths(df, "source_file", vec)
+        bad = bad.unionByName(widths.filter(~F.col("accepted")).select("source_file")).distinct()
+    bad = settle(bad, 100_000)
+    first = [r.source_file for r in bad.limit(5).collect()]
+    if not first:
+        return df
+    if on_bad == "raise":
+        raise ValueError(f"files that do not fit the others: {first}")
+    return df.join(bad, "source_file", "left_anti").select(*df.columns)
 
 
 def read_clusters(spark: SparkSession, path: str, cluster: int | None = None) -> DataFrame:

@@ -51,12 +51,12 @@ def write_preprocessed(
     """
     require_columns(df, smiles_col, id_col, *([source] if source else []))
     columns = [smiles_col, id_col]
-    if source:
+    out = df.select(*columns)
+    if source and not df.isEmpty():
         partitioned(df.select(source, *columns), source).write.options(
             sep=delimiter, header=True, escape='"'
         ).partitionBy(source).csv(path)
     else:
-        out = df.select(*columns)
         out.write.options(sep=delimiter, header=True, escape='"').csv(path)
 
 
@@ -88,6 +88,9 @@ def write_clusters(
 ) -> None:
     """One folder per non-empty cluster: stage-1 rows, details or centers."""
     require_columns(df, cluster)
+    if df.isEmpty():  # one file without rows keeps the schema for readers
+        _parquet(df, compression, level).parquet(path)
+        return
     _parquet(partitioned(df, cluster), compression, level).partitionBy(cluster).parquet(path)
 
 

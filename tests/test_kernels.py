@@ -127,3 +127,21 @@ def test_token_over_windows(monkeypatch):
     texts = ["hello wörld a b", "", " x ", "ab" * 50, "   ", "a\nb c"]
     got = fpm.token_matrix(pa.array(texts), 64)
     assert got.tolist() == [brute_words(t, 64) for t in texts]
+
+
+def test_work_space_is_bounded_by_the_rows():
+    import tracemalloc
+
+    x, c = np.ones((100, 256)), np.zeros((1, 256))
+    tracemalloc.start()
+    K.nearest(x, c)
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert top < 20e6
+
+
+def test_exact_totals():
+    dist = np.full(3, float((1 << 53) - 1))
+    assert K.whole(*(p.sum() for p in K.halves(dist))) == float(3 * ((1 << 53) - 1))
+    assert K.finest_scale(1.0, 1) == 2.0 ** 25
+    assert K.finest_scale(0.0, 5) == 1.0

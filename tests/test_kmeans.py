@@ -198,3 +198,25 @@ def test_plans_of_many_groups(spark, monkeypatch):
     sizes = spark.range(9).selectExpr("id as _g", "id + 1 as n", "1L as k", "0L as bytes")
     local, large = km.make_plans(sizes, 4, KMeansOptions(local_bytes=5 * 32), whole=True)
     assert (local.groups, large.groups, large.rows) == (5, 4, 30.0)
+
+
+def test_trains_on_all_rows_on_a_grid_that_fits(spark):
+    """Every row counts, tiny and large coordinates keep their clusters."""
+    rows = [(i, [0.0, 0.0] if i % 2 else [4e-5, 4e-5]) for i in range(600)]
+    df = spark.createDataFrame(rows, "row_id bigint, fp array<double>")
+    model = km.kmeans_fit(df, 2)
+    assert model.agg({"n": "sum"}).first()[0] == 600
+    assert sorted(r.centroid[0] for r in model.collect()) == pytest.approx([0, 4e-5], rel=1e-3, abs=1e-9)
+    found = km.kmeans_assign(df, model).groupBy("cluster").count().collect()
+    assert sorted(r["count"] for r in found) == [300, 300]
+    wide = [(i, [9_900.0 * (i % 2)] * 256) for i in range(40)]
+    model = km.kmeans_fit(spark.createDataFrame(wide, "row_id bigint, fp array<double>"), 2)
+    assert sorted(round(r.centroid[7]) for r in model.collect()) == [0, 9_900]
+
+
+def test_merge_is_sized_by_what_comes_in():
+    tasks, salts = km.merge_tasks(1000, 256, 10_000, 4 * 1000)
+    assert tasks > 100 and salts >= 1
+    assert km.merge_tasks(8, 64, 8, 32) == (1, 1)
+    tasks, salts = km.merge_tasks(1, 4096, 100_000, 4000)
+    assert tasks > 10 and salts > 10

@@ -51,7 +51,7 @@ def test_scan_lines(spark, tmp_path):
     put(tmp_path / "1.smi", "head one\n\"quoted\" a\n  spaced b \n\nlast c")
     put(tmp_path / "2.smi", "other header\nCC d\n")
     skipped = files.scan_lines(spark, str(tmp_path), True)
-    assert {r.value for r in skipped.collect()} == {'"quoted" a', "  spaced b ", "last c", "CC d"}
+    assert {r.value for r in skipped.collect()} == {'"quoted" a', "  spaced b ", "", "last c", "CC d"}
     whole = files.scan_lines(spark, str(tmp_path), False)
     assert whole.count() == 7 and whole.filter("value = ''").count() == 1
     ordered = [r.value for r in whole.filter("source_file like '%1.smi'")
@@ -157,7 +157,12 @@ def test_union_rejects_whole_sources(spark):
     assert rows.count() == 6
     assert {(r.s, r.accepted) for r in vector_widths(rows, "s").collect()} == {
         ("a", True), ("b", False), ("c", False), ("d", True)}
-    assert {r.k for r in compatible_rows(rows, "s").collect()} == {1, 5, 6}
+    assert {r.k for r in compatible_rows(rows, "s", on_mismatch="drop").collect()} == {1, 5, 6}
+    with pytest.raises(ValueError, match="another width"):
+        compatible_rows(rows, "s")
+    odd = union_tables({"a": b, "b": a.union(a).union(a)}, source="s")  # most rows decide
+    assert {r.k for r in compatible_rows(odd, "s", on_mismatch="drop").collect()} == {1}
+    assert {r.k for r in compatible_rows(odd, "s", wanted=3, on_mismatch="drop").collect()} == {2}
 
 
 def test_union_columns(spark):
