@@ -1,6 +1,7 @@
 """Packing checked against whole-text tokenization and its own rules."""
 
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -83,3 +84,16 @@ def test_ties_repeats_and_empty(spark):
     rows = packing.pack(df).collect()
     assert sum(r["length"] for r in rows) == 9 and {r["doc_id"] for r in rows} == {1, None}
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_words_in_pieces_equal_whole_texts(model):
+    rnd = random.Random(1)
+    alphabet = (
+        ["a", "B", "é", "É", "İ", "I", "ß", "Σ", "'s", "'", "'T", "don't", ".", "...", "!", "*#$", "_", "-", "1", "22", "½", "٣"]
+        + ["<|endoftext|>", "<|ENDOFTEXT|>", "<", "|", ">", "\u0301", "\u0307", " ", " ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0"]
+        + ["\u200b", "…", "汉", "😀", "‘s", "`", "~", "@", "[", "^", "{", "}", "\xad", "ﬁ", "\u212a"]
+    )
+    texts = ["".join(rnd.choices(alphabet, k=rnd.randrange(40))) for _ in range(3000)]
+    found = packing.Tokens(None, cached=500).encode([t.encode() for t in texts])
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, text
