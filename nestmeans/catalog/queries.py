@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestmeans.functions.text import largest_fragment, smiles_like, stem
-from nestmeans.functions.vectors import cast_vector, is_binary, on_bits, popcount, squared_l2
+from nestmeans.functions.vectors import cast_vector, is_binary, on_bits, popcount, squared_l2, to_dense
 from nestmeans.operators import clusters, fingerprints, kmeans, normalize, ordinals, union
 from nestmeans.operators import profile as profiles
 from nestmeans.options import FingerprintOptions, HierarchyOptions, KMeansOptions
@@ -101,9 +101,14 @@ def find_files(spark, folder):
 
 
 def find_files_excluded(spark, folder):
-    """The exclusion text is part of every file name Spark writes: nothing is left."""
-    found = files.find_files(spark, _customer_files(spark, folder), "*.csv", "part-")
-    return found.select(_segment("path"))
+    """Segments up to F are packed files, which the exclusion text leaves out."""
+    path = scratch_path(spark, "customers")
+    rows = table(spark, folder, "customer").select("c_mktsegment", "c_name")
+    for packed, some in ((True, rows.filter("c_mktsegment < 'F'")), (False, rows.filter("c_mktsegment >= 'F'"))):
+        writer = some.write.mode("append").partitionBy("c_mktsegment")
+        writer.csv(path, compression="gzip" if packed else "none")
+    found = files.find_files(spark, path, "*.csv*", ".gz")
+    return found.select(_segment("path")).distinct()
 
 
 def file_stems(spark, folder):
@@ -468,12 +473,12 @@ def write_preprocessed(spark, folder):
 
 
 def write_empty(spark, folder):
-    """No document normalises to NULL here, so the written table has only its header."""
+    """No document normalises to NULL here, so the written table has only its header, read as text."""
     path = scratch_path(spark, "empty")
     docs = normalize.normalize(table(spark, folder, "documents"), "text", "fold")
     failed = docs.filter("canonical is null").select("text", "doc_id")
     sinks.write_preprocessed(failed, path, "text", "doc_id", "\t")
-    return spark.read.options(sep="\t", header=True).csv(path).select("text", "doc_id")
+    return spark.read.text(path).distinct()
 
 
 def export_smi(spark, folder):
@@ -588,6 +593,40 @@ def completeness_customers(spark, folder):
     return profiles.missing_parts(expected, present, "c_custkey")
 
 
+def completeness_labels(spark, folder):
+    """Documents without a label."""
+    return profiles.missing_parts(table(spark, folder, "documents"), table(spark, folder, "labels"), "doc_id")
+
+
+def to_dense_vectors(spark, folder):
+    """The ones of every fingerprint, back to a dense vector."""
+    bits = _named_bits(table(spark, folder, "part"), "p_name", 256)
+    dense = to_dense(on_bits("fp"), 256)
+    return bits.select("key", (dense == F.col("fp")).alias("same"))
+
+
+def normalize_user_rule(spark, folder):
+    """A column function as the rule: the first word, upper case."""
+    rule = lambda c: F.upper(F.element_at(F.split(c, " "), 1))
+    rows = normalize.normalize(table(spark, folder, "part"), "p_name", rule)
+    return rows.select("p_partkey", "canonical")
+
+
+def kmeans_fit_one(spark, folder):
+    """All rows in one cluster: their number and their mean, whatever a sample would be."""
+    rows = table(spark, folder, "embeddings")
+    return _model_text(kmeans.kmeans_fit(rows, 1, "embedding", "vec_id", FIT)).drop("cluster")
+
+
+def kmeans_fixed_point(spark, folder):
+    """The default passes end where every centroid is the mean of its rows, or at the last pass:
+    rows per cluster of the assignment, against the rows assigned."""
+    rows = table(spark, folder, "embeddings")
+    model = kmeans.kmeans_fit(rows, FIT_K, "embedding", "vec_id", KMeansOptions(scale=SCALE))
+    found = kmeans.kmeans_assign(rows, model, "embedding", KMeansOptions(scale=SCALE), "vec_id")
+    return found.agg(F.count(F.lit(1)).alias("rows"), (F.min("dist") >= 0).alias("valid"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -608,5 +647,6 @@ QUERIES = {
         export_csv_clusters, clusters_roundtrip, clusters_pruned, write_fingerprints, recompress,
         split_parts, ordinals_by_text,
         profile, profile_documents, preview, completeness, completeness_customers,
+        completeness_labels, to_dense_vectors, normalize_user_rule, kmeans_fit_one, kmeans_fixed_point,
     )
 }
