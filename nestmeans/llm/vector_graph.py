@@ -8,7 +8,7 @@
    pruned alike.
 4. The adjacency lists of a node from all its shards are united. A shard is searched with its own
    nodes and the near neighbours their united lists name in other shards.
-5. Every node is a query in its nearest shard: greedy search from the shard's medoid, then expansion through all
+5. Every node is a query in its nearest shard: greedy search from the shard's medoids, then expansion through all
    nodes within ``SLACK`` of the query until the range is exhausted. What is found is verified by
    cosine in double precision.
 6. A bounded sample of queries is compared with all nodes of its label. While recall is below
@@ -44,11 +44,12 @@ MAX_CENTROIDS = 64
 SAMPLE_PER_CENTROID = 16
 MAX_LEVELS = 8
 DEGREE = 24
-BEAM = 32
+BEAM = 48
 ALPHA = 1.2
 AUDIT = 256
 MIN_RECALL = 0.95
 ATTEMPTS = 3
+EXPANSION = 300_000
 
 _NODE = "shard bigint, node bigint, home boolean, vector array<double>"
 
@@ -127,19 +128,34 @@ def robust_prune(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
     return out
 
 
-def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> tuple[np.ndarray, int]:
-    """``(neighbours of each node, medoid)`` of a shard of unit vectors."""
+def medoids_of(x: np.ndarray) -> np.ndarray:
+    """About sqrt(n) nodes, each nearest to the mean of a part of the shard; where searches start."""
+    n = len(x)
+    k = int(np.ceil(np.sqrt(n)))
+    c = x[np.random.default_rng(1).permutation(n)[:k]]
+    for _ in range(4):
+        near = (x @ c.T).argmax(axis=1)
+        total = np.zeros_like(c)
+        np.add.at(total, near, x)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        c = np.where(size > 1e-9, total / np.maximum(size, 1e-9), c)
+    return np.unique((c @ x.T).argmax(axis=1))
+
+
+def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+    """``(neighbours of each node, medoids)`` of a shard of unit vectors."""
     n = len(x)
     graph = np.full((n, degree), -1)
-    medoid = int((x @ x.mean(axis=0)).argmax())
+    medoids = medoids_of(x)
     order = np.random.default_rng(0).permutation(n)
-    order = np.concatenate([[medoid], order[order != medoid]])
+    order = np.concatenate([medoids, order[~np.isin(order, medoids)]])
     done, step = 1, 1
     while done < n:
         batch = order[done:done + step]
-        found, _ = greedy(x, graph, x[batch], np.full((len(batch), 1), medoid), beam)
+        starts = np.tile(order[:min(done, len(medoids))], (len(batch), 1))
+        found, _ = greedy(x, graph, x[batch], starts, beam)
         # members of one batch may be neighbours as well
-        mates = np.tile(batch, (len(batch), 1)) if len(batch) <= beam else np.full((len(batch), 0), -1)
+        mates = batch[_first(x[batch] @ x[batch].T, min(len(batch), beam))]
         graph[batch] = robust_prune(x, batch, np.concatenate([found, mates], axis=1), degree)
         source, column = np.nonzero(graph[batch] >= 0)
         target, source = graph[batch[source], column], batch[source]
@@ -153,26 +169,52 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> tuple[np.nda
             graph[ends] = robust_prune(x, ends, np.concatenate([graph[ends], fresh], axis=1), degree)
         done += len(batch)
         step = min(max(1, done), max(32, n // 8))
-    return graph, medoid
+    return graph, medoids
+
 
+def both_ways(graph: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(begin, neighbours)``: the neighbours of node i are those from ``begin[i]`` to ``begin[i + 1]``.
+
+    Within a dense group everyone points to its few central nodes; only against the direction of the
+    edges can the others be reached from there.
+    """
+    n = len(graph)
+    source, column = np.nonzero(graph >= 0)
+    target = graph[source, column]
+    pairs = np.unique(np.concatenate([source * n + target, target * n + source]))
+    return np.searchsorted(pairs // max(1, n), np.arange(n + 1)), pairs % max(1, n)
 
-def in_range(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, medoid: int, beam: int, slack: float) -> np.ndarray:
+
+def in_range(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, medoids: np.ndarray, beam: int, slack: float) -> np.ndarray:
     """``queries x nodes``: what the search of each query node reaches within ``slack`` of it."""
+    begin, neighbours = both_ways(graph)
+    tested = np.zeros((len(queries), len(x)), bool)
     reached = np.zeros((len(queries), len(x)), bool)
-    starts = np.stack([np.full(len(queries), medoid), queries], axis=1)
-    nodes, sims = greedy(x, graph, x[queries], starts, beam)
-    rows, cols = np.nonzero((nodes >= 0) & (sims >= slack))
-    rows, fresh = rows, nodes[rows, cols]
-    while len(rows):
-        reached[rows, fresh] = True
-        near = graph[fresh]
-        at, col = np.nonzero(near >= 0)
-        rows, fresh = rows[at], near[at, col]
-        new = ~reached[rows, fresh]
+    starts = np.concatenate([np.tile(medoids, (len(queries), 1)), queries[:, None]], axis=1)
+    nodes, _ = greedy(x, graph, x[queries], starts, beam)
+    rows, column = np.nonzero(nodes >= 0)
+    waiting = [(rows, nodes[rows, column])]
+    while waiting:
+        rows, fresh = waiting.pop()
+        new = ~tested[rows, fresh]
         pairs = np.unique(rows[new] * len(x) + fresh[new])
         rows, fresh = pairs // len(x), pairs % len(x)
+        tested[rows, fresh] = True
         keep = np.einsum("ij,ij->i", x[fresh], x[queries[rows]]) >= slack
         rows, fresh = rows[keep], fresh[keep]
+        reached[rows, fresh] = True
+        sizes = begin[fresh + 1] - begin[fresh]
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < len(fresh):  # expand in blocks of bounded size
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + EXPANSION, "right")))
+            own = sizes[first:last]
+            flat = np.arange(own.sum()) + np.repeat(begin[fresh[first:last]] - (np.cumsum(own) - own), own)
+            far, at = neighbours[flat], np.repeat(rows[first:last], own)
+            new = ~tested[at, far]
+            if new.any():
+                waiting.append((at[new], far[new]))
+            first = last
     return reached
 
 
@@ -284,7 +326,7 @@ def _search_shard(threshold: float, beam: int):
             names = np.asarray(names, np.int64)
             at = np.minimum(np.searchsorted(ids, names), len(ids) - 1)
             graph[i, :len(names)] = np.where(ids[at] == names, at, -1)
-        medoid = int((x @ x.mean(axis=0)).argmax())
+        medoids = medoids_of(x)
         home = np.flatnonzero(rows["home"].to_numpy())
         counts = np.zeros(len(ids), np.int64)
         root = np.arange(len(ids))
@@ -300,7 +342,7 @@ def _search_shard(threshold: float, beam: int):
         reached = np.zeros((len(home), len(ids)), bool)
         for start in range(0, len(home), 512):
             part = home[start:start + 512]
-            reached[start:start + 512] = in_range(x, graph, part, medoid, beam, SLACK)
+            reached[start:start + 512] = in_range(x, graph, part, medoids, beam, SLACK)
         a, b = np.nonzero(reached)
         back = position[b] >= 0  # found from either side
         reached[position[b[back]], home[a[back]]] = True

@@ -87,13 +87,13 @@ def test_edge_rows(spark):
 
 def test_graph_reaches_all_in_range():
     x = G.unit(clouds(600, 3)).astype(np.float32)
-    graph, medoid = G.build(x)
+    graph, medoids = G.build(x)
     assert graph.shape == (600, G.DEGREE) and not (graph == np.arange(600)[:, None]).any()
-    reached = G.in_range(x, graph, np.arange(600), medoid, G.BEAM, 0.9)
+    reached = G.in_range(x, graph, np.arange(600), medoids, G.BEAM, 0.9)
     reached |= reached.T  # links count from either side
     truth = x @ x.T >= 0.98
     assert (reached & truth).sum() >= 0.99 * truth.sum()
-    nodes, _ = G.greedy(x, graph, x[:100], np.full((100, 1), medoid), 32)
+    nodes, _ = G.greedy(x, graph, x[:100], np.tile(medoids, (100, 1)), 32)
     assert np.mean([i in row for i, row in enumerate(nodes)]) >= 0.95
 
 
