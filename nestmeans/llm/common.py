@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +26,8 @@ def ascii_lower(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """True for documents no model may learn from: crc32 of the id mod 4 is 2, or no id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(True))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)

@@ -27,8 +27,8 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestmeans.llm.common import SHINGLE_WORDS, SIMILARITY
-from nestmeans.scratch import checkpoint
+from nestmeans.llm.common import SHINGLE_WORDS, SIMILARITY, let
+from nestmeans.scratch import checkpoint, materialize
 
 RADIUS = 17
 BLOCKS = 9
@@ -166,10 +166,20 @@ def leaks(
             F.array_join(F.slice("words", start + 1, F.col("size")), " ").alias("window"),
         )
         hits = met if hits is None else hits.unionByName(met)
-    windows = hits.distinct()
-    windows = windows.withColumn("weights", weights_of(shingles_of(F.split("window", " "), width)))
-    windows = checkpoint(windows.withColumn("fingerprint", simhash(F.col("weights"))).drop("window"))
-    listed = items.select("item_id", "size", "weights", simhash(F.col("weights")).alias("fingerprint"))
+    # small in bytes but dear to hash, so spread by number and not by size
+    spark = docs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    windows = hits.repartition(parts, "doc_id", "size", "start").distinct()
+
+    def hashed(weights: Column) -> Column:
+        return F.struct(weights.alias("weights"), simhash(weights).alias("fingerprint"))
+
+    def weighed(shingles: Column) -> Column:
+        return let(weights_of(shingles), hashed)
+
+    known = let(F.split("window", " "), lambda words: let(shingles_of(words, width), weighed))
+    windows = checkpoint(windows.select("doc_id", "size", "start", known.alias("k")).select("doc_id", "size", "start", "k.*"))
+    listed = items.select("item_id", "size", let(F.col("weights"), hashed).alias("k")).select("item_id", "size", "k.*")
     listed = listed.select(
         F.col("item_id"), "size", F.col("weights").alias("item_weights"), F.col("fingerprint").alias("item_fingerprint"),
         F.explode(block_keys(F.col("fingerprint"), blocks, radius // blocks)).alias("key"),
@@ -189,4 +199,5 @@ def leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` without the documents in which an item was found."""
     found = leaks(docs, benchmark, id_col, text_col, **settings).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(checkpoint(found), docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    # written as a table, whose known size lets Spark broadcast it when small and shuffle it else
+    return docs.join(materialize(found, "gone"), docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")

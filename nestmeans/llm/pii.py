@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestmeans.llm.common import let
+
 MIN_SCORE = 0.5
 CONTEXT_BONUS = 0.3
 BEFORE, AFTER = 40, 20
@@ -32,11 +34,6 @@ _SPAN = "array<struct<start:int,end:int,kind:string,score:double>>"
 _LOCAL = "A-Za-z0-9._%+-"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -161,9 +158,9 @@ def find_spans(text: Column, kind: Kind) -> Column:
 
             return F.aggregate(parts, start, step, lambda acc: acc["out"])
 
-        return F.when(F.size(matches) == 0, empty).otherwise(_let(F.split(text, kind.pattern, -1), walk))
+        return F.when(F.size(matches) == 0, empty).otherwise(let(F.split(text, kind.pattern, -1), walk))
 
-    found = _let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), placed)
+    found = let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), placed)
     return F.when(F.contains(text, F.lit(kind.needs)), found).otherwise(empty) if kind.needs else found
 
 
@@ -220,7 +217,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
         *[find_spans(text, k) for k in BASE],
         F.filter(F.concat(*[find_spans(text, k) for k in ADDED]), lambda s: s["score"] >= MIN_SCORE),
     )
-    clean = _let(spans, lambda s: F.when(F.size(s) > 0, masked(text, s)).otherwise(text))
+    clean = let(spans, lambda s: F.when(F.size(s) > 0, masked(text, s)).otherwise(text))
     once = docs.select("*", F.explode(F.array(F.struct(clean.alias("text")))).alias("__clean"))
     columns = []
     for name in docs.columns:
