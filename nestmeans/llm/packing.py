@@ -37,7 +37,7 @@ WINDOW = 4096
 END_TOKEN = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 TOKENIZER = "word_bpe_49k.json"
 _BEFORE_MARK = re.compile(rb"([a-z0-9])(?=[!-&(-/:-@[-`{-~])")
 
