@@ -1,8 +1,10 @@
 """Near-duplicate vectors by range search in a robust-pruned flat graph.
 
-1. Equal vectors of a label become one node that counts its copies.
+1. Vectors of a label with the same direction (components over the largest one, equal to 2^-40) become one
+   node that counts its copies.
 2. The nodes of a label are cut into overlapping shards: each goes to the ``OVERLAP`` nearest of centroids
-   fitted on a bounded sample of its group; groups that are still too large are cut again.
+   fitted on a bounded sample of its group; groups that are still too large are cut again. What no
+   centroid separates is dealt by a hash and marked as tied.
 3. Each shard builds a flat graph: nodes enter in doubling batches, a greedy search finds their
    candidates, robust pruning keeps up to ``DEGREE`` neighbours of diverse directions, and reverse edges are
    pruned alike.
@@ -14,6 +16,9 @@
 6. A bounded sample of queries is compared with all nodes of its label. While recall is below
    ``MIN_RECALL``, the search is repeated with a wider beam and more overlap.
 
+7. Tied nodes are compared with all nodes of their label in exact products: blocks of them are sent to every
+   task, which leaves out the rows that the triangle inequality on a block's centroid and radius rules out.
+
 Tasks report a number of links for each node and a forest of links, never the pairs of a group.
 Scale: every step is a shuffle by shard, node or key; shards hold about ``SHARD`` nodes whatever the
 size of the table.
@@ -25,6 +30,7 @@ zero rows give zero rows.
 
 from __future__ import annotations
 
+import functools
 import warnings
 from collections.abc import Iterator
 
@@ -33,6 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nestmeans.llm.common import let
 from nestmeans.llm.components import components
 from nestmeans.scratch import checkpoint
 
@@ -43,6 +50,7 @@ OVERLAP = 2
 MAX_CENTROIDS = 64
 SAMPLE_PER_CENTROID = 16
 MAX_LEVELS = 8
+OVERLAP_LEVELS = 2
 DEGREE = 24
 BEAM = 48
 ALPHA = 1.2
@@ -50,8 +58,8 @@ AUDIT = 256
 MIN_RECALL = 0.95
 ATTEMPTS = 3
 EXPANSION = 300_000
-
-_NODE = "shard bigint, node bigint, home boolean, vector array<double>"
+CHUNK_BYTES = 16 << 20
+ROWS = 2000
 
 
 # --- the graph of one shard ---------------------------------------------------------------------
@@ -228,7 +236,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
-    """``(members, nodes)``: every usable row with the key of its vector, and one node for each key."""
+    """``(members, nodes)``: every usable row with the key of its direction, and one node for each key."""
     v = F.col(vec_col).cast("array<double>")
     usable = (
         F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.size(v) > 0)
@@ -238,12 +246,14 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> tup
     rows = vectors.where(F.coalesce(usable, F.lit(False))).select(
         F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.transform(v, lambda x: x + F.lit(0.0)).alias("vector")
     )
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    rows = rows.withColumn("way", let(largest, lambda m: F.transform("vector", lambda x: F.rint(x / m * 2.0**40).cast("bigint"))))
     keyed = rows.select(
-        "id", F.xxhash64("label", "vector").alias("k1"), F.xxhash64(F.lit(1), "vector", "label").alias("k2"),
+        "id", F.xxhash64("label", "way").alias("k1"), F.xxhash64(F.lit(1), "way", "label").alias("k2"),
         F.xxhash64("label", F.size("vector")).alias("field"), "vector",
     )
     members = keyed.select("id", "k1", "k2").distinct()
-    first = keyed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.first("field").alias("field"), F.first("vector").alias("vector"))
+    first = keyed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.first("field").alias("field"), F.min("vector").alias("vector"))
     copies = members.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
     return members, checkpoint(first.join(copies, ["k1", "k2"]))
 
@@ -259,47 +269,63 @@ def _centroids(rows: pd.DataFrame) -> pd.DataFrame:
         np.add.at(total, near, x)
         size = np.linalg.norm(total, axis=1, keepdims=True)
         c = np.where(size > 1e-9, total / np.maximum(size, 1e-9), c)
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "k": [k], "centroids": [c.tobytes()]})
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "n": [rows["n"].iloc[0]], "k": [k], "centroids": [c.tobytes()]})
 
 
 def _shards(nodes: DataFrame, size: int, overlap: int) -> DataFrame:
-    """``(shard, node, home, vector)`` with every node in about ``overlap`` shards, at home in one."""
-    placed = nodes.select(F.col("field").alias("shard"), "node", F.lit(True).alias("home"), "vector")
+    """``(shard, node, home, tied, vector)`` with every node in about ``overlap`` shards, at home in one.
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for shard, rows in batch.groupby("shard"):
-                k = int(rows["k"].iloc[0])
-                c = np.frombuffer(rows["centroids"].iloc[0]).reshape(k, -1)
-                near = _first(unit(np.stack(rows["vector"].to_numpy())) @ c.T, min(overlap, k))
-                for rank in range(near.shape[1]):
-                    yield pd.DataFrame({
-                        "shard": shard, "part": near[:, rank], "node": rows["node"].to_numpy(),
-                        "home": rows["home"].to_numpy() & (rank == 0), "vector": rows["vector"].to_numpy(),
-                    })
+    A shard that is too large and holds more than half of the group it was cut from is not cut again: its nodes are
+    tied and dealt by a hash, each to one shard. Only the first ``OVERLAP_LEVELS`` cuts multiply rows.
+    """
+    placed = nodes.select(F.col("field").alias("shard"), F.lit(None).cast("bigint").alias("was"), "node", F.lit(True).alias("home"), "vector")
+
+    def assign(copies: int):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for shard, rows in batch.groupby("shard"):
+                    k = int(rows["k"].iloc[0])
+                    c = np.frombuffer(rows["centroids"].iloc[0]).reshape(k, -1)
+                    near = _first(unit(np.stack(rows["vector"].to_numpy())) @ c.T, min(copies, k))
+                    for rank in range(near.shape[1]):
+                        yield pd.DataFrame({
+                            "shard": shard, "was": rows["n"].to_numpy(), "part": near[:, rank], "node": rows["node"].to_numpy(),
+                            "home": rows["home"].to_numpy() & (rank == 0), "vector": rows["vector"].to_numpy(),
+                        })
+
+        return run
 
     done = None
-    for _ in range(MAX_LEVELS):
-        counts = checkpoint(placed.groupBy("shard").agg(F.count("*").alias("n")))
+
+    def keep(rows: DataFrame, tied: bool) -> None:
+        nonlocal done
+        rows = rows.select("shard", "node", "home", F.lit(tied).alias("tied"), "vector")
+        done = rows if done is None else done.unionByName(rows)
+
+    for level in range(MAX_LEVELS + 1):
+        counts = checkpoint(placed.groupBy("shard").agg(F.count("*").alias("n"), F.max("was").alias("was")))
+        keep(placed.join(counts.where(F.col("n") <= 2 * size).select("shard"), "shard"), False)
         large = counts.where(F.col("n") > 2 * size)
+        stuck = large.where(F.lit(level == MAX_LEVELS) | (F.col("n") * 2 > F.col("was")))
+        large = large.where(F.lit(level < MAX_LEVELS) & F.coalesce(F.col("n") * 2 <= F.col("was"), F.lit(True)))
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / size).cast("bigint"))
+        tied = placed.where("home").join(stuck.select("shard", "n"), "shard")
+        keep(tied.withColumn("shard", F.xxhash64("shard", part)), True)
         if large.isEmpty():
             break
-        small = placed.join(counts.where(F.col("n") <= 2 * size), "shard").drop("n")
-        done = small if done is None else done.unionByName(small)
         k = F.least(F.lit(MAX_CENTROIDS), F.ceil(F.col("n") * overlap / size)).cast("int")
-        over = placed.join(large.withColumn("k", k), "shard")
+        over = placed.drop("was").join(large.select("shard", "n", k.alias("k")), "shard")
         share = (F.col("k") * SAMPLE_PER_CENTROID) / F.col("n")
         sample = over.where(F.xxhash64("node", "shard").cast("double") / 2.0**64 + 0.5 < share)
-        fitted = checkpoint(sample.select("shard", "node", "k", "vector").groupBy("shard").applyInPandas(
-            _centroids, "shard bigint, k int, centroids binary"
+        fitted = checkpoint(sample.select("shard", "node", "n", "k", "vector").groupBy("shard").applyInPandas(
+            _centroids, "shard bigint, n bigint, k int, centroids binary"
         ))
-        cut = placed.join(fitted, "shard").mapInPandas(assign, "shard bigint, part int, node bigint, home boolean, vector array<double>")
-        placed = checkpoint(cut.select(F.xxhash64("shard", "part").alias("shard"), "node", "home", "vector"))
-    else:  # what no centroid separates is cut by a hash
-        parts = placed.join(counts, "shard")
-        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / size).cast("bigint"))
-        placed = parts.select(F.xxhash64("shard", part).alias("shard"), "node", "home", "vector")
-    return checkpoint(placed if done is None else done.unionByName(placed))
+        cut = placed.drop("was").join(fitted, "shard").mapInPandas(
+            assign(overlap if level < OVERLAP_LEVELS else 1),
+            "shard bigint, was bigint, part int, node bigint, home boolean, vector array<double>",
+        )
+        placed = checkpoint(cut.select(F.xxhash64("shard", "part").alias("shard"), "was", "node", "home", "vector"))
+    return checkpoint(done)
 
 
 def _build_shard(rows: pd.DataFrame) -> pd.DataFrame:
@@ -366,8 +392,8 @@ def _search_shard(threshold: float, beam: int):
     return run
 
 
-def _search(nodes: DataFrame, threshold: float, overlap: int, beam: int, shard: int) -> DataFrame:
-    """``(node, links, other)``: numbers of links (other is NULL) and a forest of links (links is NULL)."""
+def _search(nodes: DataFrame, threshold: float, overlap: int, beam: int, shard: int) -> tuple[DataFrame, DataFrame]:
+    """``(node, links, other)``, numbers of links (other is NULL) and a forest of links (links is NULL), and the shards."""
     shards = _shards(nodes, shard, overlap)
     built = checkpoint(shards.groupBy("shard").applyInPandas(_build_shard, "node bigint, near array<bigint>, close array<bigint>"))
     united = built.groupBy("node").agg(
@@ -379,9 +405,159 @@ def _search(nodes: DataFrame, threshold: float, overlap: int, beam: int, shard:
     far = places.join(united.select("node", "close"), "node").select("shard", F.explode("close").alias("node"), F.lit(False).alias("home"))
     held = places.unionByName(far).groupBy("shard", "node").agg(F.max("home").alias("home"))
     filled = held.join(united.drop("close"), "node")
-    return checkpoint(filled.groupBy("shard").applyInPandas(
+    found = checkpoint(filled.groupBy("shard").applyInPandas(
         _search_shard(threshold, beam), "node bigint, links bigint, other bigint"
     ))
+    return found, shards
+
+
+# --- exact products -----------------------------------------------------------------------------
+
+
+class Forest:
+    """A spanning forest of the links that a task meets, between queries (places from 0) and the rows of a batch."""
+
+    def __init__(self, queries: int):
+        self.queries = queries
+        self.label = np.arange(queries)
+
+    def batch(self, rows: int) -> None:
+        """Forget the rows of the batch before; queries stay joined."""
+        self.label = np.concatenate([self.label[:self.queries], self.queries + np.arange(rows)])
+
+    def _join(self, places: np.ndarray) -> list[tuple[int, int]]:
+        labels = np.unique(self.label[places])
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels)] = labels[0]  # the smallest is that of a query
+        return [(int(labels[0]), int(x)) for x in labels[1:]]
+
+    def add(self, hit: np.ndarray, rows: np.ndarray, queries: np.ndarray) -> list[tuple[int, int]]:
+        """Links that join what was apart, of ``hit`` (rows x queries at these places)."""
+        out = []
+        waiting = hit.any(axis=1)
+        while waiting.any():
+            own = np.zeros(len(rows), bool)
+            cols = np.zeros(len(queries), bool)
+            edge = np.zeros(len(rows), bool)
+            edge[waiting.argmax()] = True
+            while edge.any():  # every row and column is looked at once
+                own |= edge
+                waiting &= ~edge
+                fresh = hit[edge].any(axis=0) & ~cols
+                cols |= fresh
+                edge = hit[:, fresh].any(axis=1) & waiting
+            out += self._join(np.concatenate([queries[cols], self.queries + rows[own]]))
+        return out
+
+
+def exact_links(queries: pd.DataFrame, threshold: float):
+    """Function of batches ``(node, field, copies, vector)``: ``(node, links, other, asked)``.
+
+    ``queries`` has ``node, field, block, copies, vector``. Links of a query (asked) come in parts, one for each task;
+    links of a row to queries likewise (not asked). ``other`` closes a forest of links, as in the search.
+    """
+    queries = queries.sort_values(["field", "block", "node"], ignore_index=True)
+    ids, copies = queries["node"].to_numpy(), queries["copies"].to_numpy()
+    angle = np.arccos(min(1.0, threshold)) + 1e-6
+    blocks: dict[int, list] = {}
+    for (field, _), own in queries.groupby(["field", "block"]):
+        x = unit(np.stack(own["vector"].to_numpy()).astype(np.float64))
+        for start in range(0, len(x), ROWS):
+            part = x[start:start + ROWS]
+            mean = part.sum(axis=0)
+            center = mean / np.linalg.norm(mean) if np.linalg.norm(mean) > 1e-9 else part[0]
+            radius = float(np.arccos(np.clip(part @ center, -1, 1)).max())
+            blocks.setdefault(field, []).append((own.index.to_numpy()[start:start + ROWS], part, center, min(np.pi, radius + angle)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(ids), np.int64)
+        forest = Forest(len(ids))
+        for batch in batches:
+            for field, rows in batch.groupby("field"):
+                if field not in blocks:
+                    continue
+                nodes, weight = rows["node"].to_numpy(), rows["copies"].to_numpy()
+                x = unit(np.stack(rows["vector"].to_numpy()).astype(np.float64))
+                met = np.zeros(len(nodes), np.int64)
+                forest.batch(len(nodes))
+                edges = []
+                for at, part, center, reach in blocks[field]:
+                    near = np.flatnonzero(x @ center >= np.cos(reach) - 1e-9)
+                    for start in range(0, len(near), ROWS):
+                        own = near[start:start + ROWS]
+                        hit = x[own] @ part.T >= threshold
+                        hit &= nodes[own][:, None] != ids[at][None, :]
+                        some = hit.any(axis=1)
+                        if some.any():
+                            own, hit = own[some], hit[some]
+                            total[at] += weight[own] @ hit
+                            met[own] += hit @ copies[at]
+                            edges += forest.add(hit, own, at)
+                names = np.concatenate([ids, nodes])
+                a, b = np.array(edges, np.int64).reshape(-1, 2).T
+                yield pd.DataFrame({"node": names[a], "links": pd.array([pd.NA] * len(a), "Int64"), "other": pd.array(names[b], "Int64"), "asked": False})
+                some = np.flatnonzero(met)
+                yield pd.DataFrame({"node": nodes[some], "links": pd.array(met[some], "Int64"), "other": pd.array([pd.NA] * len(some), "Int64"), "asked": False})
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"node": ids[some], "links": pd.array(total[some], "Int64"), "other": pd.array([pd.NA] * len(some), "Int64"), "asked": True})
+
+    return run
+
+
+def _chunks(todo: DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows of ``todo`` (block, size, ...) in pieces of about ``CHUNK_BYTES``, whole blocks together where they fit."""
+    per_row = 8 * (todo.agg(F.max(F.size("vector"))).first()[0] or 1)
+    most = max(1, CHUNK_BYTES // per_row)
+    sizes = todo.groupBy("block").agg(F.ceil(F.count("*") / most).cast("bigint").alias("pieces"))
+    piece = F.pmod(F.xxhash64(F.lit(3), "node"), "pieces")
+    todo = checkpoint(todo.join(sizes, "block").withColumn("block", F.xxhash64("block", piece)).drop("pieces"))
+    blocks, held = [], 0
+    for r in todo.groupBy("block").count().orderBy("block").toLocalIterator():
+        if blocks and held + r["count"] > most:
+            yield todo.where(F.col("block").isin(blocks)).toPandas()
+            blocks, held = [], 0
+        blocks.append(r["block"])
+        held += r["count"]
+    if blocks:
+        yield todo.where(F.col("block").isin(blocks)).toPandas()
+
+
+def finish(nodes: DataFrame, found: DataFrame, todo: DataFrame, threshold: float) -> DataFrame:
+    """``found`` with exact numbers of links for the nodes of ``todo`` (node, block), and for those whose links to these
+    alone are more than the search had found, until there are none."""
+    rows = nodes.select("node", "field", "copies", "vector")
+    counts = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
+    counts = counts.withColumns({"met": F.lit(0).cast("bigint"), "done": F.lit(False)})
+    forest = found.where("other IS NOT NULL").select("node", "other")
+    todo = checkpoint(todo)
+    if todo.isEmpty():
+        return found
+    spark = nodes.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    rows = checkpoint(rows.repartition(parts, "node"))
+    while not todo.isEmpty():
+        asked = checkpoint(todo.join(rows, "node"))
+        pieces = []
+        for queries in _chunks(asked):
+            links = rows.mapInPandas(exact_links(queries, threshold), "node bigint, links bigint, other bigint, asked boolean")
+            pieces.append(checkpoint(links.groupBy("node", "other", "asked").agg(F.sum("links").alias("links"))))
+        got = functools.reduce(DataFrame.unionByName, pieces)
+        forest = forest.unionByName(got.where("other IS NOT NULL").select("node", "other"))
+        sums = got.where("other IS NULL").groupBy("node").agg(
+            F.sum(F.when(F.col("asked"), F.col("links"))).alias("exact"), F.sum(F.when(~F.col("asked"), F.col("links"))).alias("more")
+        )
+        now = todo.select("node", F.lit(True).alias("now"))
+        counts = counts.join(sums, "node", "left").join(now, "node", "left")
+        counts = checkpoint(counts.select(
+            "node", F.when(F.col("now"), F.coalesce("exact", F.lit(0))).otherwise(F.col("links")).alias("links"),
+            (F.col("met") + F.coalesce("more", F.lit(0))).alias("met"), (F.col("done") | F.col("now").isNotNull()).alias("done"),
+        ))
+        # rows near queries, but with fewer links than these are: their search was cut off as well
+        short = counts.where("NOT done AND met > links").select("node")
+        todo = checkpoint(short.join(rows.select("node", F.col("field").alias("block")), "node"))
+    return checkpoint(counts.select("node", "links", F.lit(None).cast("bigint").alias("other")).unionByName(
+        forest.select("node", F.lit(None).cast("bigint").alias("links"), "other")
+    ))
 
 
 def audit(nodes: DataFrame, threshold: float, queries: int = AUDIT) -> DataFrame:
@@ -410,7 +586,9 @@ def near_duplicates(
     members, nodes = _nodes(vectors, id_col, vec_col, label_col)
     truth = checkpoint(audit(nodes, threshold))
     for attempt in range(ATTEMPTS):
-        found = _search(nodes, threshold, overlap + attempt, beam << attempt, shard)
+        found, shards = _search(nodes, threshold, overlap + attempt, beam << attempt, shard)
+        tied = shards.where("home AND tied").select("node", F.col("shard").alias("block"))
+        found = finish(nodes, found, tied, threshold)
         seen = truth.join(found.where("other IS NULL"), "node")
         total = seen.agg(F.sum(F.least("links", "truth")).alias("found"), F.sum("truth").alias("all")).first()
         recall = (total["found"] or 0) / total["all"] if total["all"] else 1.0

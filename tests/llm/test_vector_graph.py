@@ -1,6 +1,7 @@
 """Near-duplicate vectors against all pairs, and the graph's parts."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from nestmeans.llm import vector_graph as G
@@ -109,3 +110,54 @@ def test_audit(spark):
     _, nodes = G._nodes(df, "vec_id", "embedding", "label")
     want = brute(rows)
     assert {r["node"]: r["truth"] for r in G.audit(nodes, 0.98).collect()} == {i: n for i, (n, _) in want.items()}
+
+
+def test_one_direction_larger_than_a_shard(spark):
+    v = np.random.default_rng(4).normal(size=8)
+    rows = [(i, (v * (i + 1)).tolist(), 1) for i in range(150)]  # scaled copies: one node
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(4)
+    members, nodes = G._nodes(df, "vec_id", "embedding", "label")
+    assert members.count() == 150 and [r["copies"] for r in nodes.collect()] == [150]
+    assert answer(G.near_duplicates(df, shard=20)) == {i: (149, 0) for i in range(150)}
+
+
+def test_nodes_that_no_centroid_separates_stay(spark):
+    vectors = [[1.0, 2.0, 2.0]] * 150 + [x.tolist() for x in clouds(60, 6)[:, :3]]
+    rows = [(i, 7, 1, v) for i, v in enumerate(vectors)]
+    nodes = spark.createDataFrame(rows, "node bigint, field bigint, copies bigint, vector array<double>")
+    shards = G._shards(nodes, 20, 2).collect()
+    assert sorted(r["node"] for r in shards if r["home"]) == list(range(210))
+    assert len(shards) <= 4 * 210
+    tied = {r["node"] for r in shards if r["tied"]}
+    assert tied >= set(range(150))
+    found, placed = G._search(nodes, 0.98, 2, 48, 20)
+    todo = placed.where("home AND tied").select("node", placed["shard"].alias("block"))
+    got = {r["node"]: r["links"] for r in G.finish(nodes, found, todo, 0.98).where("other IS NULL").collect()}
+    u = G.unit(np.array(vectors))
+    truth = (u @ u.T >= 0.98).sum(axis=1) - 1
+    assert all(got[i] == truth[i] for i in tied)
+
+
+def test_exact_links_and_forest():
+    x = clouds(300, 8)
+    ids = np.arange(300)
+    frame = {"node": ids, "field": 1, "copies": 1 + ids % 3, "vector": list(x)}
+    asked = pd.DataFrame({**frame, "block": ids % 4}).iloc[::2]
+    got = pd.concat(G.exact_links(asked, 0.98)(iter([pd.DataFrame(frame).iloc[:170], pd.DataFrame(frame).iloc[170:]])))
+    u = G.unit(x)
+    truth = (u @ u.T >= 0.98) & ~np.eye(300, dtype=bool)
+    counts = got[got["other"].isna()]
+    own = counts[counts["asked"]].groupby("node")["links"].sum()
+    assert {i: own.get(i, 0) for i in ids[::2]} == {i: int(truth[i] @ (1 + ids % 3)) for i in ids[::2]}
+    met = counts[~counts["asked"]].groupby("node")["links"].sum()
+    assert {i: met.get(i, 0) for i in ids} == {i: int(truth[i, ::2] @ (1 + ids[::2] % 3)) for i in ids}
+    edges = got[got["other"].notna()]
+    assert len(edges) <= 300 + 150
+
+    def classes(pairs):
+        root = ids.copy()
+        for a, b in pairs:
+            root[root == root[b]] = root[a]
+        return {frozenset(ids[root == r].tolist()) for r in root}
+
+    assert classes(zip(edges["node"], edges["other"].astype(int))) == classes((a, b) for a, b in np.argwhere(truth) if a % 2 == 0)
