@@ -13,11 +13,14 @@
 5. Every node is a query in its nearest shard: greedy search from the shard's medoids, then expansion through all
    nodes within ``SLACK`` of the query until the range is exhausted. What is found is verified by
    cosine in double precision.
-6. A bounded sample of queries is compared with all nodes of its label. While recall is below
-   ``MIN_RECALL``, the search is repeated with a wider beam and more overlap.
+6. Two bounded samples of queries, of all nodes and of nodes with links, are compared with all nodes of
+   their label. While the recall of those that stay with the search is below ``MIN_RECALL``, the search is repeated
+   with a wider beam and more overlap; if it stays below, step 7 takes all nodes.
 
-7. Tied nodes are compared with all nodes of their label in exact products: blocks of them are sent to every
-   task, which leaves out the rows that the triangle inequality on a block's centroid and radius rules out.
+7. Tied nodes, and dense ones (with more near nodes in reach of their shard than the ``DEGREE`` that a list can name
+   elsewhere), are compared with all nodes of their label in exact products: blocks of them are sent to every
+   task, which leaves out the rows that the triangle inequality on a block's centroid and radius rules out. Nodes
+   whose links to these outnumber what the search had found for them follow, until there are none.
 
 Tasks report a number of links for each node and a forest of links, never the pairs of a group.
 Scale: every step is a shuffle by shard, node or key; shards hold about ``SHARD`` nodes whatever the
@@ -31,7 +34,6 @@ zero rows give zero rows.
 from __future__ import annotations
 
 import functools
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -354,7 +356,7 @@ def _search_shard(threshold: float, beam: int):
             graph[i, :len(names)] = np.where(ids[at] == names, at, -1)
         medoids = medoids_of(x)
         home = np.flatnonzero(rows["home"].to_numpy())
-        counts = np.zeros(len(ids), np.int64)
+        counts, near = np.zeros((2, len(ids)), np.int64)
         root = np.arange(len(ids))
 
         def find(i: int) -> int:
@@ -378,6 +380,7 @@ def _search_shard(threshold: float, beam: int):
             keep = (np.einsum("ij,ij->i", exact[home[p]], exact[q]) >= threshold) & (home[p] != q)
             p, q = home[p[keep]], q[keep]
             np.add.at(counts, p, copies[q])
+            np.add.at(near, p, 1)
             for i, j in zip(p.tolist(), q.tolist(), strict=True):
                 i, j = find(i), find(j)
                 if i != j:
@@ -385,15 +388,21 @@ def _search_shard(threshold: float, beam: int):
         top = np.array([find(i) for i in range(len(ids))])
         linked = np.flatnonzero(top != np.arange(len(ids)))
         return pd.concat([
-            pd.DataFrame({"node": ids[home], "links": pd.array(counts[home], "Int64"), "other": pd.array([pd.NA] * len(home), "Int64")}),
-            pd.DataFrame({"node": ids[top[linked]], "links": pd.array([pd.NA] * len(linked), "Int64"), "other": pd.array(ids[linked], "Int64")}),
+            pd.DataFrame({
+                "node": ids[home], "links": pd.array(counts[home], "Int64"), "other": pd.array([pd.NA] * len(home), "Int64"),
+                "dense": near[home] > DEGREE,
+            }),
+            pd.DataFrame({
+                "node": ids[top[linked]], "links": pd.array([pd.NA] * len(linked), "Int64"), "other": pd.array(ids[linked], "Int64"),
+                "dense": False,
+            }),
         ])
 
     return run
 
 
 def _search(nodes: DataFrame, threshold: float, overlap: int, beam: int, shard: int) -> tuple[DataFrame, DataFrame]:
-    """``(node, links, other)``, numbers of links (other is NULL) and a forest of links (links is NULL), and the shards."""
+    """``(node, links, other, dense)``, numbers of links (other is NULL) and a forest of links (links is NULL), and the shards."""
     shards = _shards(nodes, shard, overlap)
     built = checkpoint(shards.groupBy("shard").applyInPandas(_build_shard, "node bigint, near array<bigint>, close array<bigint>"))
     united = built.groupBy("node").agg(
@@ -406,7 +415,7 @@ def _search(nodes: DataFrame, threshold: float, overlap: int, beam: int, shard:
     held = places.unionByName(far).groupBy("shard", "node").agg(F.max("home").alias("home"))
     filled = held.join(united.drop("close"), "node")
     found = checkpoint(filled.groupBy("shard").applyInPandas(
-        _search_shard(threshold, beam), "node bigint, links bigint, other bigint"
+        _search_shard(threshold, beam), "node bigint, links bigint, other bigint, dense boolean"
     ))
     return found, shards
 
@@ -560,9 +569,15 @@ def finish(nodes: DataFrame, found: DataFrame, todo: DataFrame, threshold: float
     ))
 
 
-def audit(nodes: DataFrame, threshold: float, queries: int = AUDIT) -> DataFrame:
-    """``(node, truth)`` of at most ``queries`` nodes by hash order, by comparison with all nodes of their label."""
-    asked = nodes.orderBy(F.xxhash64("node")).limit(queries).select("node", "field", "vector").toPandas()
+def audit(nodes: DataFrame, threshold: float, queries: int = AUDIT, linked: DataFrame | None = None) -> DataFrame:
+    """``(node, truth)`` of at most ``queries`` nodes by hash order, and as many of ``linked`` (node), by comparison with all
+    nodes of their label."""
+    def first(of: DataFrame) -> pd.DataFrame:
+        return of.orderBy(F.xxhash64("node")).limit(queries).select("node", "field", "vector").toPandas()
+
+    asked = first(nodes)
+    if linked is not None:
+        asked = pd.concat([asked, first(nodes.join(linked, "node"))]).drop_duplicates("node", ignore_index=True)
     by_field = {k: (g["node"].to_numpy(), unit(np.stack(g["vector"].to_numpy()))) for k, g in asked.groupby("field")}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -584,18 +599,22 @@ def near_duplicates(
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row."""
     members, nodes = _nodes(vectors, id_col, vec_col, label_col)
-    truth = checkpoint(audit(nodes, threshold))
+    truth = None
     for attempt in range(ATTEMPTS):
         found, shards = _search(nodes, threshold, overlap + attempt, beam << attempt, shard)
-        tied = shards.where("home AND tied").select("node", F.col("shard").alias("block"))
-        found = finish(nodes, found, tied, threshold)
-        seen = truth.join(found.where("other IS NULL"), "node")
-        total = seen.agg(F.sum(F.least("links", "truth")).alias("found"), F.sum("truth").alias("all")).first()
+        own = found.where("other IS NULL").select("node", "links", "dense")
+        homes = checkpoint(shards.where("home").select("node", "tied", F.col("shard").alias("block")).join(own, "node"))
+        rest = homes.where("NOT tied AND NOT dense").select("node", "links")
+        if truth is None:
+            truth = checkpoint(audit(nodes, threshold, linked=rest.where("links > 0").select("node")))
+        total = truth.join(rest, "node").agg(F.sum(F.least("links", "truth")).alias("found"), F.sum("truth").alias("all")).first()
         recall = (total["found"] or 0) / total["all"] if total["all"] else 1.0
         if recall >= min_recall:
+            todo = homes.where("tied OR dense")
             break
     else:
-        warnings.warn(f"recall {recall:.3f} on the audited queries is below {min_recall}", stacklevel=2)
+        todo = homes
+    found = finish(nodes, found, todo.select("node", "block"), threshold)
     label = components(found.where("other IS NOT NULL"), "node", "other")
     info = nodes.join(found.where("other IS NULL").select("node", "links"), "node", "left").join(label, "node", "left")
     info = checkpoint(info.select(

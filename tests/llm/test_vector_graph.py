@@ -161,3 +161,24 @@ def test_exact_links_and_forest():
         return {frozenset(ids[root == r].tolist()) for r in root}
 
     assert classes(zip(edges["node"], edges["other"].astype(int))) == classes((a, b) for a, b in np.argwhere(truth) if a % 2 == 0)
+
+
+def test_dense_group_larger_than_a_shard(spark):
+    rng = np.random.default_rng(4)
+    w = rng.normal(size=8)
+    rows = [(i, (w + 0.05 * rng.normal(size=8)).tolist(), 1) for i in range(200)]  # most within 0.98 of each other
+    rows += [(400 + i, x.tolist(), 1) for i, x in enumerate(clouds(60, 6)[:, :8])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(4)
+    got, want = answer(G.near_duplicates(df, shard=50)), brute(rows)
+    assert min(want[i][0] for i in range(200)) > 2 * 50
+    assert {i: got[i] for i in range(200)} == {i: want[i] for i in range(200)}
+
+
+def test_audit_asks_nodes_with_links(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 16))
+    x[299] = x[298] + 0.01
+    nodes = spark.createDataFrame([(i, 7, 1, v.tolist()) for i, v in enumerate(x)], "node bigint, field bigint, copies bigint, vector array<double>")
+    linked = nodes.where("node >= 298").select("node")
+    asked = {r["node"]: r["truth"] for r in G.audit(nodes, 0.98, 2, linked).collect()}
+    assert len(asked) <= 4 and asked[298] == asked[299] == 1
