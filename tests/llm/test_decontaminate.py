@@ -109,3 +109,22 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "one two three four five six")], "item_id bigint, text string")
     assert D.leaks(docs, some).count() == 0
     assert D.leaks(some.withColumnRenamed("item_id", "doc_id"), bench).count() == 0
+
+
+def test_reordered_and_shifted_items(spark):
+    rnd = random.Random(3)
+    item = [f"w{i}" for i in range(100)]
+    pad = lambda n: [f"p{rnd.randrange(9999)}" for _ in range(n)]
+    docs = [
+        pad(40) + item[50:] + item[:50] + pad(40),  # halves swapped
+        pad(40) + item[33:66] + item[:33] + item[66:] + pad(40),  # sentences moved
+        item[:30] + pad(3) + item[30:70] + item[73:] + pad(5),  # an insertion and a deletion
+        item[80:] + item[:80],
+        pad(300),
+    ]
+    rows = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    bench = [(7, " ".join(item)), (8, " ".join(pad(20)))]
+    want = brute(rows, bench)
+    assert want == {(i, 7) for i in range(4)}
+    got = D.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string"))
+    assert answer(got) == want
