@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestmeans.llm import decontaminate, html_text, jaccard, language, packing, pii, quality, url_filter, vector_graph, warc
+from nestmeans.llm import (
+    decontaminate, html_text, jaccard, language, packing, pii, quality, secret_scan, url_filter, vector_graph, warc,
+)
 from nestmeans.llm.common import table
 
 # URL rules and the labels of host names that are listed.
@@ -142,3 +144,79 @@ def op4_vector_graph(spark, folder):
 
 
 QUERIES["op4_vector_graph"] = op4_vector_graph
+
+
+def op11_secrets(spark, folder):
+    """Secrets of every document; a document is a repository and its source the owner."""
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    spans = F.col("spans")
+    base = F.filter(spans, secret_scan.is_base)
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_of(spans, "kind", k.name).alias(f"n_{k.name}") for k in secret_scan.BASE],
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(spans).alias("spans"),
+        F.array_join(F.transform(spans, lambda s: s["verdict"]), ",").alias("verdicts"),
+        secret_scan.count_of(spans, "verdict", "live").alias("n_live"),
+    )
+
+
+QUERIES["op11_secrets"] = op11_secrets
+
+_NAMED = "|".join(
+    secret_scan.either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")
+)
+# kind, plain pattern, group of the value, test of a match m and its value v
+_SECRETS = (
+    ("assign", rf"""({_NAMED})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, "length(v) >= 12"),
+    ("access", "AKIA[A-Z0-9]+", 0, "length(v) >= 18"),
+    ("hex", "[0-9a-f]+", 0, "length(v) >= 16"),
+    ("service", "[A-Za-z0-9_-]+", 0, "length(v) >= 16 AND regexp_full_match(v, 'gh[opsu]_[A-Za-z0-9]{36}|"
+     "xox[abp]-[A-Za-z0-9-]{16,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}')"),
+    ("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]*", 0,
+     r"regexp_matches(v, 'PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]{32,}$')"),
+    ("mixed", "[A-Za-z0-9_-]+", 0, "length(v) >= 24 AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') "
+     "AND regexp_matches(v, '[0-9]')"),
+)
+
+
+def _spans_sql(place: int, kind: str, pattern: str, group: int, test: str) -> str:
+    """Spans of one kind: matches and the stretches between them, unnested side by side."""
+    return rf"""
+  SELECT rid, doc_id, source, {place} AS place, '{kind}' AS kind, CAST(upto - length(m) AS BIGINT) AS s, CAST(upto AS BIGINT) AS e, sha256(v) AS value,
+    len(list_distinct(string_split(v, ''))) >= {secret_scan.LEAST_SYMBOLS} AND regexp_matches(v, '[0-9]')
+      AND regexp_matches(v, '[A-Za-z]') AND NOT regexp_matches(lower(v), '{secret_scan.PLACEHOLDERS}') AS random
+  FROM (
+    SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY rid ORDER BY i) AS upto,
+      {f"regexp_extract(m, '{pattern}', {group})" if group else "m"} AS v
+    FROM (
+      SELECT rid, doc_id, source, unnest(m) AS m, unnest(g[1:len(m)]) AS gap, unnest(range(len(m))) AS i
+      FROM (SELECT *, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM docs)
+    )
+  ) WHERE {test}"""
+
+
+ORACLES["op11_secrets"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents
+), proposed AS ({" UNION ALL ".join(_spans_sql(i + 1, *k) for i, k in enumerate(_SECRETS))}
+), spans AS (
+  SELECT * FROM proposed p WHERE place <= 3 OR NOT EXISTS (
+    SELECT 1 FROM proposed b WHERE b.rid = p.rid AND b.place <= 3 AND b.s < p.e AND p.s < b.e)
+), owners AS (
+  SELECT value, count(*) AS n FROM (SELECT DISTINCT value, source FROM spans) GROUP BY value
+), judged AS (
+  SELECT s.*, CASE WHEN n > {secret_scan.MAX_OWNERS} THEN 'example' WHEN random THEN 'live' ELSE 'plain' END AS verdict
+  FROM spans s JOIN owners USING (value)
+), kept AS (
+  SELECT rid, count(*) FILTER (place = 1) AS n_assign, count(*) FILTER (place = 2) AS n_access, count(*) FILTER (place = 3) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (place <= 3) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans,
+    string_agg(verdict, ',' ORDER BY s, place) AS verdicts, count(*) FILTER (verdict = 'live') AS n_live
+  FROM judged WHERE kind <> 'mixed' OR verdict = 'live' GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(verdicts, '') AS verdicts,
+  coalesce(n_live, 0) AS n_live
+FROM docs LEFT JOIN kept USING (rid)
+"""
