@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nestmeans.llm import (
-    decontaminate, html_text, jaccard, language, packing, pii, quality, secret_scan, url_filter, vector_graph, warc,
+    decontaminate, html_text, jaccard, language, manifest, packing, pii, quality, secret_scan, url_filter, vector_graph, warc,
 )
-from nestmeans.llm.common import table
+from nestmeans.llm.common import ascii_lower, table
 
 # URL rules and the labels of host names that are listed.
 URL_RULES = (
@@ -220,3 +220,87 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(n_live, 0) AS n_live
 FROM docs LEFT JOIN kept USING (rid)
 """
+
+
+_MANIFEST = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_manifest(spark, folder):
+    """Merkle manifest of all documents; a third of them is tampered with and must not verify."""
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    values = [ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in _MANIFEST]
+    changed = F.when(tampered, manifest.leaf_of(values))
+    found = manifest.manifest(docs, list(_MANIFEST), others={"changed": changed})
+    root = manifest.folded(F.coalesce("changed", "leaf"), F.col("path"))
+    found = found.select("doc_id", "leaf", "subroot", "root", manifest.proof(F.col("path")).alias("proof_sha256"), root.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES["op12_manifest"] = op12_manifest
+
+
+def _manifest_sql(levels: int = 7, upper: int = 3, arity: int = manifest.ARITY) -> str:
+    """Runs of every level by grouping, then every leaf's way up; holds for arity ** levels documents a
+    language and arity ** upper languages."""
+    def part(c, text="text"):
+        value = f"CAST({text if c == 'text' else c} AS VARCHAR)"
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = (
+        "xor(list_reduce(CAST(string_split(CAST(doc_id AS VARCHAR), '') AS VARCHAR[]).list_transform(lambda c: CAST(ascii(c) AS BIGINT)), "
+        "lambda a, c: list_reduce(CAST(range(8) AS BIGINT[]), lambda b, i: xor(b >> 1, (b & 1) * 3988292384), xor(a, c)), "
+        "CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
+    )
+    sql = f"""
+WITH hashed AS MATERIALIZED (
+  SELECT doc_id, lang, sha256({" || ".join(part(c) for c in _MANIFEST)}) AS leaf,
+    CASE WHEN {crc} % 3 = 0 THEN sha256({" || ".join(part(c, lower) for c in _MANIFEST)}) END AS changed
+  FROM documents
+), l0 AS MATERIALIZED (
+  SELECT doc_id, lang AS g, leaf AS h, changed,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed
+)"""
+    def climb(name, count):
+        out = ""
+        for n in range(count):
+            out += f""", {name}{n}r AS MATERIALIZED (
+  SELECT g, i // {arity} AS i, list(h ORDER BY i) AS m, sum(count(*)) OVER (PARTITION BY g) AS n FROM {name}{n} GROUP BY g, i // {arity}
+), {name}{n + 1} AS MATERIALIZED (
+  SELECT g, i, CASE WHEN n = 1 THEN m[1] ELSE sha256(list_aggregate(m, 'string_agg', '')) END AS h FROM {name}{n}r
+)"""
+        return out
+
+    sql += climb("l", levels)
+    sql += f""", u0 AS MATERIALIZED (
+  SELECT 0 AS g, g AS lang, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i FROM l{levels}
+)""" + climb("u", upper)
+    sql += """, w0 AS (
+  SELECT doc_id, g AS lang, h AS leaf, g, i, coalesce(changed, h) AS cur, '' AS proof FROM l0
+)"""
+    place = f"(w.i % {arity})"
+    others = f"m[1:{place}] || m[{place} + 2:]"
+
+    def walk(source, run, target, subroot):
+        return f""", {target} AS (
+  SELECT doc_id, lang, leaf, {subroot}w.g, w.i // {arity} AS i,
+    CASE WHEN n = 1 THEN cur ELSE sha256(list_aggregate(m[1:{place}] || [cur] || m[{place} + 2:], 'string_agg', '')) END AS cur,
+    proof || CASE WHEN n = 1 OR len({others}) = 0 THEN '' ELSE list_aggregate({others}, 'string_agg', '') END AS proof
+  FROM {source} w JOIN {run} r ON r.g IS NOT DISTINCT FROM w.g AND r.i = w.i // {arity}
+)"""
+
+    for n in range(levels):
+        sql += walk(f"w{n}", f"l{n}r", f"w{n + 1}", "")
+    sql += f""", x0 AS (
+  SELECT doc_id, leaf, u.h AS subroot, w.lang, u.g, u.i, cur, proof FROM w{levels} w JOIN u0 u ON u.lang IS NOT DISTINCT FROM w.lang
+)"""
+    for n in range(upper):
+        sql += walk(f"x{n}", f"u{n}r", f"x{n + 1}", "subroot, ")
+    return sql + f"""
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = u.h AS verified
+FROM x{upper}, u{upper} u
+"""
+
+
+ORACLES["op12_manifest"] = _manifest_sql()
