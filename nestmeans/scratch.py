@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,11 +30,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet and continue from the files."""
+@dataclass(frozen=True)
+class Stored:
+    """An intermediate table and the folder that holds it."""
+
+    frame: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Delete the files; nothing that still reads ``frame`` may run after that."""
+        spark = self.frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def store(df: DataFrame, name: str) -> Stored:
+    """Write ``df`` once as Parquet; the caller drops it after its last reader."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet and continue from the files."""
+    return store(df, name).frame
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
