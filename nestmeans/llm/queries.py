@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nestmeans.llm import (
-    decontaminate, html_text, jaccard, language, manifest, packing, pii, quality, secret_scan, url_filter, vector_graph, warc,
+    decontaminate, html_text, jaccard, language, manifest, packing, pii, quality, secret_scan, url_filter, vector_codes, vector_graph,
+    warc,
 )
 from nestmeans.llm.common import ascii_lower, table
 
@@ -304,3 +305,48 @@ FROM x{upper}, u{upper} u
 
 
 ORACLES["op12_manifest"] = _manifest_sql()
+
+
+def op13_vector_codes(spark, folder):
+    """Codes of all embeddings by codebooks trained on all of them."""
+    return vector_codes.coded(table(spark, folder, "embeddings"))
+
+
+QUERIES["op13_vector_codes"] = op13_vector_codes
+
+
+def _codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """All distances in every round."""
+    sql = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {vector_codes.SCALE}) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS v FROM kept, range({parts}) t(p)
+), book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, v AS c FROM cut WHERE rid <= {entries})"""
+    for n in range(rounds + 1):
+        sql += f""", near{n} AS MATERIALIZED (
+  SELECT rid, p, min(d) AS d, arg_min(e, d * {entries} + e) AS e FROM (
+    SELECT rid, p, e, list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d
+    FROM cut JOIN book{n} USING (p)
+  ) GROUP BY rid, p
+)"""
+        if n < rounds:
+            sql += f""", sums{n} AS (
+  SELECT p, e, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS i FROM cut JOIN near{n} USING (rid, p)) GROUP BY p, e, i
+), mean{n} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM sums{n} GROUP BY p, e
+), book{n + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN mean{n} m USING (p, e))"""
+    return sql + f""", told AS (
+  SELECT vec_id, label, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM kept JOIN near{rounds} USING (rid) GROUP BY rid, vec_id, label
+), hashed AS (
+  SELECT sha256(coalesce(string_agg(array_to_string(c, ','), ',' ORDER BY p, e), '')) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM told, hashed
+"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
