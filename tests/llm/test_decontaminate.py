@@ -128,3 +128,36 @@ def test_reordered_and_shifted_items(spark):
     assert want == {(i, 7) for i in range(4)}
     got = D.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string"))
     assert answer(got) == want
+
+
+def test_index_selects_among_many_items_of_one_size(spark):
+    """10,000 items of 30 words with common passages: hardly any (window, item) pair leaves the index."""
+    rnd = random.Random(4)
+    common = [" ".join(f"c{rnd.randrange(300)}" for _ in range(8)) for _ in range(5)]
+    items = [(i, " ".join(f"w{rnd.randrange(4000)}" for _ in range(22)) + " " + common[i % 5]) for i in range(10_000)]
+    docs = [(i, " ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) + " " + common[i % 5] + " " + items[i][1]) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    table = D.item_table(bench, "item_id", "text", 5)
+    windows = D.candidate_windows(df, table, "doc_id", "text", 5, 0.75, D.MAX_BROADCAST)
+    places = sum(len(words(t)) - 29 for _, t in docs)
+    assert windows.count() < 0.05 * places * len(items)
+    assert D.within_radius(windows, table, D.RADIUS, D.BLOCKS).count() < 0.001 * places * len(items)
+    assert {(i, i) for i in range(40)} <= answer(D.leaks(df, bench))
+
+
+def test_simhash_and_block_keys(spark):
+    rnd = random.Random(5)
+    lists = [[(rnd.getrandbits(64) - (1 << 63), rnd.randrange(1, 4)) for _ in range(n)] for n in (1, 2, 7, 40)]
+    df = spark.createDataFrame([(w,) for w in lists], "w array<struct<s:bigint,c:int>>")
+    for r, w in zip(df.select(D.simhash(F.col("w")).alias("h")).collect(), lists):
+        bits = [sum(c for s, c in w if s >> b & 1) * 2 > sum(c for _, c in w) for b in range(64)]
+        assert r["h"] & (1 << 64) - 1 == sum(1 << b for b, on in enumerate(bits) if on)
+    x = rnd.getrandbits(64)
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,)], "x bigint")
+    got = {(k["block"], k["value"]) for k in df.select(D.block_keys(F.col("x"), 9, 2).alias("k")).first()["k"]}
+    want = set()
+    for number, (start, bits) in enumerate(D._block_spans(9)):
+        value = x >> start & (1 << bits) - 1
+        want |= {(number, value ^ mask) for mask in range(1 << bits) if mask.bit_count() <= 2}
+    assert got == want
