@@ -185,18 +185,22 @@ def test_plans_of_very_large_groups(spark):
     """A third of 10^11 rows in one group: no overflow, and not in one task."""
     rows = [(0, 33_000_000_000, 66_000_000, 0), (1, 1000, 125, 0), (2, 5000, 10, 10**12)]
     sizes = spark.createDataFrame(rows, "_g bigint, n bigint, k bigint, bytes bigint")
-    local, large = km.make_plans(sizes, 256, KMeansOptions(), whole=True)
-    assert [r._g for r in local.frame.collect()] == [1]
-    assert {r._g for r in large.frame.collect()} == {0, 2}
-    assert large.centers == 66_000_010 and large.max_k == 66_000_000
-    first = large.frame.filter("_g = 0").first()
-    assert first.start_cut < first.cut < first.sample_cut < 1 << 60
+    for limit in (256, None):
+        local, large = km.make_plans(sizes, 256, KMeansOptions(max_points_per_centroid=limit), whole=True)
+        assert [r._g for r in local.frame.collect()] == [1]
+        assert {r._g for r in large.frame.collect()} == {0, 2}
+        assert large.centers == 66_000_010 and large.max_k == 66_000_000
+        first = large.frame.filter("_g = 0").first()
+        if limit:
+            assert first.start_cut < first.cut < first.sample_cut < 1 << 60
+        else:
+            assert first.start_cut < first.cut == first.sample_cut == 1 << 60
 
 
 def test_plans_of_many_groups(spark, monkeypatch):
     monkeypatch.setattr(km, "_LOCAL_PLAN_ROWS", 3)
     sizes = spark.range(9).selectExpr("id as _g", "id + 1 as n", "1L as k", "0L as bytes")
-    local, large = km.make_plans(sizes, 4, KMeansOptions(local_bytes=5 * 32), whole=True)
+    local, large = km.make_plans(sizes, 4, KMeansOptions(local_bytes=5 * 32 * 4), whole=True)
     assert (local.groups, large.groups, large.rows) == (5, 4, 30.0)
 
 
