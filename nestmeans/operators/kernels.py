@@ -1,7 +1,8 @@
 """NumPy steps that run inside Spark tasks, on Arrow batches or on groups of bounded size.
 
-Coordinates are integers held as float64. Every product and sum stays below 2**53, so results
-are exact and the same for any batch size, partitioning or order of addition.
+Unless said otherwise coordinates are integers held as float64. Every product and sum stays below 2**53, so
+results are exact and the same for any batch size, partitioning or order of addition. ``spaces`` has
+the steps for coordinates of any spread.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ _EXACT = float(1 << 53)
 _BLOCK_CELLS = 1 << 19
 _BLOCK_CENTERS = 2048
 _SUM_ROWS = 1 << 14
-HALF_BITS = 26
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -27,16 +27,6 @@ def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
-def finest_scale(top: float, dim: int) -> float:
-    """The largest power of two by which coordinates up to ``top`` still give exact sums."""
-    if not 0 < top < np.inf:
-        if top == 0:
-            return 1.0
-        raise ValueError("vectors hold NaN or infinite coordinates")
-    room = 0.99 * np.sqrt(_EXACT / (4.0 * dim)) / top
-    return float(2.0 ** min(np.floor(np.log2(room)), 1000))
-
-
 def on_grid(x: np.ndarray, scale: float) -> np.ndarray:
     x = np.floor(x.astype(np.float64) * float(scale) + 0.5)
     if x.size:
@@ -96,32 +86,15 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(change) + 1, [n])) if n else np.array([0])
 
 
-def halves(dist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Integer distances as high and low parts, whose sums stay exact over any number of rows."""
-    whole = dist.astype(np.int64)
-    return whole >> HALF_BITS, whole & ((1 << HALF_BITS) - 1)
-
-
-def whole(high, low) -> float:
-    """The exact sum that two summed parts stand for, rounded once."""
-    return float((int(high) << HALF_BITS) + int(low))
-
-
-def cluster_sums(x, index, dist):
-    """(ids, row counts, vector sums, high and low sums of distances) of the clusters that occur."""
-    ids = np.unique(index)
-    slot = np.searchsorted(ids, index)
-    sums = np.zeros((len(ids), x.shape[1]))
+def integer_sums(x: np.ndarray, slot: np.ndarray, slots: int) -> np.ndarray:
+    """Sums of the rows that share a slot."""
+    sums = np.zeros((slots, x.shape[1]))
     for r0 in range(0, len(x), _SUM_ROWS):
         part = slot[r0 : r0 + _SUM_ROWS]
         order = np.argsort(part, kind="stable")
         first = run_starts(part[order])[:-1]
         sums[part[order][first]] += np.add.reduceat(x[r0 : r0 + _SUM_ROWS][order], first, axis=0)
-    counts = np.bincount(slot, minlength=len(ids))
-    costs = np.zeros((2, len(ids)), dtype=np.int64)
-    for part, cost in zip(halves(dist), costs):
-        np.add.at(cost, slot, part)
-    return ids, counts, sums, costs
+    return sums.astype(np.int64)
 
 
 def divide(sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -136,62 +109,19 @@ def split_steps(centers: np.ndarray) -> np.ndarray:
     return np.maximum(1, np.abs(centers) // 1024) * sign
 
 
-def refill(centers: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def refill(centers: np.ndarray, counts: np.ndarray, steps=split_steps) -> np.ndarray:
     """Give the e-th empty cluster one half of the e-th largest cluster (two rows or more)."""
     empty = np.flatnonzero(counts == 0)
     if len(empty):
         donors = np.lexsort((np.arange(len(counts)), -counts))
         donors = donors[counts[donors] >= 2][: len(empty)]
         empty = empty[: len(donors)]
-        step = split_steps(centers[donors])
+        step = steps(centers[donors])
         centers[empty] = centers[donors] + step
         centers[donors] = centers[donors] - step
     return centers
 
 
-def next_centers(centers, ids, counts, sums):
-    """Centres after one pass, and the rows each cluster had in it."""
-    size = np.zeros(len(centers), dtype=np.int64)
-    size[ids] = counts
-    centers = centers.copy()
-    centers[ids] = divide(sums, counts)
-    return refill(centers, size), size
-
-
-def lloyd(x: np.ndarray, start: np.ndarray, max_iter: int):
-    """Train on ``x`` from the rows ``start``; returns (centres, sizes, objective).
-
-    Stops early only at a fixed point, which further passes could not leave.
-    """
-    centers = start.astype(np.int64)
-    for _ in range(max_iter):
-        index, dist = nearest(x, centers.astype(np.float64))
-        ids, counts, sums, cost = cluster_sums(x, index, dist)
-        moved, sizes = next_centers(centers, ids, counts, sums)
-        objective = whole(*cost.sum(axis=1))
-        if np.array_equal(moved, centers):
-            break
-        centers = moved
-    return centers, sizes, objective
-
-
-def train(x, k, hashes, row_ids, cut, max_iter):
-    """Best of the restarts; column r of ``hashes`` orders the rows of restart r.
-
-    Rows whose hash is below ``cut`` train; the first k of them in hash order start.
-    """
-    best = None
-    for r in range(hashes.shape[1]):
-        h = hashes[:, r]
-        start = np.lexsort((row_ids, h))[:k]
-        chosen = h < cut
-        chosen[start] = True
-        result = lloyd(x if chosen.all() else x[chosen], x[start], max_iter)
-        if best is None or result[2] < best[2]:
-            best = result
-    return best
-
-
 def first_rows(index: np.ndarray, dist: np.ndarray, row_ids: np.ndarray) -> np.ndarray:
     """Mask of the row nearest to its centre in every cluster; the lowest row id wins ties."""
     order = np.lexsort((row_ids, dist, index))

@@ -1,7 +1,7 @@
 """K-means over a whole table or inside every group of it.
 
 ``fit_groups`` trains one model per group; a plain fit is the case of a single group. Each
-group takes one of three ways, which give the same result (see ``kernels``):
+group takes one of three ways, which give the same result (see ``spaces``):
 
 * local - the training rows of a group are few: one grouped-map task trains it, all groups in
   parallel, no Spark job per iteration;
@@ -18,7 +18,7 @@ Assignment of all rows to a trained model has the last two ways.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from nestmeans.functions.vectors import HASH_BITS, hash_order, to_grid
-from nestmeans.operators import kernels
+from nestmeans.functions.vectors import HASH_BITS, hash_order
+from nestmeans.operators import kernels, limbs, spaces
+from nestmeans.operators.spaces import Space, space_of
 from nestmeans.options import KMeansOptions
 from nestmeans.schemas import CENTROIDS, payload_bytes, require_columns
-from nestmeans.scratch import checkpoint, settle
+from nestmeans.scratch import checkpoint, settle, store
 
 G, ID, H = "_g", "_id", "_h"
 _SPAN = 1 << HASH_BITS
@@ -46,10 +47,19 @@ _CELL_FLOPS = 1e10
 _CELL_TASKS = 200_000
 _MERGE_BYTES = 32 << 20
 
-_MODEL = "_g bigint, cluster int, grid array<int>, n bigint, objective double"
 _PACKED = "_g bigint, grid binary"
-_PARTIAL = "_g bigint, cluster int, n bigint, high bigint, low bigint, total array<bigint>"
-_MEAN = "_g bigint, cluster int, n bigint, high bigint, low bigint, mean array<int>"
+# One limb of a cluster's vector sum; without a ``total`` its row count (limb _COUNT) or, as cluster
+# _COST, one limb of the group's sum of distances, in ``n``.
+_PARTIAL = "_g bigint, cluster int, limb int, n bigint, total array<bigint>"
+_COUNT, _COST = -(1 << 20), -1
+
+
+def model_ddl(space: Space) -> str:
+    return f"_g bigint, cluster int, grid array<{space.element}>, n bigint, objective double"
+
+
+def _mean_ddl(space: Space) -> str:
+    return f"_g bigint, cluster int, n bigint, cost double, mean array<{space.element}>"
 
 
 # --- public operators -----------------------------------------------------------------------
@@ -67,13 +77,13 @@ def kmeans_fit(
         raise ValueError("k must be >= 1")
     require_columns(df, vec, row_id)
     spark = df.sparkSession
-    n, dim, top = vector_facts(df, vec)
+    n, dim = vector_facts(df, vec)
     if not n:
         return spark.createDataFrame([], CENTROIDS)
-    options = with_scale(options, top, dim)
+    space = space_of(options.scale, element_of(df, vec))
     rows = training_rows(df, vec, row_id, F.lit(0), options)
     plans = make_plans(single_sizes(spark, n, k), dim, options, whole=False)
-    return public_model(fit_groups(rows, plans, dim, options), options).drop(G)
+    return public_model(fit_groups(rows, plans, dim, space, options), options).drop(G)
 
 
 def kmeans_assign(
@@ -88,12 +98,10 @@ def kmeans_assign(
     """Nearest centroid of every row and the squared distance to it.
 
     ``centroids`` needs ``cluster`` and ``centroid``. Rows do not move while the centroids fit
-    the broadcast budget; on a streaming ``df`` they have to. Without a ``scale`` the table is read
-    once more for its largest coordinate; a streaming one is taken to stay within eight times
-    that of the centroids, and a row beyond it is an error.
+    the broadcast budget; on a streaming ``df`` they have to.
     """
     require_columns(df, vec)
-    _, dim, top = vector_facts(centroids, "centroid")
+    _, dim = vector_facts(centroids, "centroid")
     out = T.StructType(
         df.schema.fields
         + [T.StructField(cluster_col, T.IntegerType()), T.StructField(dist_col, T.DoubleType())]
@@ -102,38 +110,29 @@ def kmeans_assign(
         if df.isStreaming or not df.isEmpty():
             raise ValueError("no centroids to assign to")
         return df.sparkSession.createDataFrame([], out)
-    if options.scale is None:
-        top = 8 * top if df.isStreaming else max(top, vector_facts(df, vec)[2])
-        options = with_scale(options, top, dim)
+    space = space_of(options.scale)
     model = centroids.select(
         F.lit(0).cast("bigint").alias(G),
         F.col("cluster").cast("int"),
-        to_grid("centroid", options.scale).alias("grid"),
+        space.column("centroid").alias("grid"),
     )
-    return assign_groups(df, model, vec, F.lit(0), row_id, dim, options, out)
+    return assign_groups(df, model, vec, F.lit(0), row_id, dim, space, options, out)
 
 
 # --- plans: how many centroids, how many training rows, which way -----------------------------
 
 
-def vector_facts(df: DataFrame, vec: str) -> tuple[int, int | None, float]:
-    """(rows, width of the vectors or None, largest coordinate), in one pass."""
+def vector_facts(df: DataFrame, vec: str) -> tuple[int, int | None]:
+    """(rows, width of the vectors or None), in one pass that reads no element."""
     size = F.size(vec)
-    largest = F.array_max(F.transform(vec, lambda x: F.abs(x.cast("double"))))
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.min(size).alias("least"), F.max(size).alias("most"),
-        F.max(largest).alias("top"),
-    ).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("least"), F.max(size).alias("most")).first()
     if row.n and (row.least is None or row.least < 1 or row.least != row.most):
         raise ValueError(f"every vector needs the same number of elements: {vec} holds a NULL, an empty one or several widths")
-    return row.n, row.most if row.n else None, row.top or 0.0
+    return row.n, row.most if row.n else None
 
 
-def with_scale(options: KMeansOptions, top: float, dim: int) -> KMeansOptions:
-    """The options with the scale that fits coordinates up to ``top``, if none is set."""
-    if options.scale is not None:
-        return options
-    return replace(options, scale=kernels.finest_scale(top, dim))
+def element_of(df: DataFrame, vec: str) -> str:
+    return df.schema[vec].dataType.elementType.simpleString()
 
 
 def training_rows(df, vec, row_id, group, options) -> DataFrame:
@@ -251,6 +250,8 @@ def _settle_model(df: DataFrame, dim: int) -> DataFrame:
 
 def public_model(model: DataFrame, options: KMeansOptions) -> DataFrame:
     """Grid integers back to coordinates, the objective back to squared distance."""
+    if options.scale is None:
+        return model.withColumnRenamed("grid", "centroid")
     scale = float(options.scale)
     return model.select(
         G,
@@ -278,38 +279,38 @@ def _tasks(spark: SparkSession, work: float = 0, memory: float = 0) -> int:
 
 
 def fit_groups(
-    rows: DataFrame, plans: tuple[Plan, Plan], dim: int, options: KMeansOptions
+    rows: DataFrame, plans: tuple[Plan, Plan], dim: int, space: Space, options: KMeansOptions
 ) -> DataFrame:
     """One model per planned group: (_g, cluster, grid, n, objective), computed."""
     local, large = plans
     models = []
     if local.groups:
-        models.append(_settle_model(_fit_local(rows, local, dim, options), dim))
+        models.append(_settle_model(_fit_local(rows, local, dim, space, options), dim))
     if large.groups:
-        models.append(fit_large(rows, large, dim, options))
+        models.append(fit_large(rows, large, dim, space, options))
     if not models:
-        return rows.sparkSession.createDataFrame([], _MODEL)
+        return rows.sparkSession.createDataFrame([], model_ddl(space))
     return models[0] if len(models) == 1 else models[0].unionByName(models[1])
 
 
-def fit_large(rows: DataFrame, plan: Plan, dim: int, options: KMeansOptions) -> DataFrame:
+def fit_large(rows: DataFrame, plan: Plan, dim: int, space: Space, options: KMeansOptions) -> DataFrame:
     fits = plan.centers * dim * 8 <= options.broadcast_bytes
-    return (_fit_broadcast if fits else _fit_streamed)(rows, plan, dim, options)
+    return (_fit_broadcast if fits else _fit_streamed)(rows, plan, dim, space, options)
 
 
-def _fit_local(rows, plan: Plan, dim, options) -> DataFrame:
+def _fit_local(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
     sample = attach(rows, plan.frame, "k", "cut", "sample_cut")
     sample = sample.filter(F.exists(H, lambda h: h < F.col("sample_cut"))).drop("sample_cut")
     tasks = _tasks(rows.sparkSession, plan.groups)
     return (
         sample.repartition(tasks, G)
         .groupBy(G)
-        .applyInArrow(local_trainer(dim, options.scale, options.max_iter), _MODEL)
+        .applyInArrow(local_trainer(dim, space, options.max_iter), model_ddl(space))
     )
 
 
-def _group_inputs(table: pa.Table, vec: str, dim: int, scale: int):
-    x = kernels.on_grid(kernels.matrix(table[vec], dim), scale)
+def _group_inputs(table: pa.Table, vec: str, dim: int, space: Space):
+    x = space.load(kernels.matrix(table[vec], dim))
     hashes = table[H].combine_chunks()
     hashes = hashes.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
     ids = table[ID].to_numpy()
@@ -319,19 +320,21 @@ def _group_inputs(table: pa.Table, vec: str, dim: int, scale: int):
     return x, k, hashes, ids, cut
 
 
-def _int_lists(a: np.ndarray, kind: pa.DataType) -> pa.Array:
+def _lists(a: np.ndarray, kind: str) -> pa.Array:
+    """Rows as lists of ``kind``: int, bigint or double."""
     offsets = np.arange(len(a) + 1, dtype=np.int32) * a.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(a.ravel()).cast(kind))
+    kinds = {"int": np.int32, "bigint": np.int64, "double": np.float64}
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(a.ravel().astype(kinds[kind])))
 
 
-def local_trainer(dim: int, scale: int, max_iter: int) -> Callable[[pa.Table], pa.Table]:
+def local_trainer(dim: int, space: Space, max_iter: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        x, k, hashes, ids, cut = _group_inputs(table, "vec", dim, scale)
-        centers, sizes, objective = kernels.train(x, k, hashes, ids, cut, max_iter)
+        x, k, hashes, ids, cut = _group_inputs(table, "vec", dim, space)
+        centers, sizes, objective = spaces.train(space, x, k, hashes, ids, cut, max_iter)
         return pa.table({
             G: pa.array(np.full(k, table[G][0].as_py(), dtype=np.int64)),
             "cluster": pa.array(np.arange(k, dtype=np.int32)),
-            "grid": _int_lists(centers, pa.int32()),
+            "grid": _lists(centers, space.element),
             "n": pa.array(sizes),
             "objective": pa.array(np.full(k, objective)),
         })
@@ -356,7 +359,7 @@ def _ranked(df: DataFrame, within: list, bucket: list[str] | None = None, before
     return ranked.drop("skip", *bucket)
 
 
-def _start_rows(rows, plan: Plan, restart: int, scale: int) -> DataFrame:
+def _start_rows(rows, plan: Plan, restart: int, space: Space) -> DataFrame:
     """(_g, cluster, grid, h): the k rows of lowest hash of every group, ids in hash order.
 
     Only rows below a generous cut are ranked; with a large k, in hash ranges.
@@ -373,7 +376,7 @@ def _start_rows(rows, plan: Plan, restart: int, scale: int) -> DataFrame:
     return ranked.filter("rank <= k").select(
         G,
         (F.col("rank") - 1).cast("int").alias("cluster"),
-        to_grid("vec", scale).alias("grid"),
+        space.column("vec").alias("grid"),
         "h",
     )
 
@@ -396,7 +399,8 @@ def _sample(rows, plan: Plan, starts: DataFrame, restart: int) -> DataFrame:
 class Model:
     """Centroids of several groups as one matrix, sorted by group and cluster."""
 
-    def __init__(self, groups: np.ndarray, clusters: np.ndarray, centers: np.ndarray):
+    def __init__(self, groups: np.ndarray, clusters: np.ndarray, centers: np.ndarray, space: Space):
+        self.space = space
         order = np.lexsort((clusters, groups))
         self.groups, self.clusters = groups[order], clusters[order]
         self.centers = centers[order]
@@ -404,15 +408,16 @@ class Model:
         self.spans = {
             int(self.groups[a]): slice(int(a), int(b)) for a, b in zip(starts, starts[1:])
         }
-        self.ready: dict[int, np.ndarray] = {}
+        self.names = np.array(list(self.spans), dtype=np.int64)
+        self.ready: dict[int, object] = {}
 
     def __getstate__(self):
         return {**self.__dict__, "ready": {}}
 
     @classmethod
-    def of(cls, t: pa.Table, dim: int) -> Model:
-        centers = kernels.matrix(t["grid"], dim).astype(np.int64)
-        return cls(t[G].to_numpy(), t["cluster"].to_numpy(), centers)
+    def of(cls, t: pa.Table, dim: int, space: Space) -> Model:
+        centers = kernels.matrix(t["grid"], dim).astype(np.float64)
+        return cls(t[G].to_numpy(), t["cluster"].to_numpy(), centers, space)
 
     def nearest(self, groups: np.ndarray, x: np.ndarray):
         """Position in the matrix of the nearest centroid of the row's group, and distance."""
@@ -426,13 +431,13 @@ class Model:
                 raise ValueError(f"group {groups[rows[0]]} has no centroids")
             ready = self.ready.get(span.start)
             if ready is None:  # once in a worker, not once for every batch
-                ready = self.ready[span.start] = kernels.prepared(self.centers[span])
-            index, found = kernels.nearest_prepared(x[rows], ready)
+                ready = self.ready[span.start] = self.space.prepare(self.centers[span])
+            index, found = self.space.nearest(x[rows], ready)
             at[rows], dist[rows] = index + span.start, found
         return at, dist
 
 
-def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
+def _fit_broadcast(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
     spark = rows.sparkSession
     work, memory = 2 * dim / _TASK_FLOPS, dim * 8 / options.slice_bytes
     tasks = _tasks(spark, plan.flops * work, plan.rows * memory)
@@ -444,35 +449,36 @@ def _fit_broadcast(rows, plan: Plan, dim, options) -> DataFrame:
     slices = plan.frame.select(G, slices.cast("int").alias("slices"))
     best: dict[int, tuple] = {}
     for restart in range(options.n_init):
-        starts = _start_rows(rows, plan, restart, options.scale)
+        starts = _start_rows(rows, plan, restart, space)
         starts = settle(starts, options.broadcast_bytes // (8 * dim))
-        model = Model.of(starts.toArrow(), dim)
+        model = Model.of(starts.toArrow(), dim, space)
         _check_starts(len(model.centers), plan)
         sample = _sample(rows, plan, starts, restart).select(G, ID, "vec")
         sample = attach(sample, slices, "slices").repartition(
             tasks, G, F.pmod(F.xxhash64(ID), F.col("slices"))
         )
-        sample = sample.select(G, "vec").mapInArrow(_packer(dim, options.scale), _PACKED)
+        sample = sample.select(G, "vec").mapInArrow(_packer(dim, space), _PACKED)
         sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
-        for _ in range(options.max_iter):
-            model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim, tasks)
+        for turn in range(options.max_iter):
+            split = turn + 1 < options.max_iter or space.split_last
+            model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim, tasks, split)
             if not moved:
                 break
         sample.unpersist()
         for g, span in model.spans.items():
             if g not in best or cost[g] < best[g][2]:
                 best[g] = (model.centers[span], sizes[span], cost[g])
-    frame = _model_frame(spark, best, dim)
+    frame = _model_frame(spark, best, space)
     return frame if plan.centers * dim * 8 <= _LOCAL_MODEL_BYTES else checkpoint(frame)
 
 
-def _packer(dim: int, scale: int):
-    """Vectors to grid integers in one binary value, which Spark passes on without a look inside:
+def _packer(dim: int, space: Space):
+    """Vectors in one binary value of the space's stored type, which Spark passes on without a look inside:
     the passes over the cached rows then need no conversion of array elements."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = kernels.on_grid(kernels.matrix(batch["vec"], dim), scale).astype("<i4")
-            ends = pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * (4 * dim))
+            x = space.load(kernels.matrix(batch["vec"], dim)).astype(space.stored)
+            ends = pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * (x.itemsize * dim))
             packed = pa.Array.from_buffers(
                 pa.binary(), len(x), [None, ends, pa.py_buffer(x.tobytes())]
             )
@@ -481,60 +487,89 @@ def _packer(dim: int, scale: int):
     return pack
 
 
-def _unpacked(column: pa.Array, dim: int) -> np.ndarray:
-    first = column.offset * 4 * dim
-    x = np.frombuffer(column.buffers()[2], dtype="<i4", count=len(column) * dim, offset=first)
+def _unpacked(column: pa.Array, dim: int, space: Space) -> np.ndarray:
+    kind = np.dtype(space.stored)
+    first = column.offset * kind.itemsize * dim
+    x = np.frombuffer(column.buffers()[2], dtype=kind, count=len(column) * dim, offset=first)
     return x.reshape(len(column), dim).astype(np.float64)
 
 
-def _broadcast_pass(spark, sample, model: Model, dim, tasks: int):
+class _Partial:
+    """What a task sends: rows, vector sums and distances of its rows, per centre of a model."""
+
+    def __init__(self, space: Space):
+        self.space, self.counts = space, None
+        self.sums: dict[int, np.ndarray] = {}
+        self.costs: dict[int, np.ndarray] = {}
+
+    def add(self, x: np.ndarray, at: np.ndarray, dist: np.ndarray, owner: np.ndarray, centers: int, groups: int) -> None:
+        """Rows with the position of their centre and of their group."""
+        if self.counts is None:
+            self.counts = np.zeros(centers, dtype=np.int64)
+        ids, counts, sums = spaces.cluster_sums(self.space, x, at)
+        self.counts[ids] += counts
+        for limb, part in sums.items():
+            self.sums.setdefault(limb, np.zeros((centers, x.shape[1]), dtype=np.int64))[ids] += part
+        self.costs.setdefault(0, np.zeros(groups, dtype=np.int64))  # a sum of zero is told as well
+        for limb, part in limbs.grouped_sums(dist[:, None], owner, groups).items():
+            self.costs.setdefault(limb, np.zeros(groups, dtype=np.int64))[:] += part[:, 0]
+
+    def batches(self, groups: np.ndarray, clusters: np.ndarray, names: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if self.counts is None:
+            return
+        used = np.flatnonzero(self.counts)
+        yield _scalars(groups[used], clusters[used], np.full(len(used), _COUNT), self.counts[used])
+        for limb, part in self.costs.items():
+            yield _scalars(names, np.full(len(names), _COST), np.full(len(names), limb), part)
+        for limb, part in self.sums.items():
+            some = np.flatnonzero(part.any(axis=1))
+            yield _vectors(groups[some], clusters[some], np.full(len(some), limb), part[some])
+
+
+def _broadcast_pass(spark, sample, model: Model, dim, tasks: int, split: bool):
+    """(model, whether it moved, rows per centre, cost per group); ``split`` says whether empty clusters are filled."""
     sent = spark.sparkContext.broadcast(model)
+    space = model.space
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        counts = np.zeros(len(m.centers), dtype=np.int64)
-        costs, sums = np.zeros((2, len(m.centers)), dtype=np.int64), np.zeros(m.centers.shape)
+        m, found = sent.value, _Partial(space)
         for batch in batches:
-            x = _unpacked(batch["grid"], dim)
-            at, dist = m.nearest(batch[G].to_numpy(), x)
-            ids, n, total, cost = kernels.cluster_sums(x, at, dist)
-            counts[ids] += n
-            costs[:, ids] += cost
-            sums[ids] += total
-        used = np.flatnonzero(counts)
-        if len(used):
-            yield _partial_batch(
-                m.groups[used], m.clusters[used], counts[used], costs[:, used], sums[used]
-            )
+            if batch.num_rows:
+                x, groups = _unpacked(batch["grid"], dim, space), batch[G].to_numpy()
+                at, dist = m.nearest(groups, x)
+                found.add(x, at, dist, np.searchsorted(m.names, groups), len(m.centers), len(m.names))
+        yield from found.batches(m.groups, m.clusters, m.names)
 
     partials = sample.mapInArrow(partial, _PARTIAL)
-    merged = _merge(partials, len(model.centers), dim, tasks).toArrow()
+    merged = _merge(partials, len(model.centers), dim, tasks, space).toArrow()
     sent.destroy()
-    names = np.array(list(model.spans), dtype=np.int64)
+    whole = merged["cluster"].to_numpy() == _COST
+    costs, merged = merged.filter(pa.array(whole)), merged.filter(pa.array(~whole))
     firsts = np.array([span.start for span in model.spans.values()])
-    at = firsts[np.searchsorted(names, merged[G].to_numpy())] + merged["cluster"].to_numpy()
+    at = firsts[np.searchsorted(model.names, merged[G].to_numpy())] + merged["cluster"].to_numpy()
     centers, sizes = model.centers.copy(), np.zeros(len(model.centers), dtype=np.int64)
-    costs = np.zeros((2, len(model.centers)), dtype=np.int64)
     centers[at] = kernels.matrix(merged["mean"], dim)
     sizes[at] = merged["n"].to_numpy()
-    costs[:, at] = merged["high"].to_numpy(), merged["low"].to_numpy()
-    for g in np.unique(model.groups[sizes == 0]):
-        span = model.spans[int(g)]
-        centers[span] = kernels.refill(centers[span], sizes[span])
-    parts = np.add.reduceat(costs, firsts, axis=1)
-    cost = {g: kernels.whole(*parts[:, i]) for i, g in enumerate(model.spans)}
+    if split:
+        for g in np.unique(model.groups[sizes == 0]):
+            span = model.spans[int(g)]
+            centers[span] = kernels.refill(centers[span], sizes[span], space.steps)
+    cost = dict.fromkeys(model.spans, 0.0) | dict(zip(costs[G].to_pylist(), costs["cost"].to_pylist()))
     moved = not np.array_equal(centers, model.centers)
-    return Model(model.groups, model.clusters, centers), moved, sizes, cost
+    return Model(model.groups, model.clusters, centers, space), moved, sizes, cost
+
 
+def _scalars(groups, clusters, limb, n) -> pa.RecordBatch:
+    return _vectors(groups, clusters, limb, np.zeros((len(groups), 0), dtype=np.int64), n)
 
-def _partial_batch(groups, clusters, counts, costs, sums) -> pa.RecordBatch:
+
+def _vectors(groups, clusters, limb, total, n=None) -> pa.RecordBatch:
     return pa.record_batch({
         G: pa.array(groups.astype(np.int64)),
         "cluster": pa.array(clusters.astype(np.int32)),
-        "n": pa.array(counts.astype(np.int64)),
-        "high": pa.array(costs[0]),
-        "low": pa.array(costs[1]),
-        "total": _int_lists(sums.astype(np.int64), pa.int64()),
+        "limb": pa.array(limb.astype(np.int32)),
+        "n": pa.array(np.zeros(len(groups), dtype=np.int64) if n is None else n.astype(np.int64)),
+        "total": _lists(total, "bigint"),
     })
 
 
@@ -551,77 +586,107 @@ def merge_tasks(centers: int, dim: int, maps: int, most: int) -> tuple[int, int]
 
 
 def _added(batches: Iterator[pa.RecordBatch], dim: int):
-    """Partial sums of equal (group, cluster), added by sorting; None without rows."""
-    held, rows = [], 0
-
+    """(counts and costs, vector sums) of equal (group, cluster, limb), added by sorting; None for what has no rows."""
     def add(parts):
-        g, c, n, high, low, total = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((c, g))
-        starts = kernels.run_starts(g[order], c[order])[:-1]
-        sums = (np.add.reduceat(x[order], starts, axis=0) for x in (n, high, low, total))
-        return [(g[order][starts], c[order][starts], *sums)]
+        g, c, limb, held = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((limb, c, g))
+        starts = kernels.run_starts(g[order], c[order], limb[order])[:-1]
+        return [(g[order][starts], c[order][starts], limb[order][starts], np.add.reduceat(held[order], starts, axis=0))]
 
-    limit = max(1, _MERGE_BYTES // (8 * dim))
+    held, rows, limit = ([], []), [0, 0], max(1, _MERGE_BYTES // (8 * dim))
+    limits = [limit, limit]
     for batch in batches:
-        held.append((
-            *(batch[name].to_numpy() for name in (G, "cluster", "n", "high", "low")),
-            kernels.matrix(batch["total"], dim),
-        ))
-        rows += batch.num_rows
-        if rows > limit:
-            held = add(held)
-            rows = len(held[0][0])
-            limit = max(limit, 2 * rows)
-    held = [x for x in held if len(x[0])]
-    return add(held)[0] if held else None
-
-
-def _merge(partials: DataFrame, centers: int, dim: int, maps: int) -> DataFrame:
-    """Add the partial sums of every cluster and take the integer mean.
+        vectors = np.diff(batch["total"].offsets.to_numpy()) > 0
+        for kind, mask in enumerate((~vectors, vectors)):
+            part = batch.filter(pa.array(mask))
+            if not part.num_rows:
+                continue
+            value = kernels.matrix(part["total"], dim) if kind else part["n"].to_numpy()
+            held[kind].append((part[G].to_numpy(), part["cluster"].to_numpy(), part["limb"].to_numpy(), value))
+            rows[kind] += part.num_rows
+            if rows[kind] > limits[kind]:
+                held[kind][:] = add(held[kind])
+                rows[kind] = len(held[kind][0][0])
+                limits[kind] = max(limits[kind], 2 * rows[kind])
+    return tuple(add(x)[0] if x else None for x in held)
+
+
+def _means(scalars, vectors, dim: int, space: Space) -> Iterator[pa.RecordBatch]:
+    """The mean of every cluster and the cost of every group from merged partial sums."""
+    g, c, limb, n = scalars
+    rows = c != _COST
+    ids, counts = np.stack([g[rows], c[rows]]), n[rows]  # in order, one row each
+    sums = {}
+    if vectors is not None:
+        vg, vc, vl, total = vectors
+        keys = np.rec.fromarrays([ids[0], ids[1]])
+        at = np.searchsorted(keys, np.rec.fromarrays([vg.astype(np.int64), vc.astype(np.int64)], dtype=keys.dtype))
+        for one in np.unique(vl):
+            sums[int(one)] = np.zeros((len(counts), dim), dtype=np.int64)
+            sums[int(one)][at[vl == one]] = total[vl == one]
+    if len(counts):
+        yield _mean_batch(ids[0], ids[1], counts, np.zeros(len(counts)), space.mean(sums, counts, dim), space)
+    groups, slot = np.unique(g[~rows], return_inverse=True)
+    if len(groups):
+        parts = {}
+        for one in np.unique(limb[~rows]):
+            parts[int(one)] = np.zeros((len(groups), 1), dtype=np.int64)
+            mine = limb[~rows] == one
+            parts[int(one)][slot[mine], 0] = n[~rows][mine]
+        cost = limbs.quotient(parts, np.ones(len(groups), dtype=np.int64))[:, 0]
+        none = np.zeros((len(groups), 0))
+        yield _mean_batch(groups, np.full(len(groups), _COST), np.zeros(len(groups)), cost, none, space)
+
+
+def _mean_batch(groups, clusters, n, cost, mean, space: Space) -> pa.RecordBatch:
+    return pa.record_batch({
+        G: pa.array(groups.astype(np.int64)),
+        "cluster": pa.array(clusters.astype(np.int32)),
+        "n": pa.array(n.astype(np.int64)),
+        "cost": pa.array(cost),
+        "mean": _lists(mean, space.element),
+    })
+
+
+def _merge(partials: DataFrame, centers: int, dim: int, maps: int, space: Space) -> DataFrame:
+    """Add the partial sums of every cluster and take the mean; also the cost of every group.
 
     Hash partitioning brings all partial sums of a cluster to one task, or with many of them to
-    one task for each salt first. A task holds about one vector per cluster of its partition.
+    one task for each salt first. A task holds about one vector per cluster and limb of its partition.
     """
     tasks, salts = merge_tasks(centers, dim, maps, 4 * parallelism(partials.sparkSession))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _added(batches, dim)
-        if found is not None:
-            g, c, n, high, low, total = found
-            yield _partial_batch(g, c, n, (high, low), total)
+        scalars, vectors = _added(batches, dim)
+        if scalars is not None:
+            yield _scalars(*scalars)
+        if vectors is not None:
+            yield _vectors(*vectors)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _added(batches, dim)
-        if found is not None:
-            g, c, n, high, low, total = found
-            yield pa.record_batch({
-                G: pa.array(g),
-                "cluster": pa.array(c.astype(np.int32)),
-                "n": pa.array(n),
-                "high": pa.array(high),
-                "low": pa.array(low),
-                "mean": _int_lists(kernels.divide(total, n), pa.int32()),
-            })
+        scalars, vectors = _added(batches, dim)
+        if scalars is not None:
+            yield from _means(scalars, vectors, dim, space)
 
     if salts > 1:
         salt = F.pmod(F.spark_partition_id(), F.lit(salts))
         salted = partials.withColumn("salt", salt).repartition(tasks, G, "cluster", "salt")
         partials = salted.drop("salt").mapInArrow(combine, _PARTIAL)
-    return partials.repartition(tasks, G, "cluster").mapInArrow(finish, _MEAN)
+    return partials.repartition(tasks, G, "cluster").mapInArrow(finish, _mean_ddl(space))
 
 
-def _model_frame(spark: SparkSession, best: dict[int, tuple], dim: int) -> DataFrame:
+def _model_frame(spark: SparkSession, best: dict[int, tuple], space: Space) -> DataFrame:
     parts = [
         pa.table({
             G: pa.array(np.full(len(centers), g, dtype=np.int64)),
             "cluster": pa.array(np.arange(len(centers), dtype=np.int32)),
-            "grid": _int_lists(centers, pa.int32()),
+            "grid": _lists(centers, space.element),
             "n": pa.array(sizes),
             "objective": pa.array(np.full(len(centers), cost)),
         })
         for g, (centers, sizes, cost) in sorted(best.items())
     ]
-    return spark.createDataFrame(pa.concat_tables(parts), schema=T.StructType.fromDDL(_MODEL))
+    return spark.createDataFrame(pa.concat_tables(parts), schema=T.StructType.fromDDL(model_ddl(space)))
 
 
 # --- the streamed way -------------------------------------------------------------------------
@@ -680,8 +745,8 @@ def _cell_tasks(slices: DataFrame) -> int:
 class _Cell:
     """Rows of one slice and their nearest centroid among those seen so far."""
 
-    def __init__(self, dim: int):
-        self.dim, self.batches, self.x = dim, [], None
+    def __init__(self, dim: int, space: Space):
+        self.dim, self.space, self.batches, self.x = dim, space, [], None
 
     def add_rows(self, batch: pa.RecordBatch) -> None:
         self.batches.append(batch)
@@ -692,15 +757,17 @@ class _Cell:
         if self.x is None:
             self.rows = pa.Table.from_batches(self.batches)
             self.x = kernels.matrix(self.rows["grid"], self.dim).astype(np.float64)
+            if isinstance(self.space, spaces.Plain):
+                self.space.load(self.x)
             self.cluster = np.zeros(len(self.x), dtype=np.int64)
             self.dist = np.full(len(self.x), np.inf)
-        at, found = kernels.nearest(self.x, centers)
+        at, found = self.space.nearest(self.x, self.space.prepare(centers))
         better = found < self.dist
         self.dist[better] = found[better]
         self.cluster[better] = clusters[at[better]]
 
 
-def _cells(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[int, _Cell]]:
+def _cells(batches: Iterator[pa.RecordBatch], dim: int, space: Space) -> Iterator[tuple[int, _Cell]]:
     """Walk a partition made by :func:`_meet`; yields (group, cell) once a cell is complete."""
     key, cell = None, None
     for batch in batches:
@@ -710,7 +777,7 @@ def _cells(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[int, _
             if key != (g[a], s[a]):
                 if cell is not None and cell.batches:
                     yield int(key[0]), cell
-                key, cell = (g[a], s[a]), _Cell(dim)
+                key, cell = (g[a], s[a]), _Cell(dim, space)
             part = batch.slice(a, b - a)
             if kind[a] == 0:
                 cell.add_rows(part)
@@ -727,30 +794,32 @@ def _complete(group: int, cell: _Cell) -> _Cell:
     return cell
 
 
-def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
+def _fit_streamed(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
     most = 4 * parallelism(rows.sparkSession)
     slices = plan.frame.select(G, _slices(F.col("m"), F.col("k"), dim, options, most))
     tasks = _cell_tasks(slices)
     runs = []
     for restart in range(options.n_init):
-        starts = checkpoint(_start_rows(rows, plan, restart, options.scale))
+        starts = checkpoint(_start_rows(rows, plan, restart, space))
         _check_starts(starts.count(), plan)
         sample = _sample(rows, plan, starts, restart).select(
-            G, ID, to_grid("vec", options.scale).alias("grid"),
+            G, ID, space.column("vec").alias("grid"),
             F.lit(None).cast("int").alias("payload"),
         )
         sample = _sliced(sample, slices, tasks).persist(StorageLevel.MEMORY_AND_DISK)
-        model = starts.select(G, "cluster", "grid")
-        for _ in range(options.max_iter):
+        model, held = starts.select(G, "cluster", "grid"), []
+        for turn in range(options.max_iter):
             met = _meet(sample, model, slices, tasks)
-            state, moved = _streamed_pass(met, model, plan, dim, tasks)
+            split = turn + 1 < options.max_iter or space.split_last
+            made, moved = _streamed_pass(met, model, plan, dim, tasks, space, split)
+            for old in held:  # the pass that read them is done
+                old.drop()
+            held, state, cost = made, made[-1].frame, made[0].frame
             model = state.select(G, "cluster", "grid")
             if not moved:
                 break
         sample.unpersist()
-        unit = F.lit(1 << kernels.HALF_BITS)
-        total = F.sum(F.col("high").cast("decimal(38,0)")) * unit + F.sum(F.col("low").cast("decimal(38,0)"))
-        cost = state.groupBy(G).agg(total.cast("double").alias("objective"))
+        cost = cost.filter(F.col("cluster") == _COST).select(G, F.col("cost").alias("objective"))
         runs.append(
             state.join(cost, G).select(
                 G, "cluster", "grid", "n", "objective", F.lit(restart).alias("restart")
@@ -765,33 +834,35 @@ def _fit_streamed(rows, plan: Plan, dim, options) -> DataFrame:
     return every.join(chosen, [G, "restart"]).drop("restart")
 
 
-def _streamed_pass(met: DataFrame, model: DataFrame, plan: Plan, dim: int, tasks: int):
+def _streamed_pass(met: DataFrame, model: DataFrame, plan: Plan, dim: int, tasks: int, space: Space, split: bool):
+    """([merged sums, ..., state], whether a centroid moved): tables of this pass, the first and last are needed on."""
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, cell in _cells(batches, dim):
+        for group, cell in _cells(batches, dim, space):
             cell = _complete(group, cell)
-            ids, n, total, cost = kernels.cluster_sums(cell.x, cell.cluster, cell.dist)
-            yield _partial_batch(np.full(len(ids), group), ids, n, cost, total)
-
-    merged = _merge(met.mapInArrow(partial, _PARTIAL), plan.centers, dim, tasks)
-    state = model.join(merged, [G, "cluster"], "left").select(
+            ids, at = np.unique(cell.cluster, return_inverse=True)
+            found = _Partial(space)
+            found.add(cell.x, at, cell.dist, np.zeros(len(at), dtype=np.int64), len(ids), 1)
+            yield from found.batches(np.full(len(ids), group), ids, np.array([group]))
+
+    merged = store(_merge(met.mapInArrow(partial, _PARTIAL), plan.centers, dim, tasks, space), "pass-sums")
+    means = merged.frame.filter(F.col("cluster") != _COST).select(G, "cluster", "n", "mean")
+    state = model.join(means, [G, "cluster"], "left").select(
         G,
         "cluster",
         F.col("grid").alias("old"),
         F.coalesce("mean", "grid").alias("grid"),
         F.coalesce("n", F.lit(0)).alias("n"),
-        F.coalesce("high", F.lit(0)).alias("high"),
-        F.coalesce("low", F.lit(0)).alias("low"),
     )
-    state = checkpoint(state)
+    made = [merged, store(state, "pass-model")]
     changed = F.col("grid") != F.col("old")
-    empty, moved = state.agg(F.count_if(F.col("n") == 0), F.count_if(changed)).first()
-    if empty:
-        state = checkpoint(_refilled(state, plan))
-        moved = state.filter(changed).count()
-    return state.drop("old"), moved > 0
+    empty, moved = made[-1].frame.agg(F.count_if(F.col("n") == 0), F.count_if(changed)).first()
+    if empty and split:
+        made.append(store(_refilled(made[-1].frame, plan, space), "pass-model"))
+        moved = made[-1].frame.filter(changed).count()
+    return made, moved > 0
 
 
-def _refilled(state: DataFrame, plan: Plan) -> DataFrame:
+def _refilled(state: DataFrame, plan: Plan, space: Space) -> DataFrame:
     """The relational form of ``kernels.refill``: ids and counts are ranked, then vectors joined."""
     span = F.floor(F.col("cluster") / F.lit(_RANK_ROWS))
     slim = state.select(G, "cluster", "n", span.alias("span"))
@@ -806,12 +877,7 @@ def _refilled(state: DataFrame, plan: Plan) -> DataFrame:
     pairs = empty.select(G, "rank", F.col("cluster").alias("taker")).join(
         donors.select(G, "rank", "cluster"), [G, "rank"]
     )
-    step = F.transform(
-        "grid",
-        lambda x, i: F.greatest(F.lit(1), F.floor(F.abs(x) / F.lit(1024)).cast("int"))
-        * F.when(i % 2 == 0, F.lit(1)).otherwise(F.lit(-1)),
-    )
-    halves = state.select(G, "cluster", "grid").join(pairs, [G, "cluster"]).withColumn("step", step)
+    halves = state.select(G, "cluster", "grid").join(pairs, [G, "cluster"]).withColumn("step", space.steps_column("grid"))
     moved = halves.select(
         G,
         F.inline(F.array(
@@ -822,7 +888,7 @@ def _refilled(state: DataFrame, plan: Plan) -> DataFrame:
         )),
     )
     return state.join(moved, [G, "cluster"], "left").select(
-        G, "cluster", "old", F.coalesce("moved", "grid").alias("grid"), "n", "high", "low"
+        G, "cluster", "old", F.coalesce("moved", "grid").alias("grid"), "n"
     )
 
 
@@ -830,7 +896,7 @@ def _refilled(state: DataFrame, plan: Plan) -> DataFrame:
 
 
 def assign_groups(
-    df, model, vec, group, row_id, dim, options, out: T.StructType, mark: str | None = None
+    df, model, vec, group, row_id, dim, space: Space, options, out: T.StructType, mark: str | None = None
 ) -> DataFrame:
     """Columns of ``df`` plus nearest centroid of the row's group and squared distance.
 
@@ -839,7 +905,7 @@ def assign_groups(
     """
     budget = options.broadcast_bytes // (8 * dim)
     head = model.select(G, "cluster", "grid").limit(budget + 1).toArrow()
-    names, unit = df.columns, float(options.scale) ** 2
+    names, unit = df.columns, space.unit
     if mark:
         require_columns(df, row_id)
         out = T.StructType([*out.fields, T.StructField(mark, T.BooleanType())])
@@ -851,12 +917,12 @@ def assign_groups(
         return columns
 
     if head.num_rows <= budget:
-        sent = df.sparkSession.sparkContext.broadcast(Model.of(head, dim))
+        sent = df.sparkSession.sparkContext.broadcast(Model.of(head, dim, space))
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = sent.value
             for batch in batches:
-                x = kernels.on_grid(kernels.matrix(batch[vec], dim), options.scale)
+                x = space.load(kernels.matrix(batch[vec], dim))
                 at, dist = m.nearest(batch[G].to_numpy(), x)
                 found = results(m.clusters[at], at, dist, batch[row_id] if mark else None)
                 yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), *found], out.names)
@@ -869,7 +935,7 @@ def assign_groups(
     rows = df.select(
         group.cast("bigint").alias(G),
         F.col(row_id).cast("bigint").alias(ID),
-        to_grid(vec, options.scale).alias("grid"),
+        space.column(vec).alias("grid"),
         F.struct(*names).alias("payload"),
     )
     sizes = df.groupBy(group.cast("bigint").alias(G)).agg(
@@ -887,7 +953,7 @@ def assign_groups(
     tasks = _cell_tasks(slices)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g, cell in _cells(batches, dim):
+        for g, cell in _cells(batches, dim, space):
             cell = _complete(g, cell)
             found = results(cell.cluster, cell.cluster, cell.dist, cell.rows["at"])
             yield from pa.Table.from_arrays(
@@ -902,7 +968,7 @@ def assign_groups(
 
 
 def cluster_local_groups(
-    rows: DataFrame, vec: str, dim: int, options: KMeansOptions, groups: int, names: list[str],
+    rows: DataFrame, vec: str, dim: int, space: Space, max_iter: int, groups: int, names: list[str],
     out: T.StructType,
 ) -> DataFrame:
     """Train and assign inside one task per group.
@@ -910,15 +976,13 @@ def cluster_local_groups(
     ``rows`` has the columns ``names`` plus (_g, _id, _h, k, cut). The output adds cluster,
     squared distance, and whether the row is the nearest one of its cluster.
     """
-    scale, max_iter, unit = options.scale, options.max_iter, float(options.scale) ** 2
-
     def run(table: pa.Table) -> pa.Table:
-        x, k, hashes, ids, cut = _group_inputs(table, vec, dim, scale)
-        centers, _, _ = kernels.train(x, k, hashes, ids, cut, max_iter)
-        index, dist = kernels.nearest(x, centers.astype(np.float64))
+        x, k, hashes, ids, cut = _group_inputs(table, vec, dim, space)
+        centers, _, _ = spaces.train(space, x, k, hashes, ids, cut, max_iter)
+        index, dist = space.nearest(x, space.prepare(centers))
         columns = [table[name] for name in names]
         columns.append(pa.chunked_array([index.astype(np.int32)]))
-        columns.append(pa.chunked_array([dist / unit]))
+        columns.append(pa.chunked_array([dist / space.unit]))
         columns.append(pa.chunked_array([pa.array(kernels.first_rows(index, dist, ids))]))
         return pa.Table.from_arrays(columns, names=out.names)
 

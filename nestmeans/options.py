@@ -40,9 +40,9 @@ class KMeansOptions:
     Training reads all rows; ``max_points_per_centroid`` limits it to about so many rows for each
     centroid, by a hash of the row id, where a sample is enough.
 
-    ``scale`` puts coordinates and centroids on an integer grid of width ``1/scale``, so that
-    sums and distances are exact and do not depend on partitioning or on re-run tasks. None takes
-    the finest grid (a power of two) on which the largest coordinate of the data keeps them exact.
+    Sums and means are exact and results do not depend on partitioning or on re-run tasks. With ``scale``
+    None coordinates are taken as they are, whatever their spread. A ``scale`` puts coordinates and centroids on an
+    integer grid of width ``1/scale``, for results that SQL can follow value for value.
 
     The budgets choose between equal ways of doing the work, never the result:
     ``local_bytes`` / ``local_flops`` bound a group handled inside one task (fewer operations when

@@ -1,5 +1,7 @@
 """NumPy steps against plain loops, and their edge cases."""
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -8,6 +10,8 @@ from hypothesis import strategies as st
 
 from nestmeans.functions import fingerprint as fpm
 from nestmeans.operators import kernels as K
+from nestmeans.operators import limbs as L
+from nestmeans.operators import spaces as S
 
 
 def brute_nearest(x, centers):
@@ -70,8 +74,9 @@ def test_grid_rejects_nan_and_overflow():
 
 def test_k_equal_to_n_keeps_the_rows():
     x = np.arange(12.0).reshape(6, 2)
-    centers, sizes, objective = K.lloyd(x, x, 5)
-    assert (centers == x).all() and (sizes == 1).all() and objective == 0
+    for space in (S.Grid(1), S.Plain()):
+        centers, sizes, objective = S.lloyd(space, x, x, 5)
+        assert (centers == x).all() and (sizes == 1).all() and objective == 0
 
 
 def test_first_rows_breaks_ties_by_id():
@@ -141,7 +146,69 @@ def test_work_space_is_bounded_by_the_rows():
 
 
 def test_exact_totals():
-    dist = np.full(3, float((1 << 53) - 1))
-    assert K.whole(*(p.sum() for p in K.halves(dist))) == float(3 * ((1 << 53) - 1))
-    assert K.finest_scale(1.0, 1) == 2.0 ** 25
-    assert K.finest_scale(0.0, 5) == 1.0
+    dist = np.full((3, 1), float((1 << 53) - 1))
+    sums = L.grouped_sums(dist, np.zeros(3, dtype=int), 1)
+    assert L.value({limb: part[0, 0] for limb, part in sums.items()}) == float(3 * ((1 << 53) - 1))
+    assert L.value({}) == 0.0
+
+
+numbers = st.floats(-1e30, 1e30, allow_subnormal=False) | st.floats(-1, 1, width=32) | st.integers(-9, 9).map(float)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(numbers, min_size=1, max_size=30), st.randoms(), st.integers(1, 10**9))
+def test_means_are_exact_whatever_the_spread_and_order(values, rnd, more):
+    """Against fractions, also when parts are summed apart and merged."""
+    want = float(sum(map(Fraction, values)) / more)
+    rnd.shuffle(values)
+    cut = rnd.randrange(len(values) + 1)
+    merged = {}
+    for part in (values[:cut], values[cut:]):
+        for limb, total in L.grouped_sums(np.array(part).reshape(-1, 1), np.zeros(len(part), dtype=int), 1).items():
+            merged[limb] = merged.get(limb, 0) + total
+    got = L.quotient(merged, np.array([more]))[0, 0] if merged else 0.0
+    assert got == want
+
+
+def test_limbs_of_narrow_data_are_few():
+    assert [limb for limb, _ in L.split(np.array([0.0, 1.0, 255.0]))] == [0]
+    assert len(L.split(np.random.default_rng(0).uniform(0.01, 1, 1000).astype(np.float32))) <= 2
+    assert L.split(np.zeros(4)) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 40), st.integers(1, 30), st.integers(1, 9), st.integers(0, 10_000), st.sampled_from([0, 1e6, 1e-6, 1e12]))
+def test_plain_nearest_is_the_lowest_of_exact_distances(n, k, d, seed, offset):
+    """Far from the origin and beside outliers, where a product of matrices alone would lose the difference."""
+    rng = np.random.default_rng(seed)
+    x, c = rng.normal(offset, 1e-3, (n, d)), rng.normal(offset, 1e-3, (k, d))
+    c[rng.random(k) < 0.3] = x[0]
+    c[-1] = 1e15
+    space = S.Plain()
+    index, dist = space.nearest(x, space.prepare(c))
+    for i in range(n):
+        all_ = [sum_in_order(x[i], y) for y in c]
+        assert dist[i] == min(all_) and index[i] == all_.index(min(all_))
+
+
+def sum_in_order(a, b):
+    total = 0.0
+    for p, q in zip(a.tolist(), b.tolist()):
+        total += (p - q) * (p - q)
+    return total
+
+
+def test_plain_nearest_over_blocks(monkeypatch):
+    monkeypatch.setattr(K, "_BLOCK_CENTERS", 3)
+    monkeypatch.setattr(K, "_BLOCK_CELLS", 6)
+    rng = np.random.default_rng(1)
+    x, c = rng.integers(0, 3, (50, 4)).astype(float), rng.integers(0, 3, (20, 4)).astype(float)
+    index, dist = S.Plain().nearest(x, S.Plain().prepare(c))
+    want_index, want_dist = brute_nearest(x, c)
+    assert (index == want_index).all() and (dist == want_dist).all()
+
+
+def test_plain_rejects_nan_and_infinity():
+    for bad in (np.nan, np.inf, 1e200):
+        with pytest.raises(ValueError):
+            S.Plain().load(np.array([[bad]]))

@@ -1,5 +1,7 @@
 """K-means: the three ways agree, properties, edge cases."""
 
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +37,64 @@ def test_ways_agree(vectors, k, extra):
     assert len(results[0]) == min(k, 200)
 
 
+def spread_vectors(spark):
+    """Clusters at 0 and 0.05, far ones, and one row a million times as long as the rest."""
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(0, 1e-4, 6) + [0.0, 0.05, -3.0][i % 3]).tolist()) for i in range(240)]
+    rows += [(900, [1e6] * 6), (901, [1e-30] * 6)] + [(1000 + i, rows[i][1]) for i in range(20)]
+    return spark.createDataFrame(rows, "row_id bigint, fp array<double>").repartition(3)
+
+
+@pytest.mark.parametrize("k, extra", [(5, {}), (40, {}), (1, {}), (300, {}), (6, {"n_init": 3})])
+def test_ways_agree_without_a_grid(spark, k, extra):
+    rows = spread_vectors(spark)
+    results = [model_rows(km.kmeans_fit(rows, k, options=options(w, scale=None, **extra))) for w in WAYS]
+    assert results[0] == results[1] == results[2]
+    again = model_rows(km.kmeans_fit(rows.repartition(7), k, options=options("broadcast", scale=None, **extra)))
+    assert again == results[0] and sum(r[2] for r in again) == 262
+
+
+@pytest.mark.parametrize("way", list(WAYS))
+def test_an_outlier_takes_no_resolution_from_the_others(spark, way):
+    rows = [(i, [0.0] * 64) for i in range(300)] + [(300 + i, [0.05] * 64) for i in range(300)] + [(600, [1e6] * 64)]
+    df = spark.createDataFrame(rows, "row_id bigint, fp array<float>")
+    o = KMeansOptions(**WAYS[way])
+    model = km.kmeans_fit(df, 3, options=o)
+    found = {r.centroid[0]: r.n for r in model.collect()}
+    assert found == {0.0: 300, float(np.float32(0.05)): 300, 1e6: 1}
+    assert model.first().objective == 0
+    sizes = km.kmeans_assign(df, model, options=o).groupBy("cluster").agg(F.count("*").alias("n"), F.max("dist").alias("d")).collect()
+    assert sorted((r.n, r.d) for r in sizes) == [(1, 0.0), (300, 0.0), (300, 0.0)]
+
+
+def test_returned_centroids_are_means(spark):
+    """Also those of a run that ends before it settles, with more clusters than places."""
+    df = spread_vectors(spark)
+    for way, passes in [("local", 1), ("broadcast", 2), ("streamed", 2)]:
+        o = options(way, scale=None, max_iter=passes)
+        before = km.kmeans_fit(df, 9, options=options(way, scale=None, max_iter=passes - 1)) if passes > 1 else None
+        model = {r.cluster: r for r in km.kmeans_fit(df, 9, options=o).collect()}
+        assert sum(r.n for r in model.values()) == 262
+        if before is not None and before.filter("n = 0").count() == 0:
+            found = km.kmeans_assign(df, before, options=o).collect()
+            for c, r in model.items():
+                mine = [x.fp for x in found if x.cluster == c]
+                assert r.n == len(mine)
+                assert r.centroid == [float(sum(map(Fraction, v)) / len(mine)) for v in zip(*mine)]
+
+
+def test_stage2_without_a_grid(spark):
+    def run(**kw):
+        rows = spread_vectors(spark).withColumn("cluster_k1", (F.col("row_id") % 7 % 3).cast("int"))
+        details, centers = stage2(rows, value=5.0, options=KMeansOptions(max_iter=3, n_init=2, **kw))
+        pick = ("row_id", "cluster_k1", "CLUSTER_k2", "DISTANCE_k2")
+        return [sorted(map(tuple, d.select(*pick).collect())) for d in (details, centers)]
+
+    want = run()
+    assert run(local_bytes=0) == want
+    assert run(local_bytes=0, broadcast_bytes=0, slice_bytes=8 * 6 * 20) == want
+
+
 def test_partitioning_does_not_matter(vectors):
     a = model_rows(km.kmeans_fit(vectors, 7, options=options("broadcast")))
     b = model_rows(km.kmeans_fit(vectors.repartition(11), 7, options=options("broadcast")))
