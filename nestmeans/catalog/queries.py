@@ -618,13 +618,32 @@ def kmeans_fit_one(spark, folder):
     return _model_text(kmeans.kmeans_fit(rows, 1, "embedding", "vec_id", FIT)).drop("cluster")
 
 
+def _plain_fit(spark, folder, spread: int = 1, **changes) -> DataFrame:
+    """Every coordinate of every centroid, of a fit without a grid on multiples of 1/1024, some of
+    them ``spread`` times as large."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024) * F.when(F.col("vec_id") % 97 == 0, spread).otherwise(1) / 1024.0)
+    rows = table(spark, folder, "embeddings").select("vec_id", whole.alias("v"))
+    model = kmeans.kmeans_fit(rows, FIT_K, "v", "vec_id", KMeansOptions(**changes))
+    placed = model.select("cluster", "n", F.posexplode("centroid").alias("place", "coordinate"))
+    return placed.select(F.col("cluster").cast("bigint").alias("cluster"), "n", F.col("place").cast("bigint").alias("place"), "coordinate")
+
+
 def kmeans_fixed_point(spark, folder):
-    """The default passes end where every centroid is the mean of its rows, or at the last pass:
-    rows per cluster of the assignment, against the rows assigned."""
-    rows = table(spark, folder, "embeddings")
-    model = kmeans.kmeans_fit(rows, FIT_K, "embedding", "vec_id", KMeansOptions(scale=SCALE))
-    found = kmeans.kmeans_assign(rows, model, "embedding", KMeansOptions(scale=SCALE), "vec_id")
-    return found.agg(F.count(F.lit(1)).alias("rows"), (F.min("dist") >= 0).alias("valid"))
+    """All default options: the centroids after up to 25 passes."""
+    return _plain_fit(spark, folder)
+
+
+def kmeans_any_spread(spark, folder):
+    """Small rows keep their clusters beside rows a million times as long."""
+    return _plain_fit(spark, folder, 1 << 20, max_iter=FIT_ITER)
+
+
+def kmeans_any_spread_broadcast(spark, folder):
+    return _plain_fit(spark, folder, 1 << 20, max_iter=FIT_ITER, **BROADCAST)
+
+
+def kmeans_any_spread_streamed(spark, folder):
+    return _plain_fit(spark, folder, 1 << 20, max_iter=FIT_ITER, **STREAMED)
 
 
 QUERIES = {
@@ -648,5 +667,6 @@ QUERIES = {
         split_parts, ordinals_by_text,
         profile, profile_documents, preview, completeness, completeness_customers,
         completeness_labels, to_dense_vectors, normalize_user_rule, kmeans_fit_one, kmeans_fixed_point,
+        kmeans_any_spread, kmeans_any_spread_broadcast, kmeans_any_spread_streamed,
     )
 }
