@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from nestmeans.functions.vectors import HASH_BITS, hash_order
-from nestmeans.operators import kernels, limbs, spaces
+from nestmeans.operators import bounds, kernels, limbs, spaces, training
 from nestmeans.operators.spaces import Space, space_of
 from nestmeans.options import KMeansOptions
 from nestmeans.schemas import CENTROIDS, payload_bytes, require_columns
@@ -47,7 +47,9 @@ _CELL_FLOPS = 1e10
 _CELL_TASKS = 200_000
 _MERGE_BYTES = 32 << 20
 
-_PACKED = "_g bigint, grid binary"
+# ``at`` is the position of the row's centre in the model, -1 before the first pass, ``low`` the bound
+# of its distance to all others.
+_PACKED = "_g bigint, grid binary, at int, low float"
 # One limb of a cluster's vector sum; without a ``total`` its row count (limb _COUNT) or, as cluster
 # _COST, one limb of the group's sum of distances, in ``n``.
 _PARTIAL = "_g bigint, cluster int, limb int, n bigint, total array<bigint>"
@@ -330,7 +332,7 @@ def _lists(a: np.ndarray, kind: str) -> pa.Array:
 def local_trainer(dim: int, space: Space, max_iter: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         x, k, hashes, ids, cut = _group_inputs(table, "vec", dim, space)
-        centers, sizes, objective = spaces.train(space, x, k, hashes, ids, cut, max_iter)
+        centers, sizes, objective = training.train(space, x, k, hashes, ids, cut, max_iter)
         return pa.table({
             G: pa.array(np.full(k, table[G][0].as_py(), dtype=np.int64)),
             "cluster": pa.array(np.arange(k, dtype=np.int32)),
@@ -399,8 +401,8 @@ def _sample(rows, plan: Plan, starts: DataFrame, restart: int) -> DataFrame:
 class Model:
     """Centroids of several groups as one matrix, sorted by group and cluster."""
 
-    def __init__(self, groups: np.ndarray, clusters: np.ndarray, centers: np.ndarray, space: Space):
-        self.space = space
+    def __init__(self, groups: np.ndarray, clusters: np.ndarray, centers: np.ndarray, space: Space, drift: np.ndarray | None = None):
+        self.space, self.drift = space, drift  # how far each centre came from its last place, if it moved
         order = np.lexsort((clusters, groups))
         self.groups, self.clusters = groups[order], clusters[order]
         self.centers = centers[order]
@@ -419,16 +421,39 @@ class Model:
         centers = kernels.matrix(t["grid"], dim).astype(np.float64)
         return cls(t[G].to_numpy(), t["cluster"].to_numpy(), centers, space)
 
-    def nearest(self, groups: np.ndarray, x: np.ndarray):
-        """Position in the matrix of the nearest centroid of the row's group, and distance."""
+    def _by_group(self, groups: np.ndarray):
+        """(rows, span of the group's centroids) of every group that occurs."""
         order = np.argsort(groups, kind="stable")
         starts = kernels.run_starts(groups[order])
-        at, dist = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
         for a, b in zip(starts, starts[1:]):
             rows = order[a:b]
             span = self.spans.get(int(groups[rows[0]]))
             if span is None:
                 raise ValueError(f"group {groups[rows[0]]} has no centroids")
+            yield rows, span
+
+    def update(self, groups: np.ndarray, x: np.ndarray, at: np.ndarray, low: np.ndarray):
+        """(positions, distances, bounds, distances measured) from the positions and bounds of the last pass."""
+        at, low, dist, measured = at.astype(np.int64), low.astype(np.float64), np.zeros(len(x)), 0
+        for rows, span in self._by_group(groups):
+            search = self.ready.get(span.start)
+            if search is None:
+                drift = None if self.drift is None else self.drift[span]
+                search = self.ready[span.start] = bounds.Search(self.space, self.centers[span], drift)
+            k = span.stop - span.start
+            if self.drift is None:
+                found, dist[rows], low[rows] = search.full(x[rows])
+                measured += len(rows) * k
+            else:
+                found, dist[rows], low[rows], more = search.update(x[rows], at[rows] - span.start, low[rows])
+                measured += len(rows) + more
+            at[rows] = found + span.start
+        return at, dist, low, measured
+
+    def nearest(self, groups: np.ndarray, x: np.ndarray):
+        """Position in the matrix of the nearest centroid of the row's group, and distance."""
+        at, dist = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+        for rows, span in self._by_group(groups):
             ready = self.ready.get(span.start)
             if ready is None:  # once in a worker, not once for every batch
                 ready = self.ready[span.start] = self.space.prepare(self.centers[span])
@@ -459,12 +484,21 @@ def _fit_broadcast(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
         )
         sample = sample.select(G, "vec").mapInArrow(_packer(dim, space), _PACKED)
         sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
+        rows_now, done = sample, []
         for turn in range(options.max_iter):
             split = turn + 1 < options.max_iter or space.split_last
-            model, moved, sizes, cost = _broadcast_pass(spark, sample, model, dim, tasks, split)
-            if not moved:
+            done.append(_broadcast_pass(spark, rows_now, model, dim, tasks, split))
+            model, rows_now = done[-1].model, done[-1].rows
+            if turn and done[-2].stored is not None:
+                done[-2].stored.unpersist()
+            if not done[-1].moved:
                 break
+        if done[-1].stored is not None:
+            done[-1].stored.unpersist()
         sample.unpersist()
+        for p in done:
+            p.sent.destroy()
+        sizes, cost = done[-1].sizes, done[-1].cost
         for g, span in model.spans.items():
             if g not in best or cost[g] < best[g][2]:
                 best[g] = (model.centers[span], sizes[span], cost[g])
@@ -482,7 +516,10 @@ def _packer(dim: int, space: Space):
             packed = pa.Array.from_buffers(
                 pa.binary(), len(x), [None, ends, pa.py_buffer(x.tobytes())]
             )
-            yield pa.record_batch({G: batch[G], "grid": packed})
+            yield pa.record_batch({
+                G: batch[G], "grid": packed, "at": pa.array(np.full(len(x), -1, np.int32)),
+                "low": pa.array(np.zeros(len(x), np.float32)),
+            })
 
     return pack
 
@@ -526,23 +563,40 @@ class _Partial:
             yield _vectors(groups[some], clusters[some], np.full(len(some), limb), part[some])
 
 
-def _broadcast_pass(spark, sample, model: Model, dim, tasks: int, split: bool):
-    """(model, whether it moved, rows per centre, cost per group); ``split`` says whether empty clusters are filled."""
+def _broadcast_pass(spark, rows, model: Model, dim, tasks: int, split: bool):
+    """(rows with their new bounds, model, whether it moved, rows per centre, cost per group); ``split`` says
+    whether empty clusters are filled."""
     sent = spark.sparkContext.broadcast(model)
     space = model.space
+    bounded = max(s.stop - s.start for s in model.spans.values()) >= bounds.LEAST_CENTERS
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, found = sent.value, _Partial(space)
         for batch in batches:
-            if batch.num_rows:
-                x, groups = _unpacked(batch["grid"], dim, space), batch[G].to_numpy()
+            if not batch.num_rows:
+                continue
+            x, groups = _unpacked(batch["grid"], dim, space), batch[G].to_numpy()
+            if bounded:
+                at, dist, low, _ = m.update(groups, x, batch["at"].to_numpy(), batch["low"].to_numpy())
+                kept = np.nextafter(low.astype(np.float32), np.float32(-np.inf))
+                yield _with_partials({
+                    G: batch[G], "grid": batch["grid"], "at": pa.array(at.astype(np.int32)),
+                    "low": pa.array(np.where(np.isinf(low), np.float32(np.inf), kept)),
+                })
+            else:
                 at, dist = m.nearest(groups, x)
-                found.add(x, at, dist, np.searchsorted(m.names, groups), len(m.centers), len(m.names))
-        yield from found.batches(m.groups, m.clusters, m.names)
-
-    partials = sample.mapInArrow(partial, _PARTIAL)
+            found.add(x, at, dist, np.searchsorted(m.names, groups), len(m.centers), len(m.names))
+        for batch in found.batches(m.groups, m.clusters, m.names):
+            yield _with_partials({n: batch[n] for n in batch.schema.names}) if bounded else batch
+
+    if bounded:
+        both = rows.mapInArrow(partial, _STATE)
+        both = both.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = both.filter("grid IS NOT NULL").select(G, "grid", "at", "low")
+        partials = both.filter("grid IS NULL").select(G, "cluster", "limb", "n", "total")
+    else:
+        both, partials = None, rows.mapInArrow(partial, _PARTIAL)
     merged = _merge(partials, len(model.centers), dim, tasks, space).toArrow()
-    sent.destroy()
     whole = merged["cluster"].to_numpy() == _COST
     costs, merged = merged.filter(pa.array(whole)), merged.filter(pa.array(~whole))
     firsts = np.array([span.start for span in model.spans.values()])
@@ -556,7 +610,33 @@ def _broadcast_pass(spark, sample, model: Model, dim, tasks: int, split: bool):
             centers[span] = kernels.refill(centers[span], sizes[span], space.steps)
     cost = dict.fromkeys(model.spans, 0.0) | dict(zip(costs[G].to_pylist(), costs["cost"].to_pylist()))
     moved = not np.array_equal(centers, model.centers)
-    return Model(model.groups, model.clusters, centers, space), moved, sizes, cost
+    drift = bounds.moves(model.centers, centers) if bounded else None
+    return _Pass(rows, both, sent, Model(model.groups, model.clusters, centers, space, drift), moved, sizes, cost)
+
+
+_STATE = f"{_PACKED}, {_PARTIAL.removeprefix('_g bigint, ')}"
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "float": pa.float32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+
+
+def _with_partials(columns: dict) -> pa.RecordBatch:
+    """A batch of rows or of partial sums in the common layout, NULL elsewhere."""
+    n = len(columns[G])
+    fields = (field.split() for field in _STATE.split(", "))
+    return pa.record_batch({name: columns[name] if name in columns else pa.nulls(n, _ARROW[kind]) for name, kind in fields})
+
+
+@dataclass(frozen=True)
+class _Pass:
+    """What a pass leaves. ``stored`` and ``sent`` are kept while rows are derived from them: lost partitions are made
+    again from the cached rows of the first pass and the models of all."""
+
+    rows: DataFrame
+    stored: DataFrame | None
+    sent: object
+    model: Model
+    moved: bool
+    sizes: np.ndarray
+    cost: dict
 
 
 def _scalars(groups, clusters, limb, n) -> pa.RecordBatch:
@@ -978,7 +1058,7 @@ def cluster_local_groups(
     """
     def run(table: pa.Table) -> pa.Table:
         x, k, hashes, ids, cut = _group_inputs(table, vec, dim, space)
-        centers, _, _ = spaces.train(space, x, k, hashes, ids, cut, max_iter)
+        centers, _, _ = training.train(space, x, k, hashes, ids, cut, max_iter)
         index, dist = space.nearest(x, space.prepare(centers))
         columns = [table[name] for name in names]
         columns.append(pa.chunked_array([index.astype(np.int32)]))

@@ -1,54 +1,59 @@
 """Exact sums of floating numbers of any spread, whatever the order of adding.
 
-A number is cut at fixed powers of 2**24 into *limbs*: limb ``j`` holds the bits worth ``2**(24 j)`` to
-``2**(24 (j + 1))`` as a signed integer. The cut depends on the number alone, so sums of limbs are plain integer sums:
-they are the same for any partitioning and lose nothing, and one large number does not take the low bits of the
-others. Limbs of up to 2**39 numbers add up in 64 bits. Data of a narrow range (0/1 vectors, small integers, float32
+A number is cut at powers of 2**24 into *limbs*: limb ``j`` counts units of ``2**(24 j)`` as a signed integer of at
+most 25 bits. Sums of limbs are plain integer sums, so what they stand for is the same for any partitioning and
+loses nothing, and one large number does not take the low bits of the others. Limbs of up to 2**38 numbers add up in 64 bits. Data of a narrow range (0/1 vectors, small integers, float32
 near one size) need one or two limbs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from nestmeans.operators.kernels import run_starts
 
 BITS = 24
 BASE = 1 << BITS
-MOST_ROWS = 1 << 39
-_BLOCK = 1 << 16
+_BLOCK = 1 << 18
+
 
+def split(x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(limb, multiples of 2**(24 limb))`` that add up to the numbers ``x``, highest limb first, as far as any is not zero.
 
-def split(x: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """``(limb, integers)`` of the numbers ``x``, highest limb first, up to the last one that is not all zero."""
+    Adding and taking away 1.5 * 2**52 units rounds to whole units, so every step is exact.
+    """
     top = float(np.abs(x).max(initial=0.0))
-    out, rest = [], x.astype(np.float64, copy=True)
+    rest = x.astype(np.float64, copy=True)
     limb = (int(np.frexp(top)[1]) - 1) // BITS if top else 0
-    while top:
-        whole = np.trunc(np.ldexp(rest, -BITS * limb))
-        rest -= np.ldexp(whole, BITS * limb)
-        if whole.any():
-            out.append((limb, whole))
-        top = rest.any()
+    more = top > 0
+    while more:
+        far = np.ldexp(1.5, 52 + BITS * limb)
+        whole = rest + far
+        whole -= far
+        rest -= whole
+        yield limb, whole
+        more = rest.any()
         limb -= 1
-    return out
 
 
 def grouped_sums(x: np.ndarray, slot: np.ndarray, slots: int) -> dict[int, np.ndarray]:
     """Per limb the integer sums of the rows of ``x`` that share a slot, as (slots, width)."""
     sums: dict[int, np.ndarray] = {}
-    for start in range(0, len(x), _BLOCK):
-        place = slot[start : start + _BLOCK]
+    step = max(1, _BLOCK // max(1, x.shape[1]))
+    for start in range(0, len(x), step):
+        place = slot[start : start + step]
         order = np.argsort(place, kind="stable")
         first = run_starts(place[order])[:-1]
-        for limb, part in split(x[start : start + _BLOCK][order]):
+        for limb, part in split(x[start : start + step][order]):
             held = sums.setdefault(limb, np.zeros((slots, x.shape[1]), dtype=np.int64))
-            held[place[order][first]] += np.add.reduceat(part, first, axis=0).astype(np.int64)
+            held[place[order][first]] += np.ldexp(np.add.reduceat(part, first, axis=0), -BITS * limb).astype(np.int64)
     return sums
 
 
 def quotient(sums: dict[int, np.ndarray], divisors: np.ndarray) -> np.ndarray:
-    """The sums divided by positive integers below 2**39 (one for each row), rounded once to the nearest double."""
+    """The sums divided by positive integers below 2**38 (one for each row), rounded once to the nearest double."""
     shape = (len(divisors), next(iter(sums.values())).shape[1]) if sums else (len(divisors), 0)
     if not sums:
         return np.zeros(shape)

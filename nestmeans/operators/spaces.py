@@ -203,50 +203,7 @@ def space_of(scale: float | None, element: str = "double") -> Space:
     return Plain.of(element) if scale is None else Grid(scale)
 
 
-# --- training in one task -----------------------------------------------------------------------
-
-
 def cluster_sums(space: Space, x: np.ndarray, index: np.ndarray):
     """(ids, row counts, sums by limb) of the clusters that occur."""
     ids, slot = np.unique(index, return_inverse=True)
     return ids, np.bincount(slot, minlength=len(ids)), space.sums(x, slot, len(ids))
-
-
-def lloyd(space: Space, x: np.ndarray, start: np.ndarray, max_iter: int):
-    """Train on ``x`` from the rows ``start``; returns (centres, sizes, objective).
-
-    Stops early only at a fixed point, which further passes could not leave.
-    """
-    centers = start.copy()
-    for turn in range(max_iter):
-        index, dist = space.nearest(x, space.prepare(centers))
-        ids, counts, sums = cluster_sums(space, x, index)
-        sizes = np.zeros(len(centers), dtype=np.int64)
-        sizes[ids] = counts
-        moved = centers.copy()
-        moved[ids] = space.mean(sums, counts, x.shape[1])
-        if turn + 1 < max_iter or space.split_last:
-            moved = kernels.refill(moved, sizes, space.steps)
-        cost = limbs.grouped_sums(dist[:, None], np.zeros(len(x), dtype=np.int64), 1)
-        objective = limbs.value({limb: part[0, 0] for limb, part in cost.items()})
-        if np.array_equal(moved, centers):
-            break
-        centers = moved
-    return centers, sizes, objective
-
-
-def train(space: Space, x, k, hashes, row_ids, cut, max_iter):
-    """Best of the restarts; column r of ``hashes`` orders the rows of restart r.
-
-    Rows whose hash is below ``cut`` train; the first k of them in hash order start.
-    """
-    best = None
-    for r in range(hashes.shape[1]):
-        h = hashes[:, r]
-        start = np.lexsort((row_ids, h))[:k]
-        chosen = h < cut
-        chosen[start] = True
-        result = lloyd(space, x if chosen.all() else x[chosen], x[start], max_iter)
-        if best is None or result[2] < best[2]:
-            best = result
-    return best

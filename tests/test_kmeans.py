@@ -54,6 +54,18 @@ def test_ways_agree_without_a_grid(spark, k, extra):
     assert again == results[0] and sum(r[2] for r in again) == 262
 
 
+def test_bounds_change_nothing(spark, vectors, monkeypatch):
+    """Passes with and without bounds, in a task and over the cluster, on and off the grid."""
+    for scale in (100, None):
+        found = []
+        for least in (1, 10_000):
+            monkeypatch.setattr(km.bounds, "LEAST_CENTERS", least)
+            found += [model_rows(km.kmeans_fit(vectors, 30, options=options("local", scale=scale, max_iter=6)))]
+        monkeypatch.setattr(km.bounds, "LEAST_CENTERS", 1)
+        found += [model_rows(km.kmeans_fit(vectors, 30, options=options("broadcast", scale=scale, max_iter=6)))]
+        assert found[0] == found[1] == found[2]
+
+
 @pytest.mark.parametrize("way", list(WAYS))
 def test_an_outlier_takes_no_resolution_from_the_others(spark, way):
     rows = [(i, [0.0] * 64) for i in range(300)] + [(300 + i, [0.05] * 64) for i in range(300)] + [(600, [1e6] * 64)]
