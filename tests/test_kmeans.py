@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from nestmeans.operators import clusters
 from nestmeans.operators import kmeans as km
 from nestmeans.operators.clusters import cluster_sizes, conservation, empty_clusters, representatives
 from nestmeans.options import HierarchyOptions, KMeansOptions
@@ -244,6 +245,26 @@ def test_representatives_skip_nan_and_break_ties(spark):
     assert got == {(0, 2), (2, 5)}
 
 
+def test_representatives_sort_candidates_only(spark, monkeypatch):
+    """Many types beside the keys, NULL keys, groups that return after a task has passed them on."""
+    monkeypatch.setattr(clusters, "_HELD", 40)
+    rng = np.random.default_rng(5)
+    rows = [(i, int(rng.integers(60)) if i % 9 else None, f"k{i % 3}", float(rng.integers(4)), [float(i)], {"a": i}) for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id bigint, cluster int, part string, dist double, fp array<double>, other map<string,int>").repartition(4)
+    best = {}
+    for r in rows:
+        key = (r[1], r[2])
+        best[key] = min(best.get(key, (9e9, 0)), (r[3], r[0]))
+    found = representatives(df, ["cluster", "part"], "dist", ["row_id"])
+    assert {(r.cluster, r.part): (r.dist, r.row_id) for r in found.collect()} == best
+    assert all(r.fp == [float(r.row_id)] and r.other == {"a": r.row_id} for r in found.collect())
+    monkeypatch.undo()
+    sent = clusters.nearest_candidates(df, ["cluster", "part"], "dist", ["row_id"])
+    assert sent.count() <= 4 * len(best)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Sort [") < plan.index("MapInArrow")  # the sort stands above, on candidates
+
+
 def test_cluster_facts(spark):
     df = spark.createDataFrame([(0,), (0,), (3,), (9,)], "cluster int")
     assert {(r.cluster, r.n) for r in cluster_sizes(df, "cluster").collect()} == {(0, 2), (3, 1), (9, 1)}
