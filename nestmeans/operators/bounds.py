@@ -15,13 +15,17 @@ import numpy as np
 from nestmeans.operators import kernels
 from nestmeans.operators.spaces import Space, exact_squares
 
-# Bounds pay from about so many centres on.
-LEAST_CENTERS = 128
+# Bounds pay from about so many centres, and rows for each of them, on.
+LEAST_CENTERS, LEAST_ROWS = 128, 16
 # Lists of neighbours are kept up to so many centres, and used up to this share of them.
 MOST_LISTED, SHORT = 4096, 0.5
 _SLACK = 1e-9
 
 
+def pay(centers: int, rows: int) -> bool:
+    return centers >= LEAST_CENTERS and rows >= LEAST_ROWS * centers
+
+
 def second_bound(x: np.ndarray, centers: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Lower bounds of the distances to all centres but the one at ``at``; infinite without another."""
     n, dim = x.shape

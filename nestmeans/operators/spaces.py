@@ -20,7 +20,7 @@ from nestmeans.operators import kernels, limbs
 
 # Coordinates beyond have squares that a double does not hold.
 LARGEST = 2.0**500
-_PAIRS = 1 << 20
+_PAIRS, _IN_CACHE = 1 << 20, 1 << 17
 _LEAST_STEP = 2.0**-40
 _PACKED = {"tinyint": "<i1", "smallint": "<i2", "int": "<i4", "float": "<f4"}
 
@@ -28,8 +28,9 @@ _PACKED = {"tinyint": "<i1", "smallint": "<i2", "int": "<i4", "float": "<f4"}
 def exact_squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Squared distance of each row of ``x`` to the same row of ``c``, added in order of the coordinates."""
     total = np.zeros(len(x))
-    for start in range(0, len(x), _PAIRS // max(1, x.shape[1]) + 1):
-        part = slice(start, start + _PAIRS // max(1, x.shape[1]) + 1)
+    step = _IN_CACHE // max(1, x.shape[1]) + 1
+    for start in range(0, len(x), step):
+        part = slice(start, start + step)
         gap = np.ascontiguousarray((x[part] - c[part]).T)
         gap *= gap
         for row in gap:

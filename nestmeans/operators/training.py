@@ -15,7 +15,7 @@ def lloyd(space: Space, x: np.ndarray, start: np.ndarray, max_iter: int):
     pass only rows that change their cluster are taken from one sum and added to the other.
     """
     centers, drift, low, last = start.copy(), None, None, None
-    bounded = len(start) >= bounds.LEAST_CENTERS
+    bounded = bounds.pay(len(start), len(x))
     sums: dict[int, np.ndarray] = {}
 
     def add(rows: np.ndarray, clusters: np.ndarray, sign: int) -> None:

@@ -61,6 +61,7 @@ def test_bounds_change_nothing(spark, vectors, monkeypatch):
         found = []
         for least in (1, 10_000):
             monkeypatch.setattr(km.bounds, "LEAST_CENTERS", least)
+            monkeypatch.setattr(km.bounds, "LEAST_ROWS", 1)
             found += [model_rows(km.kmeans_fit(vectors, 30, options=options("local", scale=scale, max_iter=6)))]
         monkeypatch.setattr(km.bounds, "LEAST_CENTERS", 1)
         found += [model_rows(km.kmeans_fit(vectors, 30, options=options("broadcast", scale=scale, max_iter=6)))]
