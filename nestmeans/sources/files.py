@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -179,6 +180,19 @@ def read_fingerprints(
     return assert_schema(_options(spark.read, pattern, recursive).parquet(path), FINGERPRINTS)
 
 
+def _lacks(spark: SparkSession, path: str, names: list[str]) -> bool:
+    """Whether a Parquet file's own schema, from its footer, lacks one of the columns."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(at, conf))
+    try:
+        held = {f.getName().lower() for f in reader.getFileMetaData().getSchema().getFields()}
+    finally:
+        reader.close()
+    return any(n.lower() not in held for n in names)
+
+
 def read_tables(
     spark: SparkSession,
     folder: str,
@@ -192,13 +206,14 @@ def read_tables(
 
     No matching file is an error. Unknown names in ``columns`` are skipped. A file that lacks a
     column another one has, or whose vectors ``vec`` differ in width from those of most rows, is
-    an error, or is left out as a whole with ``on_bad="skip"``.
+    an error, or is left out as a whole with ``on_bad="skip"``. A column that a file has, with NULL in all its rows, is
+    no reason: files without a value in some column are told apart by their footers.
     """
     _check_mode(on_bad)
     merged = _options(spark.read, pattern, recursive).option("mergeSchema", True).parquet(folder)
     df = pick_columns(merged, columns).select("*", F.col("_metadata.file_path").alias("source_file"))
     names = [c for c in df.columns if c != "source_file"]
-    # A column that a file lacks is NULL in all its rows.
+    # A column that a file lacks is NULL in all its rows; the footers of such files tell whether it is there.
     filled = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)]
     checks = df.groupBy("source_file").agg(*filled)
     some = checks.agg(*[F.max(f"n{i}").alias(f"m{i}") for i in range(len(names))]).first()
@@ -206,7 +221,11 @@ def read_tables(
         lambda x, y: x | y,
         [(F.col(f"n{i}") == 0) & F.lit(bool(some[i])) for i in range(len(names))],
     )
-    bad = checks.filter(lacking).select("source_file")
+    suspects = [r.source_file for r in checks.filter(lacking).select("source_file").toLocalIterator()]
+    used = [c for i, c in enumerate(names) if some[i]]
+    with ThreadPoolExecutor(16) as pool:
+        lacks = list(pool.map(lambda path: _lacks(spark, path, used), suspects))
+    bad = spark.createDataFrame([(path,) for path, gone in zip(suspects, lacks) if gone], "source_file string")
     if vec and vec in names:
         widths = vector_widths(df, "source_file", vec)
         bad = bad.unionByName(widths.filter(~F.col("accepted")).select("source_file")).distinct()

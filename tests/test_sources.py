@@ -63,6 +63,20 @@ def test_files_that_do_not_fit(spark, tmp_path):
     assert files.read_tables(spark, str(tmp_path), columns=["fp"], vec=None).count() == 7
 
 
+def test_a_column_without_values_is_there(spark, tmp_path):
+    """A file with NULL in all rows of a column stays; one that lacks the column does not. Odd names are read too."""
+    kind = "smiles string, note string, fp array<tinyint>"
+    whole = spark.createDataFrame([("C", "a", [0, 1]), ("O", None, [1, 1])], kind)
+    whole.coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.createDataFrame([("N", None, [0, 0]), ("S", None, [0, 1])], kind).coalesce(1).write.parquet(str(tmp_path / "a b%20c"))
+    assert files.read_tables(spark, str(tmp_path)).count() == 4
+    assert files.read_tables(spark, str(tmp_path), on_bad="skip").count() == 4
+    whole.drop("note").coalesce(1).write.parquet(str(tmp_path / "lacks"))
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_tables(spark, str(tmp_path))
+    assert sorted(r.smiles for r in files.read_tables(spark, str(tmp_path), on_bad="skip").collect()) == ["C", "N", "O", "S"]
+
+
 def test_empty_results_are_readable(spark, tmp_path):
     none = spark.createDataFrame([], "row_id bigint, smiles string, id string, src string, cluster_k1 int")
     sinks.write_clusters(none, str(tmp_path / "clusters"))
