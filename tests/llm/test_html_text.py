@@ -59,3 +59,43 @@ def test_table_cases(spark):
     assert [(r["page_id"], r["text"][:4], r["n_chars"]) for r in got] == [
         (1, "", 0), (2, "hi", 2), (2, "hi", 2), (3, "deep", 4), (None, "word", 999999)]
     assert html_text.extract(rows.limit(0)).count() == 0
+
+
+ONE = LONG.strip()
+AD = "<div class='ad'>Buy!</div>"
+WRAPPED = {
+    f"<div class='page-with-sidebar'><p>{LONG}</p></div>": ONE,
+    f"<div class='content no-sidebar'><p>{LONG}</p></div>": ONE,
+    f"<div id=main class='post has-comments tags-x'><p>{LONG}</p><div class=comments><p>{LONG * 9}</p></div></div>": ONE,
+    f"<form id=aspnetForm><div class=widget><h1>T</h1><p>{LONG}</p></div></form>": f"T\n\n{ONE}",
+    f"<article><p>{LONG}</p><h2 id='related-work'>Related work</h2><p class='share-price'>Up.</p><p>{LONG}</p></article>":
+        f"{ONE}\n\nRelated work\n\nUp.\n\n{ONE}",
+    f"<article><p>{LONG}</p>{AD * 3}<p>Short end.</p></article>": f"{ONE}\n\nShort end.",
+    f"<div><p>{LONG}</p>{AD * 4}<p>Short end.</p></div>": f"{ONE}\n\nShort end.",
+    f"<article><h1>Title</h1>{AD * 3}<p>{LONG}</p></article>": f"Title\n\n{ONE}",
+    f"<article><p>{LONG}</p><p><a href=x>A paragraph that is one link.</a></p><p>{LONG}</p></article>":
+        f"{ONE}\n\nA paragraph that is one link.\n\n{ONE}",
+    f"<section id='related-work'><p>{LONG}</p></section><section id=comments><p>{LONG}</p></section>": ONE,
+    f"<article><p>{LONG}</p><p class='ad'>Buy this.</p><ul><li><a href=a>One</a><li><a href=b>Two</a></ul><p>{LONG}</p></article>": f"{ONE}\n\n{ONE}",
+    f"<div class=comments><p>{LONG * 20}</p></div><p>{LONG}</p>": ONE,
+    f"<article class='post tag-ads category-social'><p>{LONG}</p></article>": ONE,
+}
+
+
+@pytest.mark.parametrize("page", list(WRAPPED))
+def test_articles_in_wrappers(page):
+    assert html_text.main_text(page) == WRAPPED[page]
+
+
+def test_deep_marks_take_linear_time():
+    page = "<div class=ad>x" * 20_000 + f"<p>{LONG}"
+    assert html_text.main_text(page) == ""
+
+
+def test_query_without_article_tags(spark):
+    """The same pages with the article named by a class, or by nothing."""
+    pages = [r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect() if "</article>" in (r["html"] or "")]
+    for page in pages:
+        for tag, end in (("<div class='layout-with-sidebar'>", "</div>"), ("<div id=main class='post has-comments'>", "</div>"), ("", "")):
+            other = page.replace("<article>", tag).replace("</article>", end)
+            assert html_text.main_text(other) == simple(page)
