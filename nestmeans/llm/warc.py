@@ -10,12 +10,15 @@ takes the attempts named in the writer's committed list only.
 Reader. Archives are dealt to tasks by file and streamed member by member. When a check fails (broken
 gzip member, no version line, bad header, short block, wrong block digest), the reader searches for
 the next gzip member or, in plain archives, the next version line, goes on from there and reports
-the bytes in between as a gap. Memory is bounded by the archive piece that is being looked at
-plus the largest record.
+the bytes in between as a gap. Both marks are searched chunk by chunk, and what was searched is let go; a header's
+lines are checked as they arrive, a plain record's end is looked at before its block is read, and a member is inflated
+only as far as its own header states. So memory is bounded by two chunks plus the largest record. Headers have any
+length; only field names have a limit (256 characters).
 
 Defined cases: a NULL payload is empty; NULL ids get their own records, never shared; repeated rows are
 written each, the first of an id being the response; zero rows give one empty archive list and zero
-records; files that are empty or hold no record give one gap each.
+records; files that are empty or hold no record give one gap each. Other columns of the table are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ from nestmeans.scratch import checkpoint, scratch_path
 ARCHIVE_BYTES = 64 << 20
 MIN_REVISIT_BYTES = 0
 CHUNK = 1 << 20
+PIECE = 1 << 16
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 END = b"\r\n\r\n"
@@ -168,6 +172,9 @@ class _Window:
 
     def __init__(self, stream):
         self.stream, self.data, self.base, self.ended = stream, bytearray(), 0, False
+        self.size = stream.seek(0, 2) if stream.seekable() else None
+        if self.size is not None:
+            stream.seek(0)
 
     def fill(self, upto: int) -> bool:
         """Hold bytes to the absolute place ``upto``; False if the file ends before."""
@@ -187,58 +194,118 @@ class _Window:
             del self.data[:cut]
             self.base += cut
 
-    def find(self, mark: bytes, start: int) -> int:
-        """Absolute place of ``mark`` at or after ``start``, or -1."""
+    def seek_mark(self, start: int) -> int:
+        """Place of the next member or version line at or after ``start``, or -1; what was searched is let go."""
         at = start
         while True:
-            hit = self.data.find(mark, at - self.base)
-            if hit >= 0:
-                return self.base + hit
-            at = max(at, self.base + len(self.data) - len(mark) + 1)
+            hits = [x for x in (self.data.find(m, at - self.base) for m in (GZIP, VERSION)) if x >= 0]
+            if hits:
+                return self.base + min(hits)
+            at = max(at, self.base + len(self.data) - len(VERSION) + 1)  # a mark can begin in the last bytes
+            self.drop(at)
             if not self.fill(self.base + len(self.data) + 1):
                 return -1
 
-    def line_end(self, start: int, limit: int) -> int:
-        self.fill(start + limit)
-        hit = self.data.find(END, start - self.base, start - self.base + limit)
-        return -1 if hit < 0 else self.base + hit
+    def peek(self, start: int, size: int) -> bytes:
+        """Bytes further on; what lies between is not read where the file can be read out of order."""
+        if self.size is not None and start + size > self.size:
+            return b""
+        if self.size is not None and start + size > self.base + len(self.data):
+            here = self.stream.tell()
+            self.stream.seek(start)
+            found = self.stream.read(size)
+            self.stream.seek(here)
+            return found
+        return self.get(start, start + size)
 
 
 class BadRecord(ValueError):
     """A check failed."""
 
 
-MAX_HEAD = 1 << 16
+LINE = b"\r\n"
+MAX_NAME = 256  # characters of a field name; values and headers have any length
 
 
-def _unpacked(window: _Window, start: int) -> tuple[bytes, int]:
-    """The gzip member at ``start`` and the place after it; zlib checks its CRC and length."""
-    inflater, parts, at = zlib.decompressobj(31), [], start
+class _Head:
+    """The header of a record, read as its bytes arrive; lines are checked one by one.
+
+    A false mark is found out at the first line that is none, so little is read for it.
+    """
+
+    def __init__(self, start: int):
+        self.line = self.searched = start
+        self.fields: dict[str, str] = {}
+        self.last: str | None = None
+        self.begun = False
+
+    def read(self, data: bytearray, base: int) -> bool:
+        """Take the whole lines of ``data``, whose first byte is at ``base``; True after the blank line."""
+        while True:
+            cut = data.find(LINE, self.searched - base)
+            end = len(data) if cut < 0 else cut
+            self._check(bytes(data[self.line - base:min(end, self.line - base + MAX_NAME + 1)]), cut >= 0)
+            if cut < 0:
+                self.searched = max(self.searched, base + len(data) - 1)
+                return False
+            line = data[self.line - base:cut].decode("utf-8", "replace")
+            self.line = self.searched = base + cut + len(LINE)
+            if not self.begun:
+                self.begun = True
+            elif not line:
+                stated = self.fields.get("content-length", "")
+                if not (stated.isascii() and stated.isdigit() and len(stated) < 19):
+                    raise BadRecord("no content length")
+                return True
+            elif line[0] in " \t" and self.last:  # a value that goes on
+                self.fields[self.last] += " " + line.strip()
+            else:
+                name, _, value = line.partition(":")
+                self.last = name.strip().lower()
+                self.fields[self.last] = value.strip()
+
+    def _check(self, lead: bytes, whole: bool) -> None:
+        if not self.begun:
+            if not lead.startswith(VERSION[:len(lead)]) or len(lead) > 32 or (whole and len(lead) < len(VERSION)):
+                raise BadRecord("no version line")
+        elif lead and lead[:1] not in (b" ", b"\t") and b":" not in lead and (whole or len(lead) > MAX_NAME):
+            raise BadRecord("bad header line")
+
+    @property
+    def size(self) -> int:
+        return int(self.fields["content-length"])
+
+
+def _inflated(inflater, data: bytes, limit: int) -> bytes:
+    try:
+        return inflater.decompress(data, limit)
+    except zlib.error as error:
+        raise BadRecord("broken member") from error
+
+
+def _unpacked(window: _Window, start: int) -> tuple[dict[str, str], bytes, int]:
+    """Fields and block of the gzip member at ``start`` and the place after it.
+
+    zlib checks CRC and length. No more is inflated than the record's header states.
+    """
+    inflater, data, at, head, complete = zlib.decompressobj(31), bytearray(), start, _Head(0), False
     while not inflater.eof:
-        piece = window.get(at, at + (1 << 16))
+        piece = inflater.unconsumed_tail
         if not piece:
+            piece = window.get(at, at + PIECE)
+            at += len(piece)
+        more = _inflated(inflater, piece, PIECE)
+        if not (piece or more or inflater.eof):
             raise BadRecord("member ends early")
-        try:
-            parts.append(inflater.decompress(piece))
-        except zlib.error as error:
-            raise BadRecord("broken member") from error
-        at += len(piece) - len(inflater.unused_data)
-    return b"".join(parts), at
-
-
-def _headers(head: bytes) -> dict[str, str]:
-    lines = head.decode("utf-8", "replace").split("\r\n")
-    if not lines[0].startswith("WARC/1."):
-        raise BadRecord("no version line")
-    fields = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(":")
-        if not colon:
-            raise BadRecord("bad header line")
-        fields[name.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdigit():
-        raise BadRecord("no content length")
-    return fields
+        data += more
+        complete = complete or head.read(data, 0)
+        if complete and len(data) > head.line + head.size + len(END):
+            raise BadRecord("block does not end")
+    if not complete:
+        raise BadRecord("header does not end")
+    if data[head.line + head.size:] != END:
+        raise BadRecord("block does not end")
+    return head.fields, bytes(data[head.line:head.line + head.size]), at - len(inflater.unused_data)
 
 
 def _record(fields: dict[str, str], block: bytes) -> dict:
@@ -271,35 +338,26 @@ def _record(fields: dict[str, str], block: bytes) -> dict:
 
 
 def _plain_record(window: _Window, start: int) -> tuple[dict, int]:
-    cut = window.line_end(start, MAX_HEAD)
-    if cut < 0:
-        raise BadRecord("header does not end")
-    fields = _headers(window.get(start, cut))
-    first = cut + len(END)
-    size = int(fields["content-length"])
-    if not window.fill(first + size + len(END)) or window.get(first + size, first + size + len(END)) != END:
+    head = _Head(start)
+    while not head.read(window.data, window.base):
+        if not window.fill(window.base + len(window.data) + 1):
+            raise BadRecord("header does not end")
+    first, last = head.line, head.line + head.size
+    if window.peek(last, len(END)) != END:  # seen before a block of a wrong length is read
         raise BadRecord("block does not end")
-    return _record(fields, window.get(first, first + size)), first + size + len(END)
+    return _record(head.fields, window.get(first, last)), last + len(END)
 
 
 def _packed_record(window: _Window, start: int) -> tuple[dict, int]:
-    data, end = _unpacked(window, start)
-    cut = data.find(END)
-    if cut < 0:
-        raise BadRecord("header does not end")
-    fields = _headers(data[:cut])
-    size = int(fields["content-length"])
-    first = cut + len(END)
-    if data[first + size:] != END:
-        raise BadRecord("block does not end")
-    return _record(fields, data[first:first + size]), end
+    fields, block, end = _unpacked(window, start)
+    return _record(fields, block), end
 
 
 def salvage(stream) -> Iterator[dict]:
     """Records and gaps of one archive, in order; ``stream`` has ``read(n)``."""
     window, at, gap, reason = _Window(stream), 0, None, None
     while True:
-        window.drop(at if gap is None else max(gap, at))
+        window.drop(at)
         if not window.fill(at + 1):
             break
         lead = window.get(at, at + len(VERSION))
@@ -313,11 +371,10 @@ def salvage(stream) -> Iterator[dict]:
         except BadRecord as error:
             if gap is None:
                 gap, reason = at, str(error)
-            found = [x for x in (window.find(GZIP, at + 1), window.find(VERSION, at + 1)) if x >= 0]
-            if not found:
+            at = window.seek_mark(at + 1)
+            if at < 0:
                 at = window.base + len(window.data)
                 break
-            at = min(found)
             continue
         if gap is not None:
             yield {"kind": "gap", "reason": reason, "start": gap, "end": at}
@@ -340,7 +397,7 @@ def read_archives(archives: DataFrame, keep_payload: bool = True) -> DataFrame:
             for name in batch["archive"]:
                 store, path = fs.FileSystem.from_uri(name)
                 rows, size = [], 0
-                with store.open_input_stream(path, compression=None) as stream:
+                with store.open_input_file(path) as stream:
                     for row in salvage(stream):
                         if not keep_payload:
                             row["payload"] = None

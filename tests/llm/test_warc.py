@@ -1,8 +1,11 @@
 """Archives written and read back, whole and damaged."""
 
 import base64
+import gzip
 import hashlib
 import io
+import random
+import tracemalloc
 
 import pytest
 
@@ -102,3 +105,53 @@ def test_cut_and_junk(packed):
 
 def test_empty_file():
     assert [r["kind"] for r in warc.salvage(io.BytesIO(b""))] == ["gap"]
+
+
+class Watched(warc._Window):
+    most = 0
+
+    def fill(self, upto):
+        done = super().fill(upto)
+        Watched.most = max(Watched.most, len(self.data))
+        return done
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_holds_little_of_a_large_archive(packed, monkeypatch):
+    rng = random.Random(3)
+    parts = [warc.record_bytes(str(i), f"http://h/{i}", rng.randbytes(100_000), None) for i in range(400)]
+    parts = [warc.gzip_member(r) if packed else r for r in parts]
+    parts[7] = parts[7][:50_000] + bytes([parts[7][50_000] ^ 0x5A]) + parts[7][50_001:]
+    if not packed:  # a length that reaches far into the file
+        parts[9] = parts[9].replace(b"Content-Length: 1", b"Content-Length: 222221", 1)
+    monkeypatch.setattr(warc, "_Window", Watched)
+    Watched.most = 0
+    rows = list(warc.salvage(io.BytesIO(b"".join(parts))))
+    lost = {"7"} if packed else {"7", "9"}
+    assert ids(rows) == [str(i) for i in range(400) if str(i) not in lost]
+    assert Watched.most < 4 << 20
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_heads_of_any_length(packed):
+    long = warc.record_bytes("1", "http://h/" + "x" * 3_000_000, b"long head", None)
+    parts = [members(False)[0], long, members(False)[2]]
+    rows = list(warc.salvage(io.BytesIO(b"".join(warc.gzip_member(p) if packed else p for p in parts))))
+    assert ids(rows) == ["0", "1", "2"] and len(rows[1]["target_uri"]) == 3_000_009
+
+
+def test_members_that_inflate_without_end():
+    good = members(True)
+    bombs = [gzip.compress(b"\0" * 30_000_000), gzip.compress(members(False)[1] + b"\0" * 30_000_000),
+             gzip.compress(b"WARC/1.1\r\n" + b"a" * 30_000_000)]
+    tracemalloc.start()
+    rows = list(warc.salvage(io.BytesIO(b"".join([good[0], bombs[0], good[2], bombs[1], good[3], bombs[2]]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids(rows) == ["0", "2", "3"] and peak < 4 << 20
+    assert sum(r["kind"] == "gap" for r in rows) == 3
+
+
+def test_a_field_that_goes_on():
+    record = members(False)[0].replace(b"\r\nContent-Length", b"\r\nX-Note: one\r\n two\r\nContent-Length", 1)
+    assert ids(warc.salvage(io.BytesIO(record))) == ["0"]
