@@ -8,7 +8,8 @@ group takes one of three ways, which give the same result (see ``spaces``):
 * broadcast - the group is large but the models of all large groups fit the broadcast budget:
   every iteration is a map over the cached training rows with one partial sum per cluster and
   task, merged by a small shuffle;
-* streamed - the models do not fit: rows are cut into slices, and every slice meets the
+  More models than that are dealt into a few rounds of this kind;
+* streamed - the model of a group, or too many models, do not fit: rows are cut into slices, and every slice meets the
   centroids of its group in one sorted partition. The centroids pass by in Arrow batches, so a
   task holds one slice and one batch, whatever the number of centroids.
 
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from nestmeans.functions.vectors import HASH_BITS, hash_order
-from nestmeans.operators import bounds, kernels, limbs, spaces, training
+from nestmeans.operators import bounds, kernels, limbs, packed, spaces, training
 from nestmeans.operators.spaces import Space, space_of
 from nestmeans.options import KMeansOptions
 from nestmeans.schemas import CENTROIDS, payload_bytes, require_columns
@@ -46,6 +47,7 @@ _TASK_FLOPS = 1e9
 _CELL_FLOPS = 1e10
 _CELL_TASKS = 200_000
 _MERGE_BYTES = 32 << 20
+_ROUNDS = 16
 
 # ``at`` is the position of the row's centre in the model, -1 before the first pass, ``low`` the bound
 # of its distance to all others.
@@ -112,7 +114,7 @@ def kmeans_assign(
         if df.isStreaming or not df.isEmpty():
             raise ValueError("no centroids to assign to")
         return df.sparkSession.createDataFrame([], out)
-    space = space_of(options.scale)
+    space = space_of(options.scale, element_of(df, vec))
     model = centroids.select(
         F.lit(0).cast("bigint").alias(G),
         F.col("cluster").cast("int"),
@@ -194,6 +196,7 @@ class Plan:
     flops: float
     max_k: int
     null_groups: int
+    table: pa.Table | None = None  # the groups themselves, where they are few
 
 
 def make_plans(sizes: DataFrame, dim: int, options: KMeansOptions, whole: bool):
@@ -216,7 +219,7 @@ def _local_plan(spark: SparkSession, part: pa.Table, schema: T.StructType) -> Pl
     m, k = part["m"].to_numpy(), part["k"].to_numpy()
     return Plan(
         spark.createDataFrame(part, schema=schema), len(m), float(m.sum()), int(k.sum()),
-        float((m * k).sum()), int(k.max(initial=0)), part[G].null_count,
+        float((m * k).sum()), int(k.max(initial=0)), part[G].null_count, part,
     )
 
 
@@ -296,8 +299,37 @@ def fit_groups(
 
 
 def fit_large(rows: DataFrame, plan: Plan, dim: int, space: Space, options: KMeansOptions) -> DataFrame:
-    fits = plan.centers * dim * 8 <= options.broadcast_bytes
-    return (_fit_broadcast if fits else _fit_streamed)(rows, plan, dim, space, options)
+    """Models of groups beyond one task: in broadcast rounds as far as they go, streamed beyond."""
+    rounds, streamed = broadcast_rounds(rows.sparkSession, plan, dim, options)
+    models = [_fit_broadcast(rows, part, dim, space, options) for part in rounds]
+    if streamed is not None:
+        models.append(_fit_streamed(rows, streamed, dim, space, options))
+    return reduce(DataFrame.unionByName, models)
+
+
+def broadcast_rounds(spark: SparkSession, plan: Plan, dim: int, options: KMeansOptions) -> tuple[list[Plan], Plan | None]:
+    """The groups dealt into at most ``_ROUNDS`` rounds whose models fit the broadcast budget, and the rest.
+
+    Largest models first, each into the first round with room. Groups beyond the budget, those that no round has room
+    for, and plans of more than ``_LOCAL_PLAN_ROWS`` groups that do not fit one round are streamed. Every way gives
+    the same models, so this decides the time only: a round reads the rows once more.
+    """
+    budget = options.broadcast_bytes // (8 * dim)
+    if plan.centers <= budget:
+        return [plan], None
+    if plan.table is None:
+        return [], plan
+    k = plan.table["k"].to_numpy()
+    order = np.lexsort((plan.table[G].to_numpy(zero_copy_only=False), -k))
+    room, dealt = np.full(_ROUNDS, budget, dtype=np.int64), np.full(len(k), _ROUNDS)
+    for i in order[np.searchsorted(-k[order], -budget):]:
+        free = np.flatnonzero(room >= k[i])
+        if len(free):
+            dealt[i] = free[0]
+            room[free[0]] -= k[i]
+    parts = [plan.table.filter(pa.array(dealt == r)) for r in range(_ROUNDS + 1)]
+    plans = [_local_plan(spark, part, plan.frame.schema) if part.num_rows else None for part in parts]
+    return [p for p in plans[:-1] if p is not None], plans[-1]
 
 
 def _fit_local(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
@@ -479,10 +511,11 @@ def _fit_broadcast(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
         model = Model.of(starts.toArrow(), dim, space)
         _check_starts(len(model.centers), plan)
         sample = _sample(rows, plan, starts, restart).select(G, ID, "vec")
-        sample = attach(sample, slices, "slices").repartition(
+        # packed before they move: rows of zeros and ones are shuffled and cached as bits
+        sample = packed.packed_rows(attach(sample, slices, "slices"), "vec", dim, space, "grid").repartition(
             tasks, G, F.pmod(F.xxhash64(ID), F.col("slices"))
         )
-        sample = sample.select(G, "vec").mapInArrow(_packer(dim, space), _PACKED)
+        sample = sample.select(G, "grid", F.lit(-1).cast("int").alias("at"), F.lit(0).cast("float").alias("low"))
         sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
         rows_now, done = sample, []
         for turn in range(options.max_iter):
@@ -506,31 +539,6 @@ def _fit_broadcast(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
     return frame if plan.centers * dim * 8 <= _LOCAL_MODEL_BYTES else checkpoint(frame)
 
 
-def _packer(dim: int, space: Space):
-    """Vectors in one binary value of the space's stored type, which Spark passes on without a look inside:
-    the passes over the cached rows then need no conversion of array elements."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = space.load(kernels.matrix(batch["vec"], dim)).astype(space.stored)
-            ends = pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * (x.itemsize * dim))
-            packed = pa.Array.from_buffers(
-                pa.binary(), len(x), [None, ends, pa.py_buffer(x.tobytes())]
-            )
-            yield pa.record_batch({
-                G: batch[G], "grid": packed, "at": pa.array(np.full(len(x), -1, np.int32)),
-                "low": pa.array(np.zeros(len(x), np.float32)),
-            })
-
-    return pack
-
-
-def _unpacked(column: pa.Array, dim: int, space: Space) -> np.ndarray:
-    kind = np.dtype(space.stored)
-    first = column.offset * kind.itemsize * dim
-    x = np.frombuffer(column.buffers()[2], dtype=kind, count=len(column) * dim, offset=first)
-    return x.reshape(len(column), dim).astype(np.float64)
-
-
 class _Partial:
     """What a task sends: rows, vector sums and distances of its rows, per centre of a model."""
 
@@ -575,7 +583,7 @@ def _broadcast_pass(spark, rows, model: Model, dim, tasks: int, split: bool):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, groups = _unpacked(batch["grid"], dim, space), batch[G].to_numpy()
+            x, groups = packed.unpack(batch["grid"], dim, space), batch[G].to_numpy()
             if bounded:
                 at, dist, low, _ = m.update(groups, x, batch["at"].to_numpy(), batch["low"].to_numpy())
                 kept = np.nextafter(low.astype(np.float32), np.float32(-np.inf))
@@ -782,14 +790,15 @@ def _slices(n, k, dim: int, options: KMeansOptions, most: int, payload=None):
     return F.greatest(memory, work, F.lit(1)).cast("int").alias("slices")
 
 
-def _sliced(rows: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
-    """Rows (_g, _id, grid, payload) hash-partitioned by group and slice.
+def _sliced(rows: DataFrame, slices: DataFrame, tasks: int, space: Space) -> DataFrame:
+    """Rows (_g, _id, packed, payload) hash-partitioned by group and slice.
 
     A slice is a fixed hash of the row id, so a group of any size is spread over many tasks.
     """
     slice_ = F.pmod(F.xxhash64(ID), F.col("slices")).cast("int").alias("slice")
     cut = attach(rows, slices, "slices").select(
-        G, slice_, F.lit(0).alias("kind"), F.col(ID).alias("at"), "grid", "payload"
+        G, slice_, F.lit(0).alias("kind"), F.col(ID).alias("at"), "packed",
+        F.lit(None).cast(f"array<{space.element}>").alias("grid"), "payload",
     )
     return cut.repartition(tasks, G, "slice")
 
@@ -806,6 +815,7 @@ def _meet(sliced: DataFrame, centers: DataFrame, slices: DataFrame, tasks: int)
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
         F.lit(1).alias("kind"),
         F.col("cluster").cast("bigint").alias("at"),
+        F.lit(None).cast("binary").alias("packed"),
         "grid",
         F.lit(None).cast(payload).alias("payload"),
     )
@@ -836,9 +846,7 @@ class _Cell:
             return
         if self.x is None:
             self.rows = pa.Table.from_batches(self.batches)
-            self.x = kernels.matrix(self.rows["grid"], self.dim).astype(np.float64)
-            if isinstance(self.space, spaces.Plain):
-                self.space.load(self.x)
+            self.x = packed.unpack(self.rows["packed"], self.dim, self.space)
             self.cluster = np.zeros(len(self.x), dtype=np.int64)
             self.dist = np.full(len(self.x), np.inf)
         at, found = self.space.nearest(self.x, self.space.prepare(centers))
@@ -883,10 +891,10 @@ def _fit_streamed(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
         starts = checkpoint(_start_rows(rows, plan, restart, space))
         _check_starts(starts.count(), plan)
         sample = _sample(rows, plan, starts, restart).select(
-            G, ID, space.column("vec").alias("grid"),
-            F.lit(None).cast("int").alias("payload"),
+            G, ID, "vec", F.lit(None).cast("int").alias("payload"),
         )
-        sample = _sliced(sample, slices, tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        sample = packed.packed_rows(sample, "vec", dim, space)
+        sample = _sliced(sample, slices, tasks, space).persist(StorageLevel.MEMORY_AND_DISK)
         model, held = starts.select(G, "cluster", "grid"), []
         for turn in range(options.max_iter):
             met = _meet(sample, model, slices, tasks)
@@ -1015,9 +1023,10 @@ def assign_groups(
     rows = df.select(
         group.cast("bigint").alias(G),
         F.col(row_id).cast("bigint").alias(ID),
-        space.column(vec).alias("grid"),
+        F.col(vec).alias("vec"),
         F.struct(*names).alias("payload"),
     )
+    rows = packed.packed_rows(rows, "vec", dim, space)
     sizes = df.groupBy(group.cast("bigint").alias(G)).agg(
         F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(df, set())).alias("bytes")
     )
@@ -1043,7 +1052,7 @@ def assign_groups(
     schema = T.StructType(
         [T.StructField("payload", rows.schema["payload"].dataType), *out.fields[len(names):]]
     )
-    met = _meet(_sliced(rows, slices, tasks), model, slices, tasks)
+    met = _meet(_sliced(rows, slices, tasks, space), model, slices, tasks)
     return met.mapInArrow(meet, schema).select("payload.*", *out.names[len(names):])
 
 

@@ -56,6 +56,7 @@ class Plain:
 
     element = "double"
     unit = 1.0
+    one = 1.0
     # the centroids returned are means: none is split after the last pass
     split_last = False
 
@@ -168,6 +169,11 @@ class Grid:
     def unit(self) -> float:
         return float(self.scale) ** 2
 
+    @property
+    def one(self) -> float:
+        """What a coordinate of 1 becomes."""
+        return float(np.floor(float(self.scale) + 0.5))
+
     def column(self, vec: Column | str) -> Column:
         return to_grid(vec, self.scale)
 

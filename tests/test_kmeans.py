@@ -318,3 +318,79 @@ def test_merge_is_sized_by_what_comes_in():
     assert km.merge_tasks(8, 64, 8, 32) == (1, 1)
     tasks, salts = km.merge_tasks(1, 4096, 100_000, 4000)
     assert tasks > 10 and salts > 10
+
+
+def binary_rows(spark, n=600, dim=256, mixed=False):
+    rng = np.random.default_rng(11)
+    heads = rng.random((6, dim)) < 0.3
+    x = (heads[rng.integers(6, size=n)] ^ (rng.random((n, dim)) < 0.03)).astype(int)
+    if mixed:
+        x[::7] *= -3
+    rows = [(i, i % 3, x[i].tolist()) for i in range(n)]
+    return spark.createDataFrame(rows, "row_id bigint, cluster_k1 int, fp array<tinyint>").repartition(5)
+
+
+@pytest.mark.parametrize("scale", [None, 100])
+@pytest.mark.parametrize("mixed", [False, True])
+def test_ways_agree_on_binary_rows(spark, scale, mixed):
+    rows = binary_rows(spark, mixed=mixed)
+    found = [model_rows(km.kmeans_fit(rows, 9, options=options(w, scale=scale))) for w in WAYS]
+    assert found[0] == found[1] == found[2]
+    model = km.kmeans_fit(rows, 9, options=options("local", scale=scale))
+    near = [
+        {(r.row_id, r.cluster, r.dist) for r in km.kmeans_assign(rows, model, options=options(w, scale=scale)).collect()}
+        for w in ("broadcast", "streamed")
+    ]
+    assert near[0] == near[1] and len(near[0]) == 600
+
+
+@pytest.mark.parametrize("way", ["broadcast", "streamed"])
+def test_binary_rows_are_cached_as_bits(spark, monkeypatch, way):
+    """256 bits are held and shuffled as 32 bytes, in both ways that cache rows."""
+    lengths = []
+    frames = type(spark.range(1))
+    persist = frames.persist
+
+    def watch(self, *args):
+        if "packed" in self.columns or self.columns == ["_g", "grid", "at", "low"]:
+            column = "packed" if "packed" in self.columns else "grid"
+            lengths.extend(r[0] for r in self.select(F.length(column)).distinct().collect())
+        return persist(self, *args)
+
+    monkeypatch.setattr(frames, "persist", watch)
+    km.kmeans_fit(binary_rows(spark), 5, options=options(way, scale=None, max_iter=1))
+    assert set(lengths) == {32}
+
+
+def test_plans_of_broadcast_rounds(spark):
+    """1,000 groups of 500,000 rows with 1,000 clusters each: in rounds, none streamed."""
+    groups = [(g, 500_000, 1000, 0) for g in range(1000)]
+    sizes = spark.createDataFrame(groups, "_g bigint, n bigint, k bigint, bytes bigint")
+    o = KMeansOptions()
+    _, large = km.make_plans(sizes, 256, o, whole=True)
+    rounds, streamed = km.broadcast_rounds(spark, large, 256, o)
+    assert streamed is None and sum(p.groups for p in rounds) == 1000 and len(rounds) == 16
+    assert all(p.centers * 256 * 8 <= o.broadcast_bytes for p in rounds)
+    groups = [(0, 10**10, 10**7, 0), *((g, 10**8, 40_000, 0) for g in range(1, 20))]
+    sizes = spark.createDataFrame(groups, "_g bigint, n bigint, k bigint, bytes bigint")
+    _, large = km.make_plans(sizes, 256, o, whole=True)
+    rounds, streamed = km.broadcast_rounds(spark, large, 256, o)
+    assert (len(rounds), streamed.groups, streamed.centers) == (16, 4, 10**7 + 3 * 40_000)
+    every = sorted(r._g for p in [*rounds, streamed] for r in p.frame.collect())
+    assert every == list(range(20))
+
+
+def test_rounds_and_streams_mix(spark, monkeypatch):
+    rows = binary_rows(spark, dim=12).withColumn("cluster_k1", F.when(F.col("row_id") < 330, 9).otherwise(F.col("cluster_k1")))
+
+    def run(**kw):
+        details, centers = stage2(rows, value=20.0, options=KMeansOptions(max_iter=3, **kw))
+        pick = ("row_id", "cluster_k1", "CLUSTER_k2", "DISTANCE_k2")
+        return [sorted(map(tuple, d.select(*pick).collect())) for d in (details, centers)]
+
+    want, calls = run(), []
+    for way in ("_fit_broadcast", "_fit_streamed"):
+        fit = getattr(km, way)
+        monkeypatch.setattr(km, way, lambda rows, plan, *a, fit=fit, way=way: calls.append((way, plan.groups)) or fit(rows, plan, *a))
+    assert run(local_bytes=0, broadcast_bytes=8 * 12 * 5) == want
+    assert calls == [("_fit_broadcast", 1)] * 3 + [("_fit_streamed", 1)]
