@@ -1,20 +1,25 @@
 """Packing by lexical retrieval: documents that share rare tokens fill a training window together.
 
-Each task cuts its rows into shards of about ``shard_tokens`` tokens, a bound that does not grow with
-the data, and builds a BM25 inverted index over the token ids of each shard. Documents are taken as
-seeds in order; the windows a seed fills alone come first, and its rest begins a window that unused
-neighbours fill in the order of their BM25 score (ties: row order), then any other unused
-documents of the shard. The document that no longer fits is cut: its head completes the window
-and its tail stays unused. So every window is full but the shard's last, and that one is cut into
-powers of two, which need no padding.
-
-Map-only: texts are tokenized once, where they are read, and neither text nor ids are shuffled or stored.
-Only words not seen before are tokenized, many in one call; the parts of a text between white space
-are independent of each other for a tokenizer that drops it, so results equal those of whole texts.
+1. Texts are tokenized once, where they are read, and the ids are stored. Only words not seen before are
+   tokenized, many in one call; the parts of a text between white space are independent of each other for a
+   tokenizer that drops it, so results equal those of whole texts. Every task counts in how many of its
+   documents a token occurs; the counts of all tasks are added up (one row per token of the vocabulary).
+2. Documents are dealt to shards by content, whichever file they stand in: each gets ``DEAL`` min-hashes of its
+   tokens, drawn with the fourth power of the IDF over all documents as weight, so two documents agree in one about as often as
+   their rare tokens overlap. A range sort by them puts such documents side by side; its last key is the
+   row, so a group of equal documents of any size spreads over tasks.
+3. Each task cuts its sorted rows into shards of about ``shard_tokens`` tokens, a bound that does not grow with
+   the data, and builds a BM25 inverted index over the token ids of each shard. Documents are taken as
+   seeds in order; the windows a seed fills alone come first, and its rest begins a window that unused
+   neighbours fill in the order of their BM25 score (ties: row order), then any other unused
+   documents of the shard. The document that no longer fits is cut: its head completes the window
+   and its tail stays unused. So every window is full but the shard's last, and that one is cut into
+   powers of two, which need no padding.
 
 Defined cases: NULL and empty texts consist of the end token; repeated rows and NULL ids are packed like
-others; a text longer than a window is cut; zero rows give zero rows. ``sequence_id`` holds the task and
-the number of the window in it.
+others; a text longer than a window is cut; equal min-hashes and scores go by row order; columns besides id and text,
+whatever their names, are not read; zero rows give zero rows. ``sequence_id`` holds the task and the number of the
+window in it.
 """
 
 from __future__ import annotations
@@ -31,13 +36,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestmeans.llm.words import text_offsets
+from nestmeans.llm.words import mix, text_offsets
+from nestmeans.scratch import materialize
 
 WINDOW = 4096
 END_TOKEN = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
 CACHED_WORDS = 400_000
+DEAL = 4
+TASK_SHARDS = 4  # shards a task packs, as long as that takes no more than MAX_TASKS tasks
+MAX_TASKS = 20_000
 TOKENIZER = "word_bpe_49k.json"
 _BEFORE_MARK = re.compile(rb"([a-z0-9])(?=[!-&(-/:-@[-`{-~])")
 
@@ -146,6 +155,8 @@ def pack_shard(ids: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tup
         scores = index.scores(seed)
         ranked = np.argsort(-scores, kind="stable")
         for other in ranked[scores[ranked] > 0].tolist() + [-1]:
+            if not room:
+                break
             while room and (other >= 0 or unused < len(ids)):
                 at = other if other >= 0 else unused
                 length = min(room, total[at] - done[at])
@@ -171,19 +182,100 @@ def pack_shard(ids: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tup
             yield part
 
 
+def tokenized(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_token: int = END_TOKEN, path: str | None = None
+) -> DataFrame:
+    """Rows ``(key, row, ids)`` of all documents, and one per task with the numbers of its documents that hold each
+    token (``terms``, ``counts``; the term after the vocabulary counts all ids)."""
+    known = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = known.schema[0].dataType.simpleString()
+    end = np.array([end_token], "<u4").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = shared_tokens(path)
+        row = TaskContext.get().partitionId() << 33
+        held_by = np.zeros(max(tokens.model.get_vocab_size(), end_token + 1) + 1, np.int64)
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            text, offsets = batch.column(1), text_offsets(batch.column(1))
+            data = text.buffers()[2]
+            data = memoryview(data) if data is not None else memoryview(b"")
+            first = 0
+            while first < len(text):
+                last = int(np.searchsorted(offsets, offsets[first] + (1 << 20), "right")) - 1
+                last = min(len(text), max(first + 1, last))
+                texts = [bytes(data[offsets[i]:offsets[i + 1]]) for i in range(first, last)]
+                ids = [coded + end for coded in tokens.encode(texts)]
+                for coded in ids:
+                    held_by[np.unique(np.frombuffer(coded, "<u4"))] += 1
+                    held_by[-1] += len(coded) // 4
+                n = last - first
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(first, n), pa.array(np.arange(row, row + n)), pa.array(ids, pa.binary()),
+                    pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64())),
+                ], ["key", "row", "ids", "terms", "counts"])
+                row += n
+                first = last
+        if kind is not None:
+            terms = np.flatnonzero(held_by)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                pa.array([terms], pa.list_(pa.int32())), pa.array([held_by[terms]], pa.list_(pa.int64())),
+            ], ["key", "row", "ids", "terms", "counts"])
+
+    return known.mapInArrow(run, f"key {kind}, row bigint, ids binary, terms array<int>, counts array<bigint>")
+
+
+def draws(held_by: np.ndarray, documents: int) -> np.ndarray:
+    """A row per min-hash with the draw of every token: exponential, at a rate of the fourth power of its IDF. A token
+    of one document or of all draws infinity, so it never brings documents together."""
+    idf = np.log(np.maximum(documents, 1) / np.maximum(held_by, 1))
+    rate = np.where(held_by > 1, idf ** 4, 0.0)
+    seeds = np.arange(DEAL * len(held_by), dtype=np.uint64).reshape(DEAL, -1)
+    uniform = ((mix(seeds) >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+    return np.where(rate > 0, -np.log(uniform) / np.where(rate > 0, rate, 1.0), np.inf)
+
+
+def dealt(stored: DataFrame, shard_tokens: int, end_token: int) -> DataFrame:
+    """The documents of ``tokenized``, sorted in tasks by what their rare tokens share."""
+    parts = stored.filter("terms is not null").select(F.explode(F.arrays_zip("terms", "counts")).alias("t"))
+    total = parts.groupBy("t.terms").agg(F.sum("t.counts").alias("n")).toArrow()  # one row per token at most
+    terms, n = total.column(0).to_numpy(), total.column(1).to_numpy()
+    held_by = np.zeros(int(terms.max()) if len(terms) else end_token + 1, np.int64)
+    held_by[terms[terms < len(held_by)]] = n[terms < len(held_by)]
+    size = int(n[terms == len(held_by)].sum())
+    drawn = draws(held_by, int(held_by[end_token]))
+    tasks = min(MAX_TASKS, max(1, size // (TASK_SHARDS * shard_tokens)))
+    names = [f"deal{i}" for i in range(DEAL)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(2)
+            ends = text_offsets(ids) // 4
+            flat = np.frombuffer(ids.buffers()[2], "<u4", int(ends[-1] - ends[0]), int(4 * ends[0]))
+            least = [np.minimum.reduceat(d[flat], ends[:-1] - ends[0]) for d in drawn]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, least)], [*batch.schema.names, *names])
+
+    documents = stored.filter("ids is not null").select("key", "row", "ids")
+    kind = documents.schema["key"].dataType.simpleString()
+    keyed = documents.mapInArrow(run, f"key {kind}, row bigint, ids binary, " + ", ".join(f"{c} double" for c in names))
+    return keyed.repartitionByRange(tasks, *names, "row").sortWithinPartitions(*names, "row").select("key", "ids")
+
+
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_token: int = END_TOKEN,
     path: str | None = None, shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    known = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = known.schema[0].dataType.simpleString()
+    stored = materialize(tokenized(docs, id_col, text_col, end_token, path), "tokens")
+    kind = stored.schema["key"].dataType.simpleString()
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{n} bigint" for n in names[1:])
-    end = np.array([end_token], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared_tokens(path)
         sequence = TaskContext.get().partitionId() << 33
         keys: list[pa.Array] = []
         held: list[bytes] = []
@@ -207,22 +299,13 @@ def pack(
             return pa.RecordBatch.from_arrays([own, *(pa.array(c, pa.int64()) for c in columns[1:])], names)
 
         for batch in batches:
-            text, offsets = batch.column(1), text_offsets(batch.column(1))
-            first = 0
-            while first < len(text):
-                last = int(np.searchsorted(offsets, offsets[first] + (1 << 20), "right")) - 1
-                last = min(len(text), max(first + 1, last))
-                data = text.buffers()[2]
-                data = memoryview(data) if data is not None else memoryview(b"")
-                texts = [bytes(data[offsets[i]:offsets[i + 1]]) for i in range(first, last)]
-                for i, coded in enumerate(tokens.encode(texts), first):
-                    keys.append(batch.column(0).slice(i, 1))
-                    held.append(coded + end)
-                    size += len(held[-1]) // 4
-                    if size >= shard_tokens:
-                        yield flush()
-                first = last
+            for i, coded in enumerate(batch.column(1)):
+                keys.append(batch.column(0).slice(i, 1))
+                held.append(coded.as_py())
+                size += len(held[-1]) // 4
+                if size >= shard_tokens:
+                    yield flush()
         if held:
             yield flush()
 
-    return known.mapInArrow(run, schema)
+    return dealt(stored, shard_tokens, end_token).mapInArrow(run, schema)

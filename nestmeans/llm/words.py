@@ -60,7 +60,7 @@ def pieces(text: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int]]:
 
 
 def text_offsets(text: pa.Array) -> np.ndarray:
-    kind = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(text.type) or pa.types.is_large_binary(text.type) else np.int32
     return np.frombuffer(text.buffers()[1], kind)[text.offset:text.offset + len(text) + 1].astype(np.int64)
 
 

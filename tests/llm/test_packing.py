@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from nestmeans.llm import packing
@@ -97,3 +98,45 @@ def test_words_in_pieces_equal_whole_texts(model):
     found = packing.Tokens(None, cached=500).encode([t.encode() for t in texts])
     for text, ids in zip(texts, found):
         assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, text
+
+
+def test_topics_meet_whatever_the_files(spark, model):
+    """Planted topics spread over all rows: the share of a window's ids that belong to its seed's topic does not depend
+    on the order and partitions of the rows."""
+    rnd = random.Random(3)
+    words = sorted(w.removesuffix("</w>") for w in model.get_vocab())
+    words = [w for w in words if w.isascii() and w.isalpha() and len(w) > 4 and len(model.encode(w, add_special_tokens=False).ids) == 1]
+    words = rnd.sample(words, 400 + 300 * 5)
+    common = words[:400]
+    rows = []
+    for i in range(3000):
+        topic = i % 300
+        text = rnd.choices(common, k=40) + rnd.choices(words[400 + 5 * topic:405 + 5 * topic], k=20)
+        rnd.shuffle(text)
+        rows.append((i, " ".join(text)))
+    shares = []
+    for seed, parts in ((1, 1), (2, 8)):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        windows = collections.defaultdict(list)
+        for r in packing.pack(df, window=1024, shard_tokens=20_000).collect():
+            windows[r["sequence_id"]].append((r["offset"], r["doc_id"] % 300))
+        same = pairs = 0
+        for pieces in windows.values():
+            seed_topic, *others = [t for _, t in sorted(pieces)]
+            same += sum(t == seed_topic for t in others)
+            pairs += len(others)
+        shares.append(same / pairs)
+    assert min(shares) > 0.2 and abs(shares[0] - shares[1]) < 0.05, shares
+
+
+def test_equal_documents_spread_over_tasks(spark):
+    df = spark.createDataFrame([(i, "one text of many copies " * 20) for i in range(2000)], "doc_id bigint, text string")
+    stored = packing.materialize(packing.tokenized(df.repartition(4)), "tokens")
+    tasks = packing.dealt(stored, 5000, packing.END_TOKEN).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 1000
+
+
+def test_draws_leave_out_tokens_that_say_nothing():
+    drawn = packing.draws(np.array([1, 10, 3, 0]), 10)
+    assert np.isinf(drawn[:, [0, 1, 3]]).all() and np.isfinite(drawn[:, 2]).all() and len(set(drawn[:, 2])) == packing.DEAL
