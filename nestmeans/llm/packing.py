@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -48,7 +47,10 @@ DEAL = 4
 TASK_SHARDS = 4  # shards a task packs, as long as that takes no more than MAX_TASKS tasks
 MAX_TASKS = 20_000
 TOKENIZER = "word_bpe_49k.json"
-_BEFORE_MARK = re.compile(rb"([a-z0-9])(?=[!-&(-/:-@[-`{-~])")
+# Classes of bytes, after lower-casing; bytes beyond ASCII are in none.
+_BYTES = np.where(np.arange(256) < 128, np.arange(256), 0)
+_WORD = ((_BYTES >= ord("a")) & (_BYTES <= ord("z"))) | ((_BYTES >= ord("0")) & (_BYTES <= ord("9")))
+_MARK = (_BYTES > 32) & (_BYTES < 127) & (_BYTES != ord("'")) & ~_WORD & ~((_BYTES >= ord("A")) & (_BYTES <= ord("Z")))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -58,7 +60,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Tokens:
-    """Token ids of texts as little-endian 32-bit bytes, with a bounded cache of words."""
+    """Token ids of texts as little-endian bytes of type ``kind``, with a bounded cache of words."""
 
     def __init__(self, path: str | None, cached: int = CACHED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -66,9 +68,11 @@ class Tokens:
 
         self.model = Tokenizer.from_file(path or tokenizer_path())
         self.cached, self.words = cached, {}
+        self.size = self.model.get_vocab_size()
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [self._cut(t) for t in texts]
+        split = self._cut(texts)
         fresh = list(set().union(*split).difference(self.words)) if split else []
         if len(self.words) + len(fresh) > self.cached:
             self.words = {}
@@ -79,19 +83,33 @@ class Tokens:
         return [b"".join(map(get, words)) for words in split]
 
     @staticmethod
-    def _cut(text: bytes) -> list[bytes]:
+    def _cut(texts: list[bytes]) -> list[list[bytes]]:
         """Parts at ASCII white space and before punctuation that follows a letter or digit, where
         the tokenizer cuts as well; A-Z lower-cased as it does, unless a special token may occur."""
-        return text.split() if b"<|" in text else _BEFORE_MARK.sub(rb"\1 ", text.lower()).split()
+        special = [b"<|" in t for t in texts]
+        plain = [b"" if odd else t for t, odd in zip(texts, special, strict=True)]
+        data = np.frombuffer(b"".join(plain).lower(), np.uint8)
+        marks = np.flatnonzero(_WORD[data[:-1]] & _MARK[data[1:]]) + 1
+        bounds = np.cumsum([0, *map(len, plain)])
+        bounds += np.searchsorted(marks, bounds)
+        spaced = np.full(len(data) + len(marks), 32, np.uint8)
+        kept = np.ones(len(spaced), bool)
+        kept[marks + np.arange(len(marks))] = False
+        spaced[kept] = data
+        joined = spaced.tobytes()
+        return [
+            t.split() if odd else joined[a:b].split()
+            for t, odd, a, b in zip(texts, special, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+        ]
 
     def _learn(self, words: list[bytes]) -> None:
         """Tokenize words as one text, and deal its ids to them by their places."""
         texts = [w.decode("utf-8", "replace") for w in words]
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         coded = self.model.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(coded.ids, "<u4").tobytes()
+        ids = np.array(coded.ids, self.kind).tobytes()
         places = np.array([a for a, _ in coded.offsets], np.int64)
-        ends = 4 * np.searchsorted(places, starts[1:], "left")
+        ends = self.kind.itemsize * np.searchsorted(places, starts[1:], "left")
         first = 0
         for word, end in zip(words, ends.tolist(), strict=True):
             self.words[word] = ids[first:end]
@@ -189,12 +207,12 @@ def tokenized(
     token (``terms``, ``counts``; the term after the vocabulary counts all ids)."""
     known = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = known.schema[0].dataType.simpleString()
-    end = np.array([end_token], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared_tokens(path)
         row = TaskContext.get().partitionId() << 33
-        held_by = np.zeros(max(tokens.model.get_vocab_size(), end_token + 1) + 1, np.int64)
+        end = np.array([end_token], tokens.kind).tobytes()
+        held_by, last_at = np.zeros(tokens.size + 1, np.int64), np.zeros(tokens.size, np.int64)
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -208,8 +226,11 @@ def tokenized(
                 texts = [bytes(data[offsets[i]:offsets[i + 1]]) for i in range(first, last)]
                 ids = [coded + end for coded in tokens.encode(texts)]
                 for coded in ids:
-                    held_by[np.unique(np.frombuffer(coded, "<u4"))] += 1
-                    held_by[-1] += len(coded) // 4
+                    found = np.frombuffer(coded, tokens.kind)
+                    places = np.arange(len(found))
+                    last_at[found] = places
+                    held_by[found[last_at[found] == places]] += 1
+                    held_by[-1] += len(found)
                 n = last - first
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, n), pa.array(np.arange(row, row + n)), pa.array(ids, pa.binary()),
@@ -237,15 +258,15 @@ def draws(held_by: np.ndarray, documents: int) -> np.ndarray:
     return np.where(rate > 0, -np.log(uniform) / np.where(rate > 0, rate, 1.0), np.inf)
 
 
-def dealt(stored: DataFrame, shard_tokens: int, end_token: int) -> DataFrame:
+def dealt(stored: DataFrame, shard_tokens: int, end_token: int, tokens: Tokens) -> DataFrame:
     """The documents of ``tokenized``, sorted in tasks by what their rare tokens share."""
     parts = stored.filter("terms is not null").select(F.explode(F.arrays_zip("terms", "counts")).alias("t"))
     total = parts.groupBy("t.terms").agg(F.sum("t.counts").alias("n")).toArrow()  # one row per token at most
     terms, n = total.column(0).to_numpy(), total.column(1).to_numpy()
-    held_by = np.zeros(int(terms.max()) if len(terms) else end_token + 1, np.int64)
-    held_by[terms[terms < len(held_by)]] = n[terms < len(held_by)]
-    size = int(n[terms == len(held_by)].sum())
-    drawn = draws(held_by, int(held_by[end_token]))
+    held_by = np.zeros(tokens.size + 1, np.int64)
+    held_by[terms] = n
+    size, held_by, kind = int(held_by[-1]), held_by[:-1], tokens.kind
+    drawn = draws(held_by, int(held_by[end_token]))  # all documents hold the end token
     tasks = min(MAX_TASKS, max(1, size // (TASK_SHARDS * shard_tokens)))
     names = [f"deal{i}" for i in range(DEAL)]
 
@@ -254,14 +275,15 @@ def dealt(stored: DataFrame, shard_tokens: int, end_token: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             ids = batch.column(2)
-            ends = text_offsets(ids) // 4
-            flat = np.frombuffer(ids.buffers()[2], "<u4", int(ends[-1] - ends[0]), int(4 * ends[0]))
+            at = text_offsets(ids)
+            ends = at // kind.itemsize
+            flat = np.frombuffer(ids.buffers()[2], kind, int(ends[-1] - ends[0]), int(at[0]))
             least = [np.minimum.reduceat(d[flat], ends[:-1] - ends[0]) for d in drawn]
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, least)], [*batch.schema.names, *names])
 
     documents = stored.filter("ids is not null").select("key", "row", "ids")
-    kind = documents.schema["key"].dataType.simpleString()
-    keyed = documents.mapInArrow(run, f"key {kind}, row bigint, ids binary, " + ", ".join(f"{c} double" for c in names))
+    key = documents.schema["key"].dataType.simpleString()
+    keyed = documents.mapInArrow(run, f"key {key}, row bigint, ids binary, " + ", ".join(f"{c} double" for c in names))
     return keyed.repartitionByRange(tasks, *names, "row").sortWithinPartitions(*names, "row").select("key", "ids")
 
 
@@ -270,6 +292,10 @@ def pack(
     path: str | None = None, shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    tokens = Tokens(path)
+    if not 0 <= end_token < tokens.size:
+        raise ValueError(f"the end token {end_token} is none of the {tokens.size} tokens")
+    id_kind = tokens.kind
     stored = materialize(tokenized(docs, id_col, text_col, end_token, path), "tokens")
     kind = stored.schema["key"].dataType.simpleString()
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -278,18 +304,17 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 33
         keys: list[pa.Array] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal keys, held, size, sequence
             columns: list[list[int]] = [[] for _ in names]
-            ids = [np.frombuffer(x, "<u4") for x in held]
-            for pieces in pack_shard(ids, window):
+            for pieces in pack_shard(held, window):
                 offset = 0
                 for at, start, length in pieces:
-                    crc = zlib.crc32(held[at][4 * start:4 * (start + length)])
-                    row = (at, start, length, crc, len(ids[at]), sequence, offset)
+                    crc = zlib.crc32(held[at][start:start + length].astype("<u4"))
+                    row = (at, start, length, crc, len(held[at]), sequence, offset)
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
                     offset += length
@@ -301,11 +326,11 @@ def pack(
         for batch in batches:
             for i, coded in enumerate(batch.column(1)):
                 keys.append(batch.column(0).slice(i, 1))
-                held.append(coded.as_py())
-                size += len(held[-1]) // 4
+                held.append(np.frombuffer(coded.as_py(), id_kind))
+                size += len(held[-1])
                 if size >= shard_tokens:
                     yield flush()
         if held:
             yield flush()
 
-    return dealt(stored, shard_tokens, end_token).mapInArrow(run, schema)
+    return dealt(stored, shard_tokens, end_token, tokens).mapInArrow(run, schema)

@@ -97,7 +97,7 @@ def test_words_in_pieces_equal_whole_texts(model):
     texts = ["".join(rnd.choices(alphabet, k=rnd.randrange(40))) for _ in range(3000)]
     found = packing.Tokens(None, cached=500).encode([t.encode() for t in texts])
     for text, ids in zip(texts, found):
-        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(ids, "<u2").tolist() == model.encode(text, add_special_tokens=False).ids, text
 
 
 def test_topics_meet_whatever_the_files(spark, model):
@@ -133,7 +133,7 @@ def test_topics_meet_whatever_the_files(spark, model):
 def test_equal_documents_spread_over_tasks(spark):
     df = spark.createDataFrame([(i, "one text of many copies " * 20) for i in range(2000)], "doc_id bigint, text string")
     stored = packing.materialize(packing.tokenized(df.repartition(4)), "tokens")
-    tasks = packing.dealt(stored, 5000, packing.END_TOKEN).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    tasks = packing.dealt(stored, 5000, packing.END_TOKEN, packing.Tokens(None)).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert len(tasks) > 4 and max(r["count"] for r in tasks) < 1000
 
 
