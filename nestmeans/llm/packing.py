@@ -42,7 +42,7 @@ WINDOW = 4096
 END_TOKEN = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 DEAL = 4
 TASK_SHARDS = 4  # shards a task packs, as long as that takes no more than MAX_TASKS tasks
 MAX_TASKS = 20_000
@@ -60,23 +60,27 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Tokens:
-    """Token ids of texts as little-endian bytes of type ``kind``, with a bounded cache of words."""
+    """Token ids of texts as little-endian bytes of type ``kind``, with a cache of words that holds
+    about ``cached`` of them: those met since it was last half full, and those of the half before."""
 
     def __init__(self, path: str | None, cached: int = CACHED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or tokenizer_path())
-        self.cached, self.words = cached, {}
+        self.cached, self.words, self.older = cached, {}, {}
         self.size = self.model.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = self._cut(texts)
-        fresh = list(set().union(*split).difference(self.words)) if split else []
-        if len(self.words) + len(fresh) > self.cached:
-            self.words = {}
-            fresh = list(set().union(*split))
+        wanted = set().union(*split).difference(self.words)
+        if 2 * (len(self.words) + len(wanted)) > self.cached:  # words in use come back from the older half
+            self.older, self.words = self.words, {}
+            wanted = set().union(*split)
+        known = wanted.intersection(self.older)
+        self.words.update(zip(known, map(self.older.__getitem__, known)))
+        fresh = list(wanted.difference(known))
         for start in range(0, len(fresh), 4096):
             self._learn(fresh[start:start + 4096])
         get = self.words.__getitem__
