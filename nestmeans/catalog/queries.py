@@ -515,7 +515,8 @@ def clusters_roundtrip(spark, folder):
     rows = table(spark, folder, "embeddings").withColumn("cluster_k1", F.col("label"))
     sinks.write_clusters(rows, path)
     return files.read_clusters(spark, path).select(
-        "vec_id", F.col("cluster_k1").cast("bigint").alias("cluster_k1")
+        "vec_id", F.col("cluster_k1").cast("bigint").alias("cluster_k1"),
+        joined(F.transform("embedding", lambda x: F.floor(x.cast("double") * (1 << 24)))).alias("embedding"),
     )
 
 
@@ -542,7 +543,8 @@ def recompress(spark, folder):
     path = scratch_path(spark, "orders")
     sinks.recompress(spark, f"{folder}/orders.parquet", path, "gzip", 9)
     rows = spark.read.parquet(path)
-    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    day = F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate")
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", day, "o_orderpriority")
 
 
 def split_parts(spark, folder):
