@@ -5,6 +5,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestmeans.operators import clusters
 from nestmeans.operators import kmeans as km
@@ -394,3 +395,34 @@ def test_rounds_and_streams_mix(spark, monkeypatch):
         monkeypatch.setattr(km, way, lambda rows, plan, *a, fit=fit, way=way: calls.append((way, plan.groups)) or fit(rows, plan, *a))
     assert run(local_bytes=0, broadcast_bytes=8 * 12 * 5) == want
     assert calls == [("_fit_broadcast", 1)] * 3 + [("_fit_streamed", 1)]
+
+
+def test_assignment_in_rounds(spark, monkeypatch):
+    """A model beyond the budget whose groups fit it: no centroid is copied to slices, and rows without a group fail."""
+    rows = binary_rows(spark, dim=12)
+    groups = [r[0] for r in rows.select("cluster_k1").distinct().sort("cluster_k1").collect()]
+    model = spark.createDataFrame(
+        [(g, c, [int((c >> i) & 1) for i in range(12)]) for g in groups for c in range(4)], "_g bigint, cluster int, grid array<int>"
+    )
+    out = T.StructType([*rows.schema.fields, T.StructField("c", T.IntegerType()), T.StructField("d", T.DoubleType())])
+
+    def run(model, **kw):
+        space = km.space_of(1.0)
+        return km.assign_groups(rows, model, "fp", F.col("cluster_k1"), "row_id", 12, space, KMeansOptions(scale=1.0, **kw), out)
+
+    want = sorted(map(tuple, run(model).select("row_id", "c", "d").collect()))
+    met, meet = [], km._meet
+    monkeypatch.setattr(km, "_meet", lambda *a: met.append(a) or meet(*a))
+    dealt = run(model, broadcast_bytes=8 * 12 * 4)
+    assert sorted(map(tuple, dealt.select("row_id", "c", "d").collect())) == want and not met
+    larger = model.unionByName(model.filter(F.col("_g") == groups[0]).withColumn("cluster", F.col("cluster") + 4))
+    mixed = run(larger, broadcast_bytes=8 * 12 * 4)
+    assert sorted(map(tuple, mixed.select("row_id", "c", "d").collect())) == want and met
+    with pytest.raises(Exception, match="has no centroids"):
+        run(model.filter(F.col("_g") != groups[0]), broadcast_bytes=8 * 12 * 4).collect()
+
+
+def test_slices_copy_no_more_centroids_than_rows(spark):
+    sizes = spark.createDataFrame([(250_000, 31_250)], "n bigint, k bigint")
+    slices = sizes.select(km._slices(F.col("n"), F.col("k"), 512, KMeansOptions(slice_bytes=1 << 40), 400)).first()[0]
+    assert slices == 8

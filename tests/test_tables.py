@@ -234,3 +234,21 @@ def test_assign_on_a_stream(spark, tmp_path):
     query.awaitTermination(120)
     got = {r.row_id: (r.cluster, r.dist) for r in spark.read.parquet(out).collect()}
     assert got == {1: (1, 1.0), 2: (0, 2.0)}
+
+
+def test_document_representatives_store_no_text(spark, tmp_path, monkeypatch):
+    """Tables on the way hold ids and bits: texts of 4 MB leave less than a tenth of that on disk."""
+    import random
+
+    from nestmeans import scratch
+    from nestmeans.catalog.queries import QUERIES
+
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=20_000)) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows.write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path / "scratch"))
+    found = QUERIES["document_representatives"](spark, str(tmp_path / "in"))
+    assert found.count() == found.select("row_id").distinct().count() > 0
+    stored = [os.path.join(d, f) for d, _, names in os.walk(tmp_path / "scratch") for f in names]
+    assert stored and sum(map(os.path.getsize, stored)) < sum(map(len, texts)) / 10
