@@ -140,3 +140,37 @@ def test_equal_documents_spread_over_tasks(spark):
 def test_draws_leave_out_tokens_that_say_nothing():
     drawn = packing.draws(np.array([1, 10, 3, 0]), 10)
     assert np.isinf(drawn[:, [0, 1, 3]]).all() and np.isfinite(drawn[:, 2]).all() and len(set(drawn[:, 2])) == packing.DEAL
+
+
+def test_words_are_learned_once_whatever_stands_beside_them():
+    tokens = packing.Tokens(None)
+    tokens.encode(["café. Éa, (café) caf12 21caf 'Zoë' ÉA".encode(), "café.Éa <|x.y|> 2,1".encode(), b""])
+    assert sorted(w.decode() for w in tokens.words) == sorted("café . Éa , ( ) caf 1 2 'zoë' <|x.y|>".split())
+    assert tokens.encode([]) == [] and tokens.encode([b"", b" \t"]) == [b"", b""]
+
+
+def test_runs_of_letters_need_only_the_model(model, monkeypatch):
+    tokens = packing.Tokens(None)
+    monkeypatch.setattr(tokens, "_learn", lambda words: pytest.fail(f"tokenized with all rules: {words}"))
+    text = "Über naïve Straße ǅ façade ÀÿŸ"
+    ids = np.frombuffer(tokens.encode([text.encode()])[0], "<u2").tolist()
+    assert ids == model.encode(text, add_special_tokens=False).ids
+
+
+def test_letters_beside_all_classes_equal_whole_texts(model):
+    beside = [".", "'", "'s", "1", "a", "x9", "<", "…", "é", "\u0301", "\u0338", "\u0307", "½", "ª"]
+    texts = [f"{b}{c} {c}{b}{c} {c}{c}{b}" for c in [*packing.LATIN, "\u0130", "×", "÷", "ª", "\u0250", "=", "q"] for b in beside]
+    found = packing.Tokens(None).encode([t.encode() for t in texts])
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u2").tolist() == model.encode(text, add_special_tokens=False).ids, text
+
+
+def test_other_rules_of_a_tokenizer(model, tmp_path):
+    rules = model.to_str().replace("|[\\\\p{N}]|", "|[\\\\p{N}]+|")
+    assert rules != model.to_str()
+    (tmp_path / "other.json").write_text(rules)
+    other = Tokenizer.from_file(str(tmp_path / "other.json"))
+    tokens = packing.Tokens(str(tmp_path / "other.json"))
+    text = "In 2024, (1234567) cafés sold 12x34.5 cups"
+    ids = np.frombuffer(tokens.encode([text.encode()])[0], "<u2").tolist()
+    assert ids == other.encode(text, add_special_tokens=False).ids != model.encode(text, add_special_tokens=False).ids
