@@ -9,15 +9,17 @@ group takes one of three ways, which give the same result (see ``spaces``):
   every iteration is a map over the cached training rows with one partial sum per cluster and
   task, merged by a small shuffle;
   More models than that are dealt into a few rounds of this kind;
-* streamed - the model of a group, or too many models, do not fit: rows are cut into slices, and every slice meets the
-  centroids of its group in one sorted partition. The centroids pass by in Arrow batches, so a
-  task holds one slice and one batch, whatever the number of centroids.
+* streamed - the model of a group, or too many models, do not fit: rows are cut into slices, as many as memory needs,
+  and slices are put together to parts, as many as share the work. Every part meets the centroids of its group in one
+  sorted partition. The task keeps them in a temporary file and reads it for every slice, so it
+  holds one slice and one batch of centroids, whatever their number, and centroids are copied to parts only.
 
 Assignment of all rows to a trained model has the last two ways, and deals models into rounds as well.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -46,6 +48,8 @@ _OUT_ROWS = 10_000
 _TASK_FLOPS = 1e9
 _CELL_FLOPS = 1e10
 _CELL_TASKS = 200_000
+_LEAST_PARTS = 8
+_SPOOL_BYTES = 8 << 20
 _MERGE_BYTES = 32 << 20
 _ROUNDS = 16
 # A model that is broadcast passes through the driver, which holds it several times over: its starts, the last and the
@@ -815,48 +819,85 @@ def _slices(n, k, dim: int, options: KMeansOptions, most: int, payload=None):
     return F.greatest(memory, work, F.lit(1)).cast("int").alias("slices")
 
 
+def _parts(n, k, dim: int, most: int, slices):
+    """Parts of a group, each of whole slices: up to ``most`` to share the work, while the copies of the centroids are no
+    more than the rows, or ``_LEAST_PARTS`` where there are nearly as many centroids as rows."""
+    work = F.least(F.ceil(n.cast("double") * k * F.lit(2 * dim / _CELL_FLOPS)), F.lit(most))
+    work = F.least(work, F.greatest(F.ceil(n.cast("double") / k), F.lit(_LEAST_PARTS)))
+    return F.greatest(F.least(work, slices), F.lit(1)).cast("int").alias("parts")
+
+
 def _sliced(rows: DataFrame, slices: DataFrame, tasks: int, space: Space) -> DataFrame:
-    """Rows (_g, _id, packed, payload) hash-partitioned by group and slice.
+    """Rows (_g, part, slice, id, packed, payload) hash-partitioned by group and part.
 
     A slice is a fixed hash of the row id, so a group of any size is spread over many tasks.
     """
-    slice_ = F.pmod(F.xxhash64(ID), F.col("slices")).cast("int").alias("slice")
-    cut = attach(rows, slices, "slices").select(
-        G, slice_, F.lit(0).alias("kind"), F.col(ID).alias("at"), "packed",
+    slice_ = F.pmod(F.xxhash64(ID), F.col("slices")).cast("int")
+    cut = attach(rows, slices, "slices", "parts").withColumn("slice", slice_).select(
+        G, F.pmod("slice", "parts").alias("part"), F.lit(1).alias("kind"), "slice", F.col(ID).alias("at"), "packed",
         F.lit(None).cast(f"array<{space.element}>").alias("grid"), "payload",
     )
-    return cut.repartition(tasks, G, "slice")
+    return cut.repartition(tasks, G, "part")
 
 
 def _meet(sliced: DataFrame, centers: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
-    """Rows of a slice (kind 0) and then the centroids of their group (kind 1).
+    """The centroids of a group (kind 0) and then the rows of a part of it (kind 1), slice by slice.
 
     Both sides have one partitioning, which the union keeps: rows cached in it stay where they
     are and only centroids move. The last repartition is dropped from the plan then.
     """
     payload = sliced.schema["payload"].dataType
-    copies = attach(centers, slices, "slices").select(
+    copies = attach(centers, slices, "parts").select(
         G,
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-        F.lit(1).alias("kind"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(0).alias("kind"),
+        F.lit(-1).alias("slice"),
         F.col("cluster").cast("bigint").alias("at"),
         F.lit(None).cast("binary").alias("packed"),
         "grid",
         F.lit(None).cast(payload).alias("payload"),
     )
     return (
-        sliced.unionByName(copies.repartition(tasks, G, "slice"))
-        .repartition(tasks, G, "slice")
-        .sortWithinPartitions(G, "slice", "kind", "at")
+        sliced.unionByName(copies.repartition(tasks, G, "part"))
+        .repartition(tasks, G, "part")
+        .sortWithinPartitions(G, "part", "kind", "slice", "at")
     )
 
 
 def _cell_tasks(slices: DataFrame) -> int:
-    """Two tasks per slice, which evens out what hashing puts together."""
-    cells = slices.agg(F.sum("slices")).first()[0] or 0
+    """Two tasks per part, which evens out what hashing puts together."""
+    cells = slices.agg(F.sum("parts")).first()[0] or 0
     return int(min(max(1, 2 * cells), _CELL_TASKS))
 
 
+class _Spool:
+    """Centroids of one group in order: a few in memory, more in a temporary file that is gone with the task."""
+
+    def __init__(self, dim: int, space: Space):
+        self.dim, self.clusters = dim, []
+        self.kind = np.dtype(np.int32 if space.element == "int" else np.float64)
+        self.file = tempfile.SpooledTemporaryFile(max_size=_SPOOL_BYTES)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.clusters.append(batch["at"].to_numpy().astype(np.int32))
+        self.file.write(np.ascontiguousarray(kernels.matrix(batch["grid"], self.dim), self.kind).data)
+
+    def read(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(clusters, centres) of ``_SPOOL_BYTES`` at most, or one."""
+        if len(self.clusters) > 1:
+            self.clusters = [np.concatenate(self.clusters)]
+        self.file.seek(0)
+        count = sum(map(len, self.clusters))
+        step = max(1, _SPOOL_BYTES // (8 * self.dim))
+        for a in range(0, count, step):
+            clusters = self.clusters[0][a : a + step]
+            data = self.file.read(len(clusters) * self.dim * self.kind.itemsize)
+            yield clusters, np.frombuffer(data, self.kind).reshape(-1, self.dim).astype(np.float64)
+
+    def close(self) -> None:
+        self.file.close()
+
+
 class _Cell:
     """Rows of one slice and their nearest centroid among those seen so far."""
 
@@ -866,9 +907,11 @@ class _Cell:
     def add_rows(self, batch: pa.RecordBatch) -> None:
         self.batches.append(batch)
 
+    def meet(self, spool: _Spool) -> None:
+        for clusters, centers in spool.read():
+            self.see(clusters, centers)
+
     def see(self, clusters: np.ndarray, centers: np.ndarray) -> None:
-        if not self.batches:
-            return
         if self.x is None:
             self.rows = pa.Table.from_batches(self.batches)
             self.x = packed.unpack(self.rows["packed"], self.dim, self.space)
@@ -881,24 +924,33 @@ class _Cell:
 
 
 def _cells(batches: Iterator[pa.RecordBatch], dim: int, space: Space) -> Iterator[tuple[int, _Cell]]:
-    """Walk a partition made by :func:`_meet`; yields (group, cell) once a cell is complete."""
-    key, cell = None, None
-    for batch in batches:
-        g, s, kind = (batch[c].to_numpy() for c in (G, "slice", "kind"))
-        starts = kernels.run_starts(g, s, kind)
-        for a, b in zip(starts, starts[1:]):
-            if key != (g[a], s[a]):
-                if cell is not None and cell.batches:
+    """Walk a partition made by :func:`_meet`; yields (group, cell) for every slice, once it has met the centroids."""
+    key, place, cell, spool = None, None, None, None
+    try:
+        for batch in batches:
+            g, part, kind, slice_ = (batch[c].to_numpy() for c in (G, "part", "kind", "slice"))
+            starts = kernels.run_starts(g, part, kind, slice_)
+            for a, b in zip(starts, starts[1:]):
+                if cell is not None and (key, place) != ((g[a], part[a]), slice_[a]):
+                    cell.meet(spool)
                     yield int(key[0]), cell
-                key, cell = (g[a], s[a]), _Cell(dim, space)
-            part = batch.slice(a, b - a)
-            if kind[a] == 0:
-                cell.add_rows(part)
-            else:
-                centers = kernels.matrix(part["grid"], dim).astype(np.float64)
-                cell.see(part["at"].to_numpy(), centers)
-    if cell is not None and cell.batches:
-        yield int(key[0]), cell
+                    cell = None
+                if key != (g[a], part[a]):
+                    if spool is not None:
+                        spool.close()
+                    key, spool = (g[a], part[a]), _Spool(dim, space)
+                if kind[a] == 0:
+                    spool.add(batch.slice(a, b - a))
+                    continue
+                if cell is None:
+                    place, cell = slice_[a], _Cell(dim, space)
+                cell.add_rows(batch.slice(a, b - a))
+        if cell is not None:
+            cell.meet(spool)
+            yield int(key[0]), cell
+    finally:
+        if spool is not None:
+            spool.close()
 
 
 def _complete(group: int, cell: _Cell) -> _Cell:
@@ -909,7 +961,8 @@ def _complete(group: int, cell: _Cell) -> _Cell:
 
 def _fit_streamed(rows, plan: Plan, dim, space: Space, options) -> DataFrame:
     most = 4 * parallelism(rows.sparkSession)
-    slices = plan.frame.select(G, _slices(F.col("m"), F.col("k"), dim, options, most))
+    slices = plan.frame.select(G, "m", "k", _slices(F.col("m"), F.col("k"), dim, options, most))
+    slices = slices.select(G, "slices", _parts(F.col("m"), F.col("k"), dim, most, F.col("slices")))
     tasks = _cell_tasks(slices)
     runs = []
     for restart in range(options.n_init):
@@ -1082,9 +1135,9 @@ def assign_groups(
     most = 4 * parallelism(df.sparkSession)
     slices = _slices(F.col("n"), F.col("k"), dim, options, most, F.col("bytes"))
     # A left join: rows of a group without centroids must fail later, not vanish.
-    slices = sizes.join(centers, G, "left").select(
-        G, F.coalesce(slices, F.lit(1)).alias("slices")
-    )
+    slices = sizes.join(centers, G, "left").select(G, "n", "k", F.coalesce(slices, F.lit(1)).alias("slices"))
+    shared = F.coalesce(_parts(F.col("n"), F.col("k"), dim, most, F.col("slices")), F.lit(1))
+    slices = slices.select(G, "slices", shared.alias("parts"))
     slices = settle(slices, _LOCAL_PLAN_ROWS)
     tasks = _cell_tasks(slices)
 

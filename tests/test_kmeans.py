@@ -426,3 +426,26 @@ def test_slices_copy_no_more_centroids_than_rows(spark):
     sizes = spark.createDataFrame([(250_000, 31_250)], "n bigint, k bigint")
     slices = sizes.select(km._slices(F.col("n"), F.col("k"), 512, KMeansOptions(slice_bytes=1 << 40), 400)).first()[0]
     assert slices == 8
+
+
+def test_centroids_are_copied_to_parts_not_slices(spark, vectors, monkeypatch):
+    """Slices of a few rows each made a copy of every centroid for each of them."""
+    copies, meet = [], km._meet
+
+    def watched(sliced, *rest):
+        met = meet(sliced, *rest)
+        copies.append((met.filter("kind = 0").count(), met.filter("kind = 1").select("slice").distinct().count()))
+        return met
+
+    monkeypatch.setattr(km, "_meet", watched)
+    monkeypatch.setattr(km, "_SPOOL_BYTES", 8 * 12 * 7)  # several reads, from a file
+    got = model_rows(km.kmeans_fit(vectors, 20, options=options("streamed", slice_bytes=8 * 12 * 4)))
+    assert got == model_rows(km.kmeans_fit(vectors, 20, options=options("local")))
+    assert copies and all(centers == 20 and slices > 40 for centers, slices in copies)
+
+
+def test_parts_share_the_work(spark):
+    rows = [(1_000_000, 125_000, 5_000), (1_000_000, 1_000_000, 5_000), (1_000_000, 125_000, 3), (100, 10, 50), (10_000_000, 1_000, 90_000)]
+    sizes = spark.createDataFrame(rows, "n bigint, k bigint, s int")
+    parts = sizes.select(km._parts(F.col("n"), F.col("k"), 64, 400, F.col("s")))
+    assert [r[0] for r in parts.collect()] == [8, 8, 3, 1, 128]
