@@ -258,3 +258,19 @@ def test_bounds_spare_four_fifths_of_the_distances():
         moved[ids] = space.mean(sums, counts, 16)
         drift, centers = bounds.moves(centers, moved), moved
     assert max(measured[4:]) < 0.2, measured
+
+
+def test_rows_of_bits_take_single_precision():
+    """Zeros and ones times whole centres are exact in single precision, up to 2**24."""
+    rng = np.random.default_rng(11)
+    space = S.Grid(10_000)
+    x = (rng.random((300, 512)) < rng.random((300, 1))) * space.one
+    for centers in (x[:150].copy(), rng.integers(0, 10_001, (2500, 512)).astype(np.float64), np.full((70, 512), 7.0)):
+        ready = space.prepare(centers)
+        assert K.narrow(x, ready, space.one)
+        for got, want in zip(space.nearest(x, ready), K.nearest_prepared(x, ready)):
+            assert got.tolist() == want.tolist()
+    x[3, 5] = 9_999
+    assert not K.narrow(x, ready, space.one)
+    x[3, 5] = 0
+    assert not K.narrow(x, space.prepare(np.full((70, 512), 40_000.0)), space.one)
